@@ -198,9 +198,12 @@ def open_orders(orders: DataFrame) -> DataFrame:
     return orders.where(~F.col("order_status").isin("delivered", "canceled"))
 
 
-def impute(df: DataFrame, value: str, fill=None) -> DataFrame:
-    """Fill nulls with a constant, or with the median of the column."""
-    filler = F.lit(fill) if fill is not None else median(df, value).scalar()
+def impute(df: DataFrame, value: str, fill=None, source: DataFrame | None = None) -> DataFrame:
+    """Fill nulls with a constant, or with the median of the column.
+
+    source -- frame to take the median from, where a written one with the same values exists.
+    """
+    filler = F.lit(fill) if fill is not None else median(df if source is None else source, value).scalar()
     return df.withColumn(value, F.coalesce(F.col(value), filler))
 
 
@@ -322,7 +325,8 @@ def with_current_rates(base: DataFrame, history: DataFrame) -> DataFrame:
     """History features for scoring: present rates, the overall rate where there is none."""
     overall = overall_mean(history, "is_delayed_num")
     promised_mean = overall_mean(base, "promised_delivery_days")
-    rates = current_rates(history)
+    # Written, so that Spark knows their size and broadcasts only what is small enough.
+    rates = {name: stage(rate, f"rate-{name}") for name, rate in current_rates(history).items()}
     wide = (
         base.join(rates["seller"], "seller_id", "left")
         .join(rates["category"], "main_category", "left")
@@ -436,7 +440,9 @@ def review_features(market_frames: dict[str, DataFrame], training: bool) -> Data
 
     overall = overall_mean(history, "is_delayed_num")
     return impute(
-        scored.withColumn("seller_ewma_delay_rate", F.coalesce("ewma", overall)).drop("ewma"), "delivery_days"
+        scored.withColumn("seller_ewma_delay_rate", F.coalesce("ewma", overall)).drop("ewma"),
+        "delivery_days",
+        source=base,
     )
 
 

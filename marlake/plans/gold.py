@@ -31,12 +31,11 @@ def is_delayed() -> Column:
     return F.when(defined, F.col("order_delivered_customer_date") > F.col("order_estimated_delivery_date"))
 
 
-def fct_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    persons = customers.select("customer_id", "customer_unique_id")
-    return orders.join(persons, "customer_id", "left").select(
+def order_facts(orders: DataFrame) -> DataFrame:
+    """Order facts without the person, for reads that do not need the customer join."""
+    return orders.select(
         "order_id",
         "customer_id",
-        "customer_unique_id",
         "order_status",
         "order_purchase_timestamp",
         "order_approved_at",
@@ -49,6 +48,13 @@ def fct_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
+def fct_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    facts = order_facts(orders)
+    persons = customers.select("customer_id", "customer_unique_id")
+    first, second, *rest = facts.columns
+    return facts.join(persons, "customer_id", "left").select(first, second, "customer_unique_id", *rest)
+
+
 def fct_order_items(items: DataFrame) -> DataFrame:
     return items.select(
         "order_id",

@@ -271,8 +271,12 @@ HOLIDAYS = {
 
 def holiday_calendar(spark, years: Sequence[int]) -> DataFrame:
     """One row per holiday and year with its window of days."""
-    rows = [(name, rule(y), low, high) for name, (rule, low, high) in HOLIDAYS.items() for y in years]
-    return spark.createDataFrame(rows, "holiday string, ds date, lower_window int, upper_window int")
+    rows = [
+        f"('{name}', date'{rule(y).isoformat()}', {low}, {high})"
+        for name, (rule, low, high) in HOLIDAYS.items()
+        for y in years
+    ]
+    return spark.sql(f"select * from values {', '.join(rows)} as t(holiday, ds, lower_window, upper_window)")
 
 
 def holiday_days(calendar: DataFrame) -> DataFrame:

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from marlake.functions.expr import hash_int, hash_normal, hash_uniform
 from marlake.operators.ordered import running
+from marlake.sources.lake import synthetic_pool
 
 TS = "order_purchase_timestamp"
 # Defaults of the generator.
 NOISE = 0.03
 FLOOR_AMOUNT = 0.5
 REPEAT_RATE = 0.0312
+POOL_LIMIT = 5000
 JITTER_MINUTES = 45
 STABLE_START, STABLE_END = "2017-01-01", "2018-08-31"
 DAYS_PER_YEAR = 365.25
@@ -68,9 +70,9 @@ def replayed(orders: DataFrame, templates: DataFrame, hours: tuple[int, int] | N
     """Orders of each target's template day, optionally of some purchase hours only."""
     if hours is not None:
         orders = orders.where(F.hour(TS).between(hours[0], hours[1] - 1))
-    return orders.join(
-        templates.withColumnRenamed("template_date", "purchase_date"), "purchase_date"
-    ).withColumnRenamed("purchase_date", "template_date")
+    # One row per target day, so the broadcast side is bounded by the calendar.
+    days = F.broadcast(templates.withColumnRenamed("template_date", "purchase_date"))
+    return orders.join(days, "purchase_date").withColumnRenamed("purchase_date", "template_date")
 
 
 def grown(replay: DataFrame, rate: float, start: str) -> DataFrame:
@@ -212,13 +214,14 @@ def replayed_reviews(reviews: DataFrame, new_orders: DataFrame) -> DataFrame:
 
 
 def with_customers(
-    new_orders: DataFrame, customers: DataFrame, pool: DataFrame, rate: float = REPEAT_RATE
+    new_orders: DataFrame, customers: DataFrame, rate: float = REPEAT_RATE, pool_limit: int = POOL_LIMIT
 ) -> DataFrame:
     """Give each new order a customer: now and then one of the pool, else a new person.
 
-    A new person has the geographic profile of the template order's customer. ``pool`` holds the
-    synthetic customers that exist before this run.
+    A new person has the geographic profile of the template order's customer. The pool holds the
+    first ``pool_limit`` synthetic customers that exist before this run.
     """
+    pool = synthetic_pool(customers, pool_limit)
     drawn = new_orders.withColumns(
         {
             "_u": hash_uniform(F.lit("repeat"), "order_id"),
@@ -236,7 +239,8 @@ def with_customers(
     slotted = drawn.withColumn("_pool", size).withColumn(
         "_slot", F.when(reuse, F.pmod(F.col("_h"), F.greatest(F.col("_pool"), F.lit(1))))
     )
-    known = slots.toDF("p_id", "p_person", "p_zip", "p_city", "p_state", "_slot")
+    # At most pool_limit rows.
+    known = F.broadcast(slots.toDF("p_id", "p_person", "p_zip", "p_city", "p_state", "_slot"))
     profile = customers.select(
         F.col("customer_id").alias("template_customer_id"),
         F.col("customer_zip_code_prefix").alias("c_zip"),

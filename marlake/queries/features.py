@@ -269,7 +269,7 @@ def incremental_clv(m):
 select order_id, round(coalesce(delivery_days, (select quantile_cont(delivery_days, 0.5) from g_orders)), 6) delivery_days from g_orders""",
 )
 def impute_median(m):
-    return features.impute(m.fct_orders.select("order_id", "delivery_days"), "delivery_days")
+    return features.impute(m.order_facts.select("order_id", "delivery_days"), "delivery_days")
 
 
 @query(
@@ -295,14 +295,14 @@ def label_balance(m):
     "select order_id, order_purchase_timestamp from g_orders where order_status = 'delivered' and order_id not in (select order_id from v_reviews)",
 )
 def delivered_without_review(m):
-    return features.delivered_without_review(m.fct_orders, m.fct_reviews).select(
+    return features.delivered_without_review(m.order_facts, m.fct_reviews).select(
         "order_id", "order_purchase_timestamp"
     )
 
 
 @query("open_orders", "select order_id, order_status from g_orders where order_status not in ('delivered', 'canceled')")
 def open_orders(m):
-    return features.open_orders(m.fct_orders).select("order_id", "order_status")
+    return features.open_orders(m.order_facts).select("order_id", "order_status")
 
 
 # --- feature frames -------------------------------------------------------------------------

@@ -101,8 +101,8 @@ def incr_fct_orders(m):
 def incr_daily_revenue_merge(m):
     """State up to mid-1998 and the delta after it, added up."""
     cut = F.lit("1998-06-15 10:00:00").cast("timestamp")
-    old = m.fct_orders.where(F.col("order_purchase_timestamp") < cut)
-    new = m.fct_orders.where(F.col("order_purchase_timestamp") >= cut)
+    old = m.order_facts.where(F.col("order_purchase_timestamp") < cut)
+    new = m.order_facts.where(F.col("order_purchase_timestamp") >= cut)
     return marts.merge_daily_revenue(
         marts.daily_revenue(old, m.fct_items), marts.daily_revenue(new, m.fct_items)
     )

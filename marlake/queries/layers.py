@@ -438,7 +438,7 @@ left join g_sellers s on s.seller_id = i.seller_id
 where o.order_status = 'delivered' and o.order_delivered_customer_date is not null""",
 )
 def mart_delivery_delay(m):
-    return marts.delivery_delay(m.fct_orders, m.fct_items, m.dim_products, m.fct_payments, m.dim_sellers)
+    return marts.delivery_delay(m.order_facts, m.fct_items, m.dim_products, m.fct_payments, m.dim_sellers)
 
 
 @query(

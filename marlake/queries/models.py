@@ -30,7 +30,7 @@ def ml_customer_segments(m):
 @query("ml_seller_segments")
 def ml_seller_segments(m):
     def stats(cohort):
-        per_order = features.seller_orders(m.fct_orders.where(cohort), m.fct_items, m.fct_reviews)
+        per_order = features.seller_orders(m.order_facts.where(cohort), m.fct_items, m.fct_reviews)
         return stage(features.seller_lifetime_stats(per_order), "sellers")
 
     train = stats(~F.col("is_synthetic"))
@@ -147,7 +147,7 @@ def ml_delivery_delay(m):
         "promised_delivery_days",
     ]
     categorical = ["main_category", "payment_type", "seller_state"]
-    mart = delivery_delay(m.fct_orders, m.fct_items, m.dim_products, m.fct_payments, m.dim_sellers)
+    mart = delivery_delay(m.order_facts, m.fct_items, m.dim_products, m.fct_payments, m.dim_sellers)
     rows = mart.where(~F.col("is_synthetic") & F.col("is_delayed").isNotNull()).withColumns(
         {"label_delayed": F.col("is_delayed").cast("int"), "row_key": F.concat_ws("|", "order_id", "seller_id")}
     )
@@ -217,7 +217,7 @@ FORECAST_SQL = f"""(select cast(o.order_purchase_timestamp as date) ds, sum(pric
 
 @query("forecast_input", f"select cast(ds as varchar) ds, cast(y as double) y from {FORECAST_SQL} t")
 def forecast_input(m):
-    return ml.forecast_input(m.fct_orders, m.fct_items, HISTORICAL_END)
+    return ml.forecast_input(m.order_facts, m.fct_items, HISTORICAL_END)
 
 
 YEARS = list(range(1995, 2003))
@@ -244,7 +244,7 @@ def holiday_features(m):
 @query("revenue_forecast")
 def revenue_forecast(m):
     """Next 90 days of revenue with an interval."""
-    daily = stage(ml.forecast_input(m.fct_orders, m.fct_items, HISTORICAL_END), "daily")
+    daily = stage(ml.forecast_input(m.order_facts, m.fct_items, HISTORICAL_END), "daily")
     holidays = ml.holiday_days(ml.holiday_calendar(m.spark, YEARS))
     return ml.forecast(daily, holidays)
 

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from marlake.plans import replay
 from marlake.queries.registry import query
 from marlake.queries.views import hashed, normal, uniform
-from marlake.sources.lake import synthetic_pool
 
 START, END = "1996-01-01", "1998-12-31"
 GROWTH_RATE = 1.2
@@ -197,7 +196,7 @@ select d.order_id, case when d.slot is not null then p.customer_id else {_id('cu
 from d left join p on p.slot = d.slot left join v_customers c on c.customer_id = d.template_customer_id""",
 )
 def replay_customers(m):
-    named = replay.with_customers(new_orders(m), m.customers, synthetic_pool(m.customers))
+    named = replay.with_customers(new_orders(m), m.customers)
     return named.select(
         "order_id",
         "customer_id",

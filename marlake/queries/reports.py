@@ -24,7 +24,7 @@ select cast(revenue_today as double) revenue_today, orders_today, cast(revenue_y
 from t""",
 )
 def kpi_overview(m):
-    return reports.kpi_overview(m.fct_orders, m.fct_items, AS_OF)
+    return reports.kpi_overview(m.order_facts, m.fct_items, AS_OF)
 
 
 TREND_SQL = f"""
@@ -64,7 +64,7 @@ where o.is_synthetic group by 1"""
 
 @query("revenue_by_category", CATEGORY_SQL + " order by 2 desc, 1 limit 10")
 def revenue_by_category(m):
-    return reports.revenue_by_category(m.fct_orders, m.fct_items, m.dim_products)
+    return reports.revenue_by_category(m.order_facts, m.fct_items, m.dim_products)
 
 
 @query(
@@ -90,12 +90,12 @@ LAST_90 = f"and cast(order_purchase_timestamp as date) >= date '{AS_OF}' - 90"
 
 @query("delivery_daily", DELIVERY_SQL.format(DAY, LAST_90))
 def delivery_daily(m):
-    return reports.delivery_performance(m.fct_orders, "day", AS_OF)
+    return reports.delivery_performance(m.order_facts, "day", AS_OF)
 
 
 @query("delivery_weekly", DELIVERY_SQL.format(WEEK, ""))
 def delivery_weekly(m):
-    return reports.delivery_performance(m.fct_orders, "week")
+    return reports.delivery_performance(m.order_facts, "week")
 
 
 REVIEW_SQL = """
@@ -105,12 +105,12 @@ from g_reviews r join g_orders o on o.order_id = r.order_id where o.is_synthetic
 
 @query("reviews_daily", REVIEW_SQL.format(DAY, LAST_90))
 def reviews_daily(m):
-    return reports.review_trend(m.fct_orders, m.fct_reviews, "day", AS_OF)
+    return reports.review_trend(m.order_facts, m.fct_reviews, "day", AS_OF)
 
 
 @query("reviews_weekly", REVIEW_SQL.format(WEEK, ""))
 def reviews_weekly(m):
-    return reports.review_trend(m.fct_orders, m.fct_reviews, "week")
+    return reports.review_trend(m.order_facts, m.fct_reviews, "week")
 
 
 # --- lists over scoring tables --------------------------------------------------------------
@@ -221,7 +221,7 @@ from s cross join g"""
 
 
 def sold(m):
-    return features.seller_orders(m.fct_orders.where("is_synthetic"), m.fct_items, m.fct_reviews)
+    return features.seller_orders(m.order_facts.where("is_synthetic"), m.fct_items, m.fct_reviews)
 
 
 @query(
@@ -307,7 +307,7 @@ def customer_scoring_base(m):
     f"select category, revenue, orders, round(revenue / max(revenue) over (), 6) share_of_max from ({CATEGORY_SQL}) t",
 )
 def share_of_max(m):
-    table = reports.revenue_by_category(m.fct_orders, m.fct_items, m.dim_products, limit=None)
+    table = reports.revenue_by_category(m.order_facts, m.fct_items, m.dim_products, limit=None)
     return reports.share_of_max(table, "revenue")
 
 

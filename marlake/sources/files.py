@@ -4,27 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marlake.operators.dedup import first_per_key
 from marlake.sources.schemas import RAW_SCHEMAS
 
 
 def read_raw(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """Scan one raw CSV file (header, UTF-8, quoted line breaks, doubled quotes).
+    """Scan raw CSV files (header, UTF-8 with or without BOM, quoted line breaks, doubled quotes).
 
-    Multi-line records keep a file in one split, so large inputs should arrive as many files.
+    Columns are found by name and cast to the declared types; a value that does not fit is an
+    error. Multi-line records keep a file in one split, so large inputs should arrive as many
+    files.
     """
-    return (
-        spark.read.schema(RAW_SCHEMAS[table])
-        .option("header", True)
+    text = (
+        spark.read.option("header", True)
         .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("encoding", "UTF-8")
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
-        .option("enforceSchema", True)
         .csv(path)
     )
+    wanted = StructType.fromDDL(RAW_SCHEMAS[table])
+    return text.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
 
 
 def tag(df: DataFrame, batch_id: str | Column, is_synthetic: bool | Column, template_date=None) -> DataFrame:

@@ -132,9 +132,9 @@ class Market:
     @cached_property
     def translation(self) -> DataFrame:
         """'small' has no translation on purpose."""
-        pairs = [("standard", "std"), ("promo", "promotion"), ("economy", "eco"), ("medium", "mid"), ("large", "big")]
-        return self.spark.createDataFrame(
-            pairs, "product_category_name string, product_category_name_english string"
+        return self.spark.sql(
+            "select * from values ('standard', 'std'), ('promo', 'promotion'), ('economy', 'eco'), ('medium', 'mid'),"
+            " ('large', 'big') as t(product_category_name, product_category_name_english)"
         )
 
     @cached_property
@@ -203,6 +203,10 @@ class Market:
     def fct_orders(self) -> DataFrame:
         return gold.fct_orders(self.silver_orders, self.silver_customers)
 
+    @cached_property
+    def order_facts(self) -> DataFrame:
+        return gold.order_facts(self.silver_orders)
+
     @cached_property
     def fct_items(self) -> DataFrame:
         return gold.fct_order_items(self.silver_items)
@@ -233,7 +237,7 @@ class Market:
 
     @cached_property
     def mart_daily_revenue(self) -> DataFrame:
-        return marts.daily_revenue(self.fct_orders, self.fct_items)
+        return marts.daily_revenue(self.order_facts, self.fct_items)
 
     @cached_property
     def mart_customer_rfm(self) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 MONEY = "decimal(18,2)"
 
-# Input columns, in file order.
+# The input columns that are used.
 RAW_SCHEMAS = {
     "customers": (
         "customer_id string, customer_unique_id string, customer_zip_code_prefix string, "
@@ -28,9 +28,8 @@ RAW_SCHEMAS = {
         "review_comment_message string, review_creation_date timestamp, review_answer_timestamp timestamp"
     ),
     "products": (
-        "product_id string, product_category_name string, product_name_lenght bigint, "
-        "product_description_lenght bigint, product_photos_qty bigint, product_weight_g double, "
-        "product_length_cm double, product_height_cm double, product_width_cm double"
+        "product_id string, product_category_name string, product_weight_g double, product_length_cm double, "
+        "product_height_cm double, product_width_cm double, product_photos_qty bigint"
     ),
     "sellers": (
         "seller_id string, seller_zip_code_prefix string, seller_city string, seller_state string"
