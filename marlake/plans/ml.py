@@ -59,7 +59,7 @@ def preprocessing(numeric: Sequence[str], categorical: Sequence[str], scale: boo
         index, hot = [f"{c}__index" for c in categorical], [f"{c}__hot" for c in categorical]
         stages += [
             StringIndexer(inputCols=categorical, outputCols=index, handleInvalid="keep", stringOrderType="frequencyDesc"),
-            OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True, handleInvalid="keep"),
+            OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True),
         ]
         inputs += hot
     return [*stages, VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")]

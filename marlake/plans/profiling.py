@@ -140,14 +140,14 @@ def top_categories(categorized: DataFrame, limit: int = 15) -> DataFrame:
     )
 
 
-def category_profile(categorized: DataFrame, limit: int = 15) -> DataFrame:
+def category_profile(categorized: DataFrame, limit: int = 15, digits: int = 2) -> DataFrame:
     """Item count, median and mean price of the top categories."""
     top = top_categories(categorized, limit)
     return top.join(median(categorized.select("category", "price"), "price", ["category"]), "category").select(
         "category",
         "items",
-        F.round("median", 2).alias("median_price"),
-        F.round("mean_price", 2).alias("mean_price"),
+        F.round("median", digits).alias("median_price"),
+        F.round("mean_price", digits).alias("mean_price"),
     )
 
 
@@ -184,7 +184,7 @@ def score_by_delay(reviews: DataFrame, orders: DataFrame, parity: bool = True) -
     )
 
 
-def delivery_profile(orders: DataFrame) -> DataFrame:
+def delivery_profile(orders: DataFrame, digits: int = 2) -> DataFrame:
     """Delivered orders with all dates: number, quantiles of the delivery time, share late."""
     done = (
         orders.where(F.col("order_status") == "delivered")
@@ -200,7 +200,7 @@ def delivery_profile(orders: DataFrame) -> DataFrame:
         ).alias("c")
     ).scalar()
     return (
-        quantile_pack(done, "delivery_days")
+        quantile_pack(done, "delivery_days", digits)
         .withColumn("c", counted)
         .select("*", F.col("c.n").alias("delivered_orders"), F.col("c.late").alias("late_share"))
         .drop("c")

@@ -314,11 +314,11 @@ ROUNDED = [c for c in features.DELIVERY_NUMERIC if c not in PLAIN]
 
 
 def _select(prefix: str = "") -> str:
-    cols = ["order_id", *[c for c in PLAIN], *[f"round({c}, 4) {c}" for c in ROUNDED]]
+    cols = ["order_id", *[c for c in PLAIN], *[f"round({c}, 6) {c}" for c in ROUNDED]]
     return prefix + ", ".join(cols)
 
 
-def rounded(df, columns, digits=4):
+def rounded(df, columns, digits=6):
     return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in columns})
 
 
@@ -378,8 +378,8 @@ select o.order_id, o.order_purchase_timestamp, i.seller_id, i.main_category, p.p
   cast(cast(o.is_delayed as int) as double) x, {FRACTION.format('o.order_purchase_timestamp', 'o.order_estimated_delivery_date')} promised_delivery_days,
   coalesce(greatest({FRACTION.format('o.order_estimated_delivery_date', 'o.order_delivered_customer_date')}, 0), 0) delay_magnitude_days"""
 REVIEW_COLS = """seller_id, main_category, payment_type, price, freight_value, n_items, n_sellers, total_weight_g, total_volume_cm3,
-  round(coalesce(delivery_days, (select quantile_cont(delivery_days, 0.5) from b)), 4) delivery_days, x is_delayed_num,
-  round(promised_delivery_days, 4) promised_delivery_days, round(delay_magnitude_days, 4) delay_magnitude_days, round(x * price, 4) is_delayed_x_price"""
+  round(coalesce(delivery_days, (select quantile_cont(delivery_days, 0.5) from b)), 6) delivery_days, x is_delayed_num,
+  round(promised_delivery_days, 6) promised_delivery_days, round(delay_magnitude_days, 6) delay_magnitude_days, round(x * price, 6) is_delayed_x_price"""
 REVIEW_OUT = [
     "order_id", "seller_id", "main_category", "payment_type", "price", "freight_value", "n_items", "n_sellers", "total_weight_g",
     "total_volume_cm3", "delivery_days", "is_delayed_num", "promised_delivery_days", "delay_magnitude_days",
@@ -396,7 +396,7 @@ REVIEW_ROUND = [
 with b as materialized ({REVIEW_BASE}, r.review_id, cast(r.review_score <= 2 as int) negative_review
   from g_orders o join {REVIEW_GROUPS} i on i.order_id = o.order_id join g_paid p on p.order_id = o.order_id
   join v_reviews r on r.order_id = o.order_id where not o.is_synthetic)
-select b.order_id, b.review_id, b.negative_review, b.{REVIEW_COLS}, round(coalesce(e.ewma, (select avg(x) from b)), 4) seller_ewma_delay_rate
+select b.order_id, b.review_id, b.negative_review, b.{REVIEW_COLS}, round(coalesce(e.ewma, (select avg(x) from b)), 6) seller_ewma_delay_rate
 from b join {ewma_sql("b", order="order_purchase_timestamp, order_id, review_id", key="review_id")} e on e.review_id = b.review_id""",
 )
 def review_features(m):
@@ -414,7 +414,7 @@ e as (select seller_id, max(case when rn = 1 then ewma end) r
   from (select seller_id, ewma, row_number() over (partition by seller_id order by ewma is null, i desc) rn from {ewma_sql("h")} t) x group by 1),
 b as ({REVIEW_BASE} from g_orders o join {REVIEW_GROUPS} i on i.order_id = o.order_id join g_paid p on p.order_id = o.order_id
   where o.is_synthetic and o.order_status = 'delivered' and o.order_id not in (select order_id from v_reviews))
-select b.order_id, b.{REVIEW_COLS}, round(coalesce(e.r, (select avg(x) from h)), 4) seller_ewma_delay_rate
+select b.order_id, b.{REVIEW_COLS}, round(coalesce(e.r, (select avg(x) from h)), 6) seller_ewma_delay_rate
 from b left join e on e.seller_id = b.seller_id""",
 )
 def review_features_pending(m):

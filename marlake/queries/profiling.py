@@ -67,19 +67,19 @@ def profile_summary(m):
 def _pack(source: str, column: str) -> str:
     x = f"cast({column} as double)"
     return f"""
-select round(quantile_cont({x}, 0.25), 2) p25, round(quantile_cont({x}, 0.5), 2) p50, round(quantile_cont({x}, 0.75), 2) p75,
-  round(quantile_cont({x}, 0.95), 2) p95, round(cast(sum({column}) as double) / count({column}), 2) mean, round(stddev_samp({x}), 2) std
+select round(quantile_cont({x}, 0.25), 6) p25, round(quantile_cont({x}, 0.5), 6) p50, round(quantile_cont({x}, 0.75), 6) p75,
+  round(quantile_cont({x}, 0.95), 6) p95, round(cast(sum({column}) as double) / count({column}), 6) mean, round(stddev_samp({x}), 6) std
 from {source}"""
 
 
 @query("price_quantiles", _pack("v_items", "price"))
 def price_quantiles(m):
-    return profiling.quantile_pack(m.items, "price")
+    return profiling.quantile_pack(m.items, "price", digits=6)
 
 
 @query("freight_quantiles", _pack("v_items", "freight_value"))
 def freight_quantiles(m):
-    return profiling.quantile_pack(m.items, "freight_value")
+    return profiling.quantile_pack(m.items, "freight_value", digits=6)
 
 
 CATEGORIZED = """(select i.*, coalesce(t.product_category_name_english, p.product_category_name, 'unknown') category
@@ -95,12 +95,12 @@ def categorized(m):
 @query(
     "category_top15",
     f"""
-select category, count(*) items, round(quantile_cont(cast(price as double), 0.5), 2) median_price,
-  round(cast(sum(price) as double) / count(price), 2) mean_price
+select category, count(*) items, round(quantile_cont(cast(price as double), 0.5), 6) median_price,
+  round(cast(sum(price) as double) / count(price), 6) mean_price
 from {CATEGORIZED} x where category in (select category from {TOP15} y) group by 1""",
 )
 def category_top15(m):
-    return profiling.category_profile(categorized(m))
+    return profiling.category_profile(categorized(m), digits=6)
 
 
 @query(
@@ -174,7 +174,7 @@ DONE = """(select (epoch_us(order_delivered_customer_date) - epoch_us(order_purc
     ),
 )
 def delivery_profile(m):
-    return profiling.delivery_profile(m.orders)
+    return profiling.delivery_profile(m.orders, digits=6)
 
 
 @query(

@@ -44,10 +44,12 @@ def rows_of(columns, rows):
     return [columns[i] for i in order], sorted(found, key=repr)
 
 
-def check(spark, con, name, queries, reference, folder):
+def check(spark, con, name, queries, reference, folder, inspect=None):
     """Returns (problem or None, rows, seconds)."""
     start = time.time()
     df = queries[name](spark, folder)
+    if inspect:
+        inspect(df)
     got = df.collect()
     seconds = time.time() - start
     if name not in reference:
