@@ -10,25 +10,28 @@ from pyspark.sql import functions as F
 from marlake.operators.ordered import running
 
 
-def exact_quantiles(
-    df: DataFrame, value: str, probs: Mapping[str, float], groups: Sequence[str] = ()
-) -> DataFrame:
-    """Quantiles with linear interpolation, one output column per entry of ``probs``.
+def ranked_values(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
+    """Distinct values per group with their count ``n``, the rows ``before`` them and ``all`` rows.
 
-    Equal values are counted first (partial aggregation), then the running count over the
-    sorted values tells which value sits at each wanted rank.
+    Equal values are counted first (partial aggregation); the running count over the sorted
+    values is taken in chunks. The counts are written once, so quantiles, moments and histograms
+    can all be read from here without another pass over ``df``.
     """
-    counted = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running(counted, groups, [value], sums={"_before": "_n"}, totals={"_all": "_before"})
+    counted = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
+    return running(counted, groups, [value], sums={"before": "n"}, totals={"all": "before"})
+
+
+def quantiles_of(ranked: DataFrame, value: str, probs: Mapping[str, float], groups: Sequence[str] = ()) -> DataFrame:
+    """Quantiles with linear interpolation, one output column per entry of ``probs``."""
     x = F.col(value).cast("double")
 
     def at(rank):
-        inside = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n"))
+        inside = (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
         return F.max(F.when(inside, x))
 
     aggs, finals = [], []
     for name, p in probs.items():
-        rank = F.lit(float(p)) * (F.col("_all") - 1)
+        rank = F.lit(float(p)) * (F.col("all") - 1)
         aggs += [
             at(F.floor(rank)).alias(f"_lo_{name}"),
             at(F.ceil(rank)).alias(f"_hi_{name}"),
@@ -39,5 +42,11 @@ def exact_quantiles(
     return ranked.groupBy(*groups).agg(*aggs).select(*groups, *finals)
 
 
+def exact_quantiles(
+    df: DataFrame, value: str, probs: Mapping[str, float], groups: Sequence[str] = ()
+) -> DataFrame:
+    return quantiles_of(ranked_values(df, value, groups), value, probs, groups)
+
+
 def median(df: DataFrame, value: str, groups: Sequence[str] = (), name: str = "median") -> DataFrame:
     return exact_quantiles(df, value, {name: 0.5}, groups)

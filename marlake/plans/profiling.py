@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlake.functions.expr import fractional_days, mean_of, ratio
-from marlake.operators.quantiles import exact_quantiles, median
+from marlake.operators.quantiles import quantiles_of, ranked_values
 from marlake.plans.features import shares
+from marlake.session import stage
 
 TS = "order_purchase_timestamp"
 # Weekday labels Monday first, quantiles of the summary pack.
@@ -100,11 +101,20 @@ def summary_document(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def quantile_pack(df: DataFrame, column: str, digits: int = 2) -> DataFrame:
-    """Quartiles, p95, mean and sample deviation of a column, in one row."""
-    moments = df.agg(
-        F.struct(mean_of(column).alias("mean"), F.stddev_samp(F.col(column).cast("double")).alias("std")).alias("s")
-    ).scalar()
-    pack = exact_quantiles(df, column, PACK).withColumn("s", moments)
+    """Quartiles, p95, mean and sample deviation of a column, in one row.
+
+    The table is read once; everything comes from the counts of its distinct values.
+    """
+    values = ranked_values(df, column)
+    n, x = F.col("n"), F.col(column)
+    mean = values.agg(ratio(F.sum(x * n), F.sum(n)).alias("mean")).scalar()
+    spread = values.withColumn("mean", mean).agg(
+        F.struct(
+            F.max("mean").alias("mean"),
+            F.sqrt(ratio(F.sum(n * F.pow(x.cast("double") - F.col("mean"), 2)), F.sum(n) - 1)).alias("std"),
+        ).alias("s")
+    )
+    pack = quantiles_of(values, column, PACK).withColumn("s", spread.scalar())
     return pack.select(
         *[F.round(c, digits).alias(c) for c in PACK],
         F.round("s.mean", digits).alias("mean"),
@@ -130,11 +140,17 @@ def items_with_category(items: DataFrame, products: DataFrame, translation: Data
     )
 
 
-def top_categories(categorized: DataFrame, limit: int = 15) -> DataFrame:
+def category_prices(categorized: DataFrame) -> DataFrame:
+    """Counts of the distinct prices per category, the base of both category reports."""
+    return ranked_values(categorized.select("category", "price"), "price", ["category"])
+
+
+def top_categories(prices: DataFrame, limit: int = 15) -> DataFrame:
     """The categories with most items; ties by name."""
+    n = F.col("n")
     return (
-        categorized.groupBy("category")
-        .agg(F.count(F.lit(1)).alias("items"), mean_of("price").alias("mean_price"))
+        prices.groupBy("category")
+        .agg(F.sum(n).alias("items"), ratio(F.sum(F.col("price") * n), F.sum(n)).alias("mean_price"))
         .orderBy(F.col("items").desc(), "category")
         .limit(limit)
     )
@@ -142,8 +158,9 @@ def top_categories(categorized: DataFrame, limit: int = 15) -> DataFrame:
 
 def category_profile(categorized: DataFrame, limit: int = 15, digits: int = 2) -> DataFrame:
     """Item count, median and mean price of the top categories."""
-    top = top_categories(categorized, limit)
-    return top.join(median(categorized.select("category", "price"), "price", ["category"]), "category").select(
+    prices = category_prices(categorized)
+    medians = quantiles_of(prices, "price", {"median": 0.5}, ["category"])
+    return top_categories(prices, limit).join(medians, "category").select(
         "category",
         "items",
         F.round("median", digits).alias("median_price"),
@@ -154,21 +171,23 @@ def category_profile(categorized: DataFrame, limit: int = 15, digits: int = 2) -
 def category_boxstats(categorized: DataFrame, limit: int = 15) -> DataFrame:
     """Five-number summary of prices per top category, highest median first."""
     probs = {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0}
-    stats = exact_quantiles(categorized.select("category", "price"), "price", probs, ["category"])
-    chosen = stats.join(top_categories(categorized, limit).select("category"), "category", "left_semi")
+    prices = category_prices(categorized)
+    stats = quantiles_of(prices, "price", probs, ["category"])
+    chosen = stats.join(top_categories(prices, limit).select("category"), "category", "left_semi")
     return chosen.orderBy(F.col("median").desc(), "category")
 
 
 def clipped_histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Counts in equal bins between the minimum and the 99th percentile; larger values fall in the last."""
-    value = F.col(column).cast("double")
-    cap = exact_quantiles(df, column, {"p99": 0.99}).scalar()
-    clipped = df.where(F.col(column).isNotNull()).select(F.least(value, cap).alias("v"))
-    low = df.agg(F.min(value).alias("m")).scalar()
-    rows = clipped.withColumns({"lo": low, "hi": cap})
+    values = ranked_values(df, column)
+    ends = quantiles_of(values, column, {"lo": 0.0, "hi": 0.99}).select(F.struct("lo", "hi")).scalar()
+    rows = (
+        values.withColumn("e", ends)
+        .select("n", F.least(F.col(column).cast("double"), F.col("e.hi")).alias("v"), "e.lo", "e.hi")
+    )
     spot = F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
     bin_no = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(F.least(spot, F.lit(bins - 1)))
-    return rows.groupBy(bin_no.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy(bin_no.cast("int").alias("bin")).agg(F.sum("n").alias("n"))
 
 
 def score_by_delay(reviews: DataFrame, orders: DataFrame, parity: bool = True) -> DataFrame:
@@ -194,6 +213,7 @@ def delivery_profile(orders: DataFrame, digits: int = 2) -> DataFrame:
             (F.col("order_delivered_customer_date") > F.col("order_estimated_delivery_date")).alias("late"),
         )
     )
+    done = stage(done, "delivered")
     counted = done.agg(
         F.struct(
             F.count(F.lit(1)).alias("n"), F.round(ratio(F.count_if("late"), F.count(F.lit(1))), 4).alias("late")

@@ -15,6 +15,7 @@ W = "rows between unbounded preceding and 1 preceding"
 
 
 def frames(m) -> dict:
+    m = m.written()
     return {
         "orders": m.fct_orders,
         "profiles": gold.customer_profile(m.silver_customers),
@@ -242,6 +243,7 @@ left join (select customer_unique_id, payment_type, payment_installments from (s
 
 @query("first_order_features", FIRST_SQL)
 def first_order_features(m):
+    m = m.written()
     return features.first_order_features(m.fct_orders, m.fct_items, m.dim_products, m.fct_payments)
 
 

@@ -100,6 +100,7 @@ def incr_fct_orders(m):
 @query("incr_daily_revenue_merge", DAILY_SQL)
 def incr_daily_revenue_merge(m):
     """State up to mid-1998 and the delta after it, added up."""
+    m = m.written()
     cut = F.lit("1998-06-15 10:00:00").cast("timestamp")
     old = m.order_facts.where(F.col("order_purchase_timestamp") < cut)
     new = m.order_facts.where(F.col("order_purchase_timestamp") >= cut)

@@ -417,6 +417,7 @@ from first_order f join items i on i.customer_unique_id = f.customer_unique_id j
 join label l on l.customer_unique_id = f.customer_unique_id""",
 )
 def mart_repeat_purchase(m):
+    m = m.written()
     return marts.repeat_purchase(m.fct_orders, m.fct_items, m.dim_products, m.fct_payments)
 
 
@@ -438,6 +439,7 @@ left join g_sellers s on s.seller_id = i.seller_id
 where o.order_status = 'delivered' and o.order_delivered_customer_date is not null""",
 )
 def mart_delivery_delay(m):
+    m = m.written()
     return marts.delivery_delay(m.order_facts, m.fct_items, m.dim_products, m.fct_payments, m.dim_sellers)
 
 

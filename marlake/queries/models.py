@@ -29,6 +29,8 @@ def ml_customer_segments(m):
 
 @query("ml_seller_segments")
 def ml_seller_segments(m):
+    m = m.written()
+
     def stats(cohort):
         per_order = features.seller_orders(m.order_facts.where(cohort), m.fct_items, m.fct_reviews)
         return stage(features.seller_lifetime_stats(per_order), "sellers")
@@ -128,6 +130,7 @@ def ml_repeat_purchase(m):
         "purchase_day_of_week", "purchase_month",
     ]
     categorical = ["first_order_main_category", "payment_type"]
+    m = m.written()
     mart = repeat_purchase(m.fct_orders, m.fct_items, m.dim_products, m.fct_payments)
     split = stage(
         ml.stratified_split(mart.where(~F.col("is_synthetic")), "repeat_purchase", "customer_unique_id"), "split"
@@ -147,6 +150,7 @@ def ml_delivery_delay(m):
         "promised_delivery_days",
     ]
     categorical = ["main_category", "payment_type", "seller_state"]
+    m = m.written()
     mart = delivery_delay(m.order_facts, m.fct_items, m.dim_products, m.fct_payments, m.dim_sellers)
     rows = mart.where(~F.col("is_synthetic") & F.col("is_delayed").isNotNull()).withColumns(
         {"label_delayed": F.col("is_delayed").cast("int"), "row_key": F.concat_ws("|", "order_id", "seller_id")}

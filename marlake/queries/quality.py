@@ -38,6 +38,7 @@ SOURCES = {
 
 
 def frame(m, name):
+    """A gold frame by name."""
     return {"fct_order_items": lambda: m.fct_items}.get(name, lambda: getattr(m, name))()
 
 
@@ -55,6 +56,7 @@ def _row(table, column, check, failures):
     ),
 )
 def dq_not_null(m):
+    m = m.written()
     return quality.report([quality.not_null(frame(m, t), t, cols) for t, cols in NOT_NULL.items()])
 
 
@@ -67,6 +69,7 @@ def dq_not_null(m):
     ),
 )
 def dq_unique(m):
+    m = m.written()
     return quality.report([quality.unique(frame(m, t), t, c) for t, c in UNIQUE.items()])
 
 
@@ -85,6 +88,7 @@ ACCEPTED = [
     ),
 )
 def dq_accepted_values(m):
+    m = m.written()
     return quality.report([quality.accepted_values(frame(m, t), t, c, v) for t, c, v in ACCEPTED])
 
 
@@ -110,6 +114,7 @@ RELATIONS = [
     ),
 )
 def dq_relationships(m):
+    m = m.written()
     return quality.report(
         [quality.relationships(frame(m, t), t, c, frame(m, p), pc) for t, c, p, pc in RELATIONS]
     )

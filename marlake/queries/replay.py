@@ -65,7 +65,7 @@ union all select 'payments', count(*) from v_payments where order_id in (select
 union all select 'reviews', count(*) from v_reviews where order_id in (select order_id from {STABLE} s)""",
 )
 def stable_window_orders(m):
-    orders = stable(m)
+    m, orders = m.written(), stable(m)
     kept = {
         "orders": orders,
         "items": replay.of_orders(m.items, orders),
