@@ -34,9 +34,12 @@ def prior_ewma(
     value: str,
     out: str,
     alpha: float = 0.3,
+    through: str | None = None,
 ) -> DataFrame:
     """Add ``out``: the mean over earlier rows of the group, newest rows weighing most.
 
+    ``through`` names a second output, the mean with the current row in it.
+
     Recursion y = (w*y + alpha*x) / (w + alpha) with w = (1 - alpha) ** (rows since the last
     value); missing values leave y as it is, the first value starts it. Rows are cut into blocks
     of fixed length by their position, each block also gets the rows of the block before it, and
@@ -72,4 +75,6 @@ def prior_ewma(
     points = points.withColumn("_c", F.when(seen, F.col("_gain") * x * F.exp(-F.col("_p"))).otherwise(F.lit(0.0)))
     points = points.withColumn("_state", F.when(seen, F.exp(F.col("_p")) * F.sum("_c").over(upto)))
     states = points.where("_own").drop("_own", "_block", "_last", "_ln", "_gain", "_p", "_c", "_pos")
-    return running(states, groups, order, last={out: "_state"}).select(*cols, out)
+    result = running(states, groups, order, last={out: "_state"})
+    extra = [F.coalesce("_state", out).alias(through)] if through else []
+    return result.select(*cols, out, *extra)

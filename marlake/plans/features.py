@@ -18,7 +18,7 @@ from marlake.operators.ewma import prior_ewma
 from marlake.operators.ordered import running
 from marlake.operators.priors import current_rate, overall_mean, prior_mean
 from marlake.operators.quantiles import median
-from marlake.session import stage
+from marlake.session import stage, together
 
 # Smoothing and shrinkage weights, holiday months, label limit.
 EWMA_ALPHA = 0.3
@@ -190,7 +190,7 @@ def negative_review():
 
 def delivered_without_review(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     delivered = orders.where(F.col("order_status") == "delivered")
-    return delivered.join(reviews.select("order_id"), "order_id", "left_anti")
+    return delivered.join(reviews.select("order_id").distinct(), "order_id", "left_anti")
 
 
 def open_orders(orders: DataFrame) -> DataFrame:
@@ -254,20 +254,21 @@ def point_in_time_rates(base: DataFrame) -> DataFrame:
     def narrow(*cols):
         return base.select(*BY_TIME, y, *cols)
 
-    everywhere = prior_mean(narrow(), [], BY_TIME, {"global_prior": y}).select(
-        "order_id", F.coalesce("global_prior", overall).alias("global_prior")
-    )
-    seller = prior_ewma(narrow("seller_id"), ["seller_id"], BY_TIME, y, "ewma", EWMA_ALPHA)
-    category = prior_mean(
-        narrow("main_category", "promised_delivery_days"),
-        ["main_category"],
-        BY_TIME,
-        {"category_rate": y, "category_promised": "promised_delivery_days"},
-    )
-    state = prior_mean(narrow("customer_state"), ["customer_state"], BY_TIME, {"state_rate": y})
-    route = prior_mean(
-        narrow("state_pair"), ["state_pair"], BY_TIME, {"route_rate": y}, count="route_count"
+    everywhere, seller, category, state, route = together(
+        lambda: prior_mean(narrow(), [], BY_TIME, {"global_prior": y}),
+        lambda: prior_ewma(narrow("seller_id"), ["seller_id"], BY_TIME, y, "ewma", EWMA_ALPHA),
+        lambda: prior_mean(
+            narrow("main_category", "promised_delivery_days"),
+            ["main_category"],
+            BY_TIME,
+            {"category_rate": y, "category_promised": "promised_delivery_days"},
+        ),
+        lambda: prior_mean(narrow("customer_state"), ["customer_state"], BY_TIME, {"state_rate": y}),
+        lambda: prior_mean(
+            narrow("state_pair"), ["state_pair"], BY_TIME, {"route_rate": y}, count="route_count"
+        ),
     )
+    everywhere = everywhere.select("order_id", F.coalesce("global_prior", overall).alias("global_prior"))
 
     def if_named(group, col):
         return F.when(F.col(group).isNotNull(), F.col(col))
@@ -312,13 +313,14 @@ def current_rates(history: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def current_ewma(ewma: DataFrame) -> DataFrame:
-    """Last known value of the shifted mean per seller.
+def current_ewma(ewma: DataFrame, column: str = "ewma") -> DataFrame:
+    """Last known value of the moving mean per seller.
 
-    The value in front of the seller's latest order counts, so that order itself is left out.
+    With the shifted mean the seller's latest order is left out; pass the column that
+    ``prior_ewma`` writes for ``through`` to have it in.
     """
-    position = F.when(F.col("ewma").isNotNull(), F.struct(*BY_TIME))
-    return ewma.groupBy("seller_id").agg(F.max_by("ewma", position).alias("seller_rate"))
+    position = F.when(F.col(column).isNotNull(), F.struct(*BY_TIME))
+    return ewma.groupBy("seller_id").agg(F.max_by(column, position).alias("seller_rate"))
 
 
 def with_current_rates(base: DataFrame, history: DataFrame) -> DataFrame:
@@ -326,7 +328,9 @@ def with_current_rates(base: DataFrame, history: DataFrame) -> DataFrame:
     overall = overall_mean(history, "is_delayed_num")
     promised_mean = overall_mean(base, "promised_delivery_days")
     # Written, so that Spark knows their size and broadcasts only what is small enough.
-    rates = {name: stage(rate, f"rate-{name}") for name, rate in current_rates(history).items()}
+    found = current_rates(history)
+    written = together(*[lambda rate=rate, name=name: stage(rate, f"rate-{name}") for name, rate in found.items()])
+    rates = dict(zip(found, written))
     wide = (
         base.join(rates["seller"], "seller_id", "left")
         .join(rates["category"], "main_category", "left")

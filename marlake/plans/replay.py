@@ -66,6 +66,25 @@ def growth_factor(target: Column, rate: float, start: str) -> Column:
     return F.pow(F.lit(float(rate)), days / F.lit(DAYS_PER_YEAR))
 
 
+def replayed_windows(orders: DataFrame, windows: DataFrame, templates: DataFrame) -> DataFrame:
+    """Orders of the template day whose purchase hour lies in the window, for many windows at once.
+
+    windows -- target_date, start_hour, end_hour, batch_id; one row per six-hour block.
+    """
+    days = F.broadcast(
+        windows.join(templates, "target_date").withColumnsRenamed(
+            {"template_date": "purchase_date", "batch_id": "window_batch"}
+        )
+    )
+    hour = F.hour(TS)
+    return (
+        orders.join(days, "purchase_date")
+        .where((hour >= F.col("start_hour")) & (hour < F.col("end_hour")))
+        .drop("start_hour", "end_hour")
+        .withColumnRenamed("purchase_date", "template_date")
+    )
+
+
 def replayed(orders: DataFrame, templates: DataFrame, hours: tuple[int, int] | None = None) -> DataFrame:
     """Orders of each target's template day, optionally of some purchase hours only."""
     if hours is not None:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,6 +75,16 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def together(*builders: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Build several frames at the same time.
+
+    For frames whose building runs jobs of its own (staged tables); the cluster works on all of
+    them instead of one after the other.
+    """
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        return list(pool.map(lambda build: build(), builders))
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete one folder through the Hadoop file system API."""
     jvm = spark.sparkContext._jvm

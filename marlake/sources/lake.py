@@ -33,7 +33,9 @@ class Lake:
         """Read a table; ``batch_ids`` prunes to those partitions before anything else runs."""
         # Batch ids stay text: ids such as 2024 must not turn into numbers by inference.
         self.spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-        df = self.spark.read.option("mergeSchema", "true").parquet(self.path(layer, table))
+        # Only bronze grows columns; elsewhere one file tells the schema of all.
+        reader = self.spark.read.option("mergeSchema", str(layer == "bronze").lower())
+        df = reader.parquet(self.path(layer, table))
         return df if batch_ids is None else df.where(F.col(BATCH).isin(list(batch_ids)))
 
     # --- batch-partitioned tables -----------------------------------------------------------

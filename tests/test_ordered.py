@@ -105,6 +105,15 @@ def test_ewma_matches_pandas(spark, many_chunks, nulls):
     np.testing.assert_allclose(out.e.to_numpy(float), p.e.to_numpy(float), atol=1e-9)
 
 
+def test_ewma_through_the_current_row(spark):
+    pdf = frame(300, nulls=0.2)
+    pdf = pdf[pdf.g.notna()]
+    out = by_key(prior_ewma(to_spark(spark, pdf), ["g"], ["t", "k"], "x", "e", through="now"), "now")
+    p = pdf.sort_values(["g", "t", "k"])
+    p["now"] = p.groupby("g")["x"].transform(lambda s: s.ewm(alpha=0.3, adjust=False).mean())
+    np.testing.assert_allclose(out.now.to_numpy(float), p.set_index("k").sort_index().now.to_numpy(float), atol=1e-9)
+
+
 def test_ewma_over_a_long_gap(spark):
     n = 1500
     x = [None] * n
