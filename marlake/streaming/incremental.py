@@ -93,25 +93,40 @@ def fact_increment(table: str, rows: DataFrame, customers: DataFrame) -> DataFra
     }[table](rows)
 
 
+def refresh_facts(lake: Lake, table: str, batch_ids: list[str]) -> None:
+    """Bring a fact table in line with silver for some batches.
+
+    The fact table itself tells which older batches still hold keys that have moved on, so the
+    step does not depend on what an interrupted run did to silver before.
+    """
+    fact, keys = FACT_STEPS[table], TABLE_KEYS[table]
+    wanted = set(batch_ids)
+    if lake.exists("gold", fact):
+        fresh = lake.read("silver", f"silver_{table}", batch_ids).select(*keys)
+        older = lake.read("gold", fact).where(~F.col(BATCH).isin(batch_ids))
+        wanted.update(_batches(older.join(fresh, keys, "left_semi")))
+    rows = lake.read("silver", f"silver_{table}", sorted(wanted))
+    present = set(_batches(rows))
+    if present:
+        customers = lake.read("silver", "silver_customers")
+        lake.write_batches("gold", fact, fact_increment(table, rows, customers))
+    lake.remove_batches("gold", fact, sorted(wanted - present))
+
+
 def process_batches(lake: Lake, batch_ids: list[str]) -> dict[str, Touched]:
     """All silver and fact steps for some batches.
 
-    Every step replaces exactly the partitions it owns, so after a crash the same call resumes
-    by doing the steps again, with the same outcome.
+    Every step looks at its own target and replaces exactly the partitions it owns, so after a
+    crash the same call resumes by doing the steps again, with the same outcome.
     """
-    touched: dict[str, Touched] = {}
-    for table in SILVER_STEPS:
-        if not lake.exists("bronze", f"bronze_{table}"):
-            continue
+    loaded = [t for t in SILVER_STEPS if lake.exists("bronze", f"bronze_{t}")]
+    touched = {}
+    for table in loaded:
         bronze = lake.read("bronze", f"bronze_{table}", batch_ids)
         touched[table] = upsert_batches(lake, table, SILVER_STEPS[table](bronze))
-    for table, fact in FACT_STEPS.items():
-        change = touched.get(table, Touched([], []))
-        if change.rewritten:
-            rows = lake.read("silver", f"silver_{table}", change.rewritten)
-            customers = lake.read("silver", "silver_customers")
-            lake.write_batches("gold", fact, fact_increment(table, rows, customers))
-        lake.remove_batches("gold", fact, change.emptied)
+    for table in FACT_STEPS:
+        if table in loaded and lake.exists("silver", f"silver_{table}"):
+            refresh_facts(lake, table, batch_ids)
     return touched
 
 

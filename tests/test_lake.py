@@ -237,6 +237,19 @@ def test_a_run_interrupted_before_the_facts_resumes(spark, lake):
     assert same(lake)
 
 
+def test_an_interrupted_run_leaves_no_outdated_facts(spark, lake):
+    lake.write_batches("bronze", "bronze_customers", bronze_customers(spark, [("c1", "p1", B[0])]))
+    lake.write_batches(
+        "bronze", "bronze_orders",
+        bronze_orders(spark, [("o1", "c1", "created", 5, B[0]), ("o2", "c1", "shipped", 5, B[0]), ("o1", "c1", "delivered", 9, B[1])]),
+    )
+    incremental.process_batches(lake, [B[0]])
+    # Silver has moved on, the run ends before the facts, and is started again.
+    incremental.upsert_batches(lake, "orders", silver.orders(lake.read("bronze", "bronze_orders", [B[1]])))
+    incremental.process_batches(lake, [B[1]])
+    assert same(lake)
+
+
 def test_cursors_are_required(lake):
     with pytest.raises(RuntimeError):
         incremental.run_pending(lake)
