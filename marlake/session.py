@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -48,14 +47,11 @@ def local_session(cpus: int = 8, app: str = "marlake", **conf: str) -> SparkSess
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by all executors: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    A session without that setting uses its own warehouse folder, on any master.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="marlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/marlake-scratch"
     return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
