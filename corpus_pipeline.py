@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlake.llm import near_dup, packing, pii
-from marlake.llm.common import small_side
+from marlake.llm import decontamination, importance, near_dup, packing, pii
+from marlake.llm.common import small_side, without
 from marlake.llm.queries import KEY, VOCABULARY
 from marlake.session import configure, stage
 
@@ -19,6 +19,12 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 PERCENT = 80
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the importance resampling keeps; labels come from the table beside the documents."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return without(docs, importance.resample(docs, labels), ~F.col("kept")).select(COLUMNS)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the smallest id; of rows that repeat an id, one stays."""
     found = near_dup.near_duplicates(docs, percent=PERCENT)
@@ -27,6 +33,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return kept.where("_rows = 1").select(COLUMNS).union(kept.where("_rows > 1").dropDuplicates(["doc_id"]).select(COLUMNS))
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item is found."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return without(docs, decontamination.find_leaks(docs, benchmark), F.col("contaminated")).select(COLUMNS)
+
+
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates for personal data; ``n_chars`` follows the text."""
     out = pii.replace_personal_data(docs, KEY)
@@ -39,7 +51,9 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality classifier", quality),
     ("near duplicates", near_duplicates),
+    ("benchmark decontamination", decontaminated),
     ("personal data", personal_data),
     ("packing", packed),
 ]

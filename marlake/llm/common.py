@@ -20,6 +20,7 @@ from marlake.session import stage
 # White space between words: the ASCII blanks only. A word is a run of anything else.
 BLANKS = r"[\x20\x09-\x0D]+"
 SLICE_BYTES = 8 << 20
+BATCH_ROWS = 2500
 # A side with at most this many narrow rows is sent to every executor; a larger one is shuffled.
 SMALL_ROWS = 1_000_000
 
@@ -42,6 +43,14 @@ def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def without(docs: DataFrame, verdicts: DataFrame, gone: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose verdict (by id and ``text_hash``) is ``gone``; nulls match nulls."""
+    bad = stage(verdicts.where(gone).select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct(), "rejected")
+    mine = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    same = (mine == F.col("_bad_hash")) & F.col(id_col).eqNullSafe(F.col("_bad_id"))
+    return docs.join(small_side(bad), same, "left_anti")
+
+
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """Cut a text column into (first row, rows) of about ``limit`` bytes; a longer text stands alone. Null counts as empty."""
     sizes = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
@@ -105,7 +114,8 @@ def positions(df: DataFrame, order: Sequence[Column], weight: str) -> DataFrame:
 
 
 def with_package(spark: SparkSession) -> None:
-    """Send this package's code to the Python workers, once per application."""
+    """Send this package's code to the Python workers, once per application, and bound the rows of an Arrow batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, "_marlake_sent", None) != context.applicationId:
         root = Path(marlake.__file__).parent

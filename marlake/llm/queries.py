@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlake.llm import near_dup, packing, pii, quality_rules, sharding, token_files, warc
+from marlake.llm import decontamination, importance, near_dup, packing, pii, quality_rules, sharding, token_files, toxicity, warc
 from marlake.llm.sql import SQL
 from marlake.session import configure, scratch_path
 
@@ -62,6 +62,12 @@ def op4_bottom_k_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op5_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight and verdict of every document."""
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op6_bit_packed_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's place and checksum, as read back from the packed files."""
@@ -70,6 +76,13 @@ def op6_bit_packed_ids(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.documents(token_files.read_blocks(spark, path), with_ids=False)
 
 
+@query
+def op7_naive_bayes_ngrams(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 @query
 def op8_prefix_sum_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Shard and slot of every document."""
@@ -77,6 +90,12 @@ def op8_prefix_sum_shards(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+@query
+def op9_latent_retrieval(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items found in every document."""
+    return decontamination.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op10_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with surrogates for its personal data."""
