@@ -1,8 +1,8 @@
 """Toxicity scores: a linear classifier on character n-grams, scaled by naive Bayes log-count ratios.
 
 A feature is the presence of a hashed n-gram in a text. Its scale is the log ratio of its smoothed
-document counts in the two classes; features whose ratio is within ``Z`` standard errors of zero
-are left out. A logistic regression on the scaled features gives the score.
+document counts in the two classes; features that a likelihood-ratio test does not tell from
+chance (``Z`` standard deviations) are left out. A logistic regression on the scaled features gives the score.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from marlake.session import stage
 ORDERS = (3, 4, 5)
 BITS = 20
 SMOOTHING = 0.5
-Z = 3.5
+Z = 3.0
 MOST_PER_CLASS = 10_000
 REGULARISATION = 1e-4
 SLICE = 4 << 20
@@ -95,6 +95,17 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     return stage(rows.join(F.broadcast(sample), "_id").select("_text", "_label", "_weight"), "training")
 
 
+def deviance(bad: Column, good: Column, n_bad: int, n_good: int) -> Column:
+    """Twice the log-likelihood ratio of two shares, bad of n_bad and good of n_good, against one common share."""
+    n = n_bad + n_good
+    total = F.lit(0.0)
+    for seen, size in ((bad, n_bad), (good, n_good)):
+        with_it, without_it = (bad + good) * size / n, (n - bad - good) * size / n
+        total += F.when(seen > 0, seen * F.log(seen / with_it)).otherwise(0.0)
+        total += F.when(seen < size, (size - seen) * F.log((size - seen) / without_it)).otherwise(0.0)
+    return 2 * total
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most: int = MOST_PER_CLASS) -> Model:
     """Train on at most about ``most`` labelled rows of each class.
 
@@ -123,11 +134,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(seen[1][used]), pa.array(seen[0][used])], names=["bucket", "bad", "good"])
 
     counts = rows.mapInArrow(count, "bucket long, bad long, good long").groupBy("bucket").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    # The ratio and its standard error, of the shares of documents with the feature.
-    bad, good = F.col("bad") + SMOOTHING, F.col("good") + SMOOTHING
-    ratio = F.log(bad / (n_bad + 2 * SMOOTHING)) - F.log(good / (n_good + 2 * SMOOTHING))
-    error = F.sqrt(1 / bad - 1 / F.lit(n_bad + 2 * SMOOTHING) + 1 / good - 1 / F.lit(n_good + 2 * SMOOTHING))
-    chosen = counts.select("bucket", ratio.alias("r"), error.alias("e")).where(F.abs("r") > F.col("e") * Z).select("bucket", "r").toArrow()
+    ratio = F.log((F.col("bad") + SMOOTHING) / (n_bad + 2 * SMOOTHING)) - F.log((F.col("good") + SMOOTHING) / (n_good + 2 * SMOOTHING))
+    told = counts.select("bucket", ratio.alias("r"), deviance(F.col("bad"), F.col("good"), n_bad, n_good).alias("g"))
+    chosen = told.where(F.col("g") > Z * Z).select("bucket", "r").toArrow()
     used = chosen["bucket"].to_numpy()  # at most one per bucket
     ratios = chosen["r"].to_numpy()[np.argsort(used)]
     used = np.sort(used)
