@@ -5,7 +5,7 @@ similarity with an item, so documents are reduced to these words and their place
 ``BLOCK`` words are the rows of a TF-IDF matrix (passage frequencies over all documents). A
 randomised SVD of this matrix, in one distributed pass (test matrix, product with the Gram
 matrix, Nyström factors), gives a latent space; the items' own blocks are rows of it too, and
-weigh as much as all documents together, so that the space holds what tells items apart. Every two neighbouring blocks make a passage; a
+weigh ``ITEM_POWER`` times as much as all documents together, so that the space holds what tells items apart. Every two neighbouring blocks make a passage; a
 passage whose cosine with a passage of an item is high enough, and which holds enough of its length, is a candidate. A candidate is
 confirmed by the longest common subsequence of the item and the words around the place, weighted
 by inverse frequency: either most of the item is there, or about half of it together with its
@@ -28,7 +28,7 @@ from marlake.llm.common import positions, small_side, text_slices, with_package
 from marlake.session import stage
 
 BLOCK = 16
-RANK = 128
+RANK = 64
 OVERSAMPLE = 16
 COSINE = 0.5
 CONTAINED = 0.5
@@ -36,7 +36,9 @@ COPIED = 0.8
 PARAPHRASED = 0.5
 ANSWERED = 0.8
 FEW_WORDS = 8
-COMMON = 0.01
+COMMON = 0.003
+ITEM_POWER = 4
+WORDS = 1 << 18
 ITEMS = 256
 QUERIES = 64
 FAN_IN = 64
@@ -109,6 +111,18 @@ def encode(docs: DataFrame, vocabulary: pa.Array) -> DataFrame:
     return docs.mapInArrow(run, ENCODED)
 
 
+def sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Encoded batches cut into runs of texts with about ``WORDS`` words, so that a task holds few of them at once."""
+    for batch in batches:
+        ends = batch.column(2).offsets.to_numpy()[1:].astype(np.int64)
+        first = 0
+        while first < len(batch):
+            begun = ends[first - 1] if first else batch.column(2).offsets[0].as_py()
+            last = max(first + 1, int(np.searchsorted(ends, begun + WORDS, side="right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def opened(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of an encoded batch: the bounds of its texts, and for each word its text, its place and its code."""
     lists = batch.column(2)
@@ -134,7 +148,7 @@ def frequencies(encoded: DataFrame, size: int) -> tuple[np.ndarray, int]:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, total = np.zeros(size + 1, np.int64), 0
-        for batch in batches:
+        for batch in sliced(batches):
             _, owner, place, codes = opened(batch)
             block, first = blocks_of(owner, place, batch.column(1).to_numpy())
             pairs = np.unique(block * size + codes)
@@ -186,7 +200,7 @@ def latent_space(encoded: DataFrame, items: Items, weight: np.ndarray, df: np.nd
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((size, width), np.float32)
-        for batch in batches:
+        for batch in sliced(batches):
             _, owner, place, codes = opened(batch)
             block, _ = blocks_of(owner, place, batch.column(1).to_numpy())
             own = used[codes]
@@ -211,7 +225,7 @@ def latent_space(encoded: DataFrame, items: Items, weight: np.ndarray, df: np.nd
     codes = np.concatenate(items.words)
     own = used[codes]
     if own.any():
-        power = (df * weight**2).sum() / (weight[codes[own]] ** 2).sum()
+        power = ITEM_POWER * (df * weight**2).sum() / (weight[codes[own]] ** 2).sum()
         product += max(power, 1e-6) * gram_product(rows[own], codes[own], weight.astype(np.float64), test.astype(np.float64))
     return (nystrom(product, test.astype(np.float64), rank) * weight[:, None]).astype(np.float32)
 
@@ -260,7 +274,7 @@ def search(encoded: DataFrame, items: Items, space: np.ndarray, weight: np.ndarr
     mass = np.maximum(idf, 0.05)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             bounds, owner, place, codes = opened(batch)
             n_words = batch.column(1).to_numpy()
             block, first = blocks_of(owner, place, n_words)
@@ -330,7 +344,7 @@ def find_leaks(
 
     Every document is searched whole against every item; items are taken in blocks of
     ``items_at_once``, the only part of the benchmark that is sent to all tasks. Words in more than
-    one hundredth of all blocks of text do not enter the latent space (they would say nothing), but count in the subsequence with
+    three thousandths of all blocks of text do not enter the latent space (they would say nothing), but count in the subsequence with
     their small weight; an item of such words only is searched with all of its words.
 
     Null and empty texts are not contaminated; an item without a word, or with a null id, finds
