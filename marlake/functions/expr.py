@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,11 +33,6 @@ def sunday_week_of_year(day) -> Column:
     return F.floor((F.dayofyear(day) + 7 - F.dayofweek(day)) / 7).cast("int")
 
 
-def monday_weekday(day) -> Column:
-    """Day of week with Monday = 0."""
-    return F.weekday(_c(day))
-
-
 def batch_window_id(ts, hours: int = 6) -> Column:
     """Identifier of the tumbling block of ``hours`` that holds ``ts``: live-<date>-HH-HH."""
     start = F.floor(F.hour(_c(ts)) / hours) * hours
@@ -126,9 +120,5 @@ def decimals_to_double(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("double") for name in wide}) if wide else df
 
 
-def all_of(conditions) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
-
-
 def _c(x) -> Column:
     return x if isinstance(x, Column) else F.col(x)

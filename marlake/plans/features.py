@@ -15,7 +15,6 @@ from marlake.functions.expr import (
 )
 from marlake.operators.dedup import first_per_key
 from marlake.operators.ewma import prior_ewma
-from marlake.operators.ordered import running
 from marlake.operators.priors import current_rate, overall_mean, prior_mean
 from marlake.operators.quantiles import median
 from marlake.session import stage, together
@@ -27,6 +26,7 @@ SELLER_WEIGHT = 10.0
 HOLIDAY_MONTHS = (11, 12)
 NEGATIVE_SCORE = 2
 
+# Inputs of the models, which must match by name.
 DELIVERY_NUMERIC = [
     "price",
     "freight_value",
@@ -74,10 +74,17 @@ VALUE_NUMERIC = [
 ]
 VALUE_CATEGORICAL = ["first_order_main_category", "payment_type", "customer_state"]
 
+SELLER_CLUSTERS = ["revenue_log", "n_orders_log", "delay_rate", "review_score"]
+
 BY_TIME = ["order_purchase_timestamp", "order_id"]
 
 
 # --- order grain ----------------------------------------------------------------------------
+def of_orders(children: DataFrame, orders: DataFrame) -> DataFrame:
+    """Child rows of the given orders; put below a grouping, so that only these rows are grouped."""
+    return children.join(orders.select("order_id"), "order_id", "left_semi")
+
+
 def item_group_sums(items: DataFrame, products: DataFrame, sellers: DataFrame | None = None) -> DataFrame:
     """Items summed per (order, seller, category)."""
     volume = F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")
@@ -227,8 +234,8 @@ def delivery_base(
             F.col("is_delayed").cast("int").cast("double").alias("is_delayed_num"),
         )
         .join(profiles.select("customer_unique_id", "customer_state", "customer_zip_code_prefix"), "customer_unique_id")
-        .join(dominant_item(items, products, sellers), "order_id")
-        .join(top_payment(payments), "order_id")
+        .join(dominant_item(of_orders(items, orders), products, sellers), "order_id")
+        .join(top_payment(of_orders(payments, orders)), "order_id")
     )
     featured = with_ratios(with_calendar(with_distance(joined, geolocation)))
     return featured.withColumns(
@@ -397,10 +404,11 @@ def review_features(market_frames: dict[str, DataFrame], training: bool) -> Data
     orders that have no review yet.
     """
     orders, reviews = market_frames["orders"], market_frames["reviews"]
-    dominant = dominant_item(market_frames["items"], market_frames["products"])
-    paid = top_payment(market_frames["payments"]).select("order_id", "payment_type")
+    items, products, payments = market_frames["items"], market_frames["products"], market_frames["payments"]
 
     def framed(selected: DataFrame) -> DataFrame:
+        dominant = dominant_item(of_orders(items, selected), products)
+        paid = top_payment(of_orders(payments, selected)).select("order_id", "payment_type")
         joined = selected.join(dominant, "order_id").join(paid, "order_id")
         late = F.col("is_delayed").cast("int").cast("double")
         return joined.withColumns(
@@ -432,7 +440,7 @@ def review_features(market_frames: dict[str, DataFrame], training: bool) -> Data
         delivered = orders.where(F.col("order_status") == "delivered")
         history = stage(
             delivered.select(*BY_TIME, F.col("is_delayed").cast("int").cast("double").alias("is_delayed_num")).join(
-                dominant.select("order_id", "seller_id"), "order_id"
+                dominant_item(of_orders(items, delivered), products).select("order_id", "seller_id"), "order_id"
             ),
             "history",
         )
@@ -453,10 +461,10 @@ def review_features(market_frames: dict[str, DataFrame], training: bool) -> Data
 # --- sellers --------------------------------------------------------------------------------
 def seller_orders(orders: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
     """(order, seller) grain: price sum, item count, delay, and review sums of the order."""
-    sold = items.groupBy("order_id", "seller_id").agg(
+    sold = of_orders(items, orders).groupBy("order_id", "seller_id").agg(
         F.sum("price").cast("decimal(18,2)").alias("price"), F.count(F.lit(1)).alias("n_items")
     )
-    scored = reviews.groupBy("order_id").agg(
+    scored = of_orders(reviews, orders).groupBy("order_id").agg(
         F.sum("review_score").alias("score_sum"),
         F.count("review_score").alias("score_n"),
         F.count(F.lit(1)).alias("review_rows"),
@@ -588,7 +596,7 @@ def first_order_features(
 
 def lifetime_values(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Price plus freight over all orders of a person."""
-    spent = items.groupBy("order_id").agg(F.sum(F.col("price") + F.col("freight_value")).alias("v"))
+    spent = of_orders(items, orders).groupBy("order_id").agg(F.sum(F.col("price") + F.col("freight_value")).alias("v"))
     return (
         orders.select("customer_unique_id", "order_id")
         .join(spent, "order_id")
@@ -615,7 +623,7 @@ def incremental_value(
 
 def customer_scoring_base(orders: DataFrame, profiles: DataFrame, items: DataFrame, as_of: str) -> DataFrame:
     """Recency and spend of each person as of a date, with their logs."""
-    spent = items.groupBy("order_id").agg(F.sum(F.col("price") + F.col("freight_value")).alias("v"))
+    spent = of_orders(items, orders).groupBy("order_id").agg(F.sum(F.col("price") + F.col("freight_value")).alias("v"))
     return (
         orders.select("customer_unique_id", "order_id", "order_purchase_timestamp")
         .join(spent, "order_id")
@@ -634,11 +642,6 @@ def customer_scoring_base(orders: DataFrame, profiles: DataFrame, items: DataFra
     )
 
 
-def global_ranked(df: DataFrame, order: list[str], out: str = "position") -> DataFrame:
-    """Position of each row in a total order over the whole frame, from 0, and the row count."""
-    return running(df, [], order, sums={out: F.lit(1)}, totals={f"{out}_of": out})
-
-
 def label_balance(df: DataFrame, label: str) -> DataFrame:
     counted = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     return shares(counted, "n")

@@ -11,11 +11,12 @@ from marlake.operators import quality
 from marlake.plans import features, gold, marts, ml, replay, scoring, silver
 from marlake.session import stage
 from marlake.sources import files
-from marlake.sources.lake import BATCH, Lake
+from marlake.sources.lake import BATCH, Lake, batches_of
 from marlake.sources.schemas import ORDER_STATUSES, RAW_SCHEMAS, REVIEW_SCORES
 from marlake.streaming.incremental import INGEST
-from marlake.streaming.windows import windows_between
+from marlake.streaming.windows import windows_between, with_batch_window
 
+TS = "order_purchase_timestamp"
 BATCH_TABLES = ["customers", "orders", "order_items", "order_payments", "order_reviews"]
 STATIC_TABLES = ["products", "sellers", "geolocation", "category_translation"]
 
@@ -41,62 +42,58 @@ def load_historical(lake: Lake) -> None:
         lake.append_new_batch("bronze", f"bronze_{name}", tagged.drop(BATCH), f"historical_{name}")
 
 
-def historical(lake: Lake, table: str) -> DataFrame:
-    return lake.read("bronze", f"bronze_{table}", [f"historical_{table}"])
+# --- arriving rows --------------------------------------------------------------------------
+def landed(lake: Lake, paths: dict[str, str]) -> dict[str, DataFrame]:
+    """The CSV files of a landing folder, one path per batch table."""
+    return {name: files.read_raw(lake.spark, name, paths[name]) for name in BATCH_TABLES}
 
 
-# --- resampled batches ----------------------------------------------------------------------
-def write_replay(lake: Lake, selected: DataFrame, stable: DataFrame, batch_id=None) -> None:
-    """Write replayed orders and their children, batch by batch, to bronze."""
-    customers = lake.read("bronze", "bronze_customers")
-    new = stage(replay.with_customers(replay.shifted_orders(selected, batch_id), customers), "replay")
-    persons = ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"]
-    orders = new.select(*[c for c in lake.read("bronze", "bronze_orders").columns])
-    lake.write_batches(
-        "bronze", "bronze_customers", new.where("is_new_customer").select(*persons, "is_synthetic", BATCH)
-    )
-    children = {
-        "order_items": replay.replayed_items,
-        "order_payments": replay.replayed_payments,
-        "order_reviews": replay.replayed_reviews,
-    }
-    for table, rule in children.items():
-        rows = replay.of_orders(historical(lake, table), stable)
-        lake.write_batches("bronze", f"bronze_{table}", rule(rows, new))
+def write_arrivals(lake: Lake, arrivals: dict[str, DataFrame], orders: DataFrame) -> None:
+    """Write orders that carry a batch id, and the customers and children that arrived with them, to bronze.
+
+    A child goes into the batch of its order, a customer into the first batch that names them.
+    Batches that are written again replace their partitions.
+    """
+    orders = stage(orders, "arrivals")
+    of_order = orders.select("order_id", BATCH)
+    of_customer = orders.groupBy("customer_id").agg(F.min(BATCH).alias(BATCH))
+
+    def write(table: str, rows: DataFrame) -> None:
+        tagged = files.tag(rows, F.col(BATCH), True)
+        lake.write_batches("bronze", f"bronze_{table}", tagged if table == "orders" else tagged.drop("source_template_date"))
+
+    write("customers", arrivals["customers"].join(of_customer, "customer_id"))
+    for table in ("order_items", "order_payments", "order_reviews"):
+        write(table, arrivals[table].join(of_order, "order_id"))
     # Orders last: a day counts as loaded once its orders are there.
-    lake.write_batches("bronze", "bronze_orders", orders)
+    write("orders", orders)
 
 
-def backfill(lake: Lake, start: date, end: date, max_days: int | None = None, growth: float = 1.0) -> list[date]:
-    """Replay every day from the cursor (or ``start``) to ``end`` in one job."""
+def backfill(lake: Lake, arrivals: dict[str, DataFrame], start: date, end: date) -> list[date]:
+    """Load the arrived rows of every day from the cursor (or ``start``) to ``end``, one batch per day, in one job."""
     cursor = lake.get_state(INGEST)
     first = start if cursor is None else cursor.date() + timedelta(days=1)
-    days = [first + timedelta(days=i) for i in range((end - first).days + 1)][:max_days]
+    days = [first + timedelta(days=i) for i in range((end - first).days + 1)]
     if not days:
         return []
-    stable = stage(replay.stable_orders(historical(lake, "orders")), "stable")
-    targets = lake.spark.createDataFrame([(d,) for d in days], "target_date date")
-    templates = replay.template_dates(targets, replay.calendar_buckets(stable))
-    selected = replay.grown(replay.replayed(stable, stage(templates, "templates")), growth, start.isoformat())
-    write_replay(lake, selected, stable)
-    lake.set_state(INGEST, datetime.combine(days[-1], time.max, tzinfo=timezone.utc))
+    day = F.to_date(TS)
+    due = arrivals["orders"].where(day.between(F.lit(first), F.lit(end)))
+    write_arrivals(lake, arrivals, due.withColumn(BATCH, F.concat(F.lit("backfill-"), day.cast("string"))))
+    lake.set_state(INGEST, datetime.combine(end, time.max, tzinfo=timezone.utc))
     return days
 
 
-def live_ingest(lake: Lake, now: datetime, hours: int = 6) -> list[str]:
-    """Replay every complete window between the cursor and ``now``."""
+def live_ingest(lake: Lake, arrivals: dict[str, DataFrame], now: datetime, hours: int = 6) -> list[str]:
+    """Load the arrived rows of every complete window between the cursor and ``now``, and move the cursor."""
     cursor = lake.get_state(INGEST)
     if cursor is None:
         raise RuntimeError("run the backfill first")
     due = windows_between(cursor.replace(tzinfo=None), now.replace(tzinfo=None), hours)
     if not due:
         return []
-    rows = [(start.date(), start.hour, start.hour + hours, batch) for start, _, batch in due]
-    windows = lake.spark.createDataFrame(rows, "target_date date, start_hour int, end_hour int, batch_id string")
-    stable = stage(replay.stable_orders(historical(lake, "orders")), "stable")
-    templates = replay.template_dates(windows.select("target_date").distinct(), replay.calendar_buckets(stable))
-    selected = replay.replayed_windows(stable, windows, stage(templates, "templates"))
-    write_replay(lake, selected, stable, F.col("window_batch"))
+    rows = arrivals["orders"].where((F.col(TS) >= F.lit(due[0][0])) & (F.col(TS) < F.lit(due[-1][1])))
+    cut = with_batch_window(rows, TS, hours).drop("window_start", "window_end")
+    write_arrivals(lake, arrivals, cut)
     lake.set_state(INGEST, due[-1][1].replace(tzinfo=timezone.utc))
     return [batch for _, _, batch in due]
 
@@ -106,8 +103,8 @@ def replace_batches(lake: Lake, layer: str, table: str, df: DataFrame) -> None:
     """Write all batches of a table and drop those that no longer have rows."""
     rows = stage(df, table)
     lake.write_batches(layer, table, rows)
-    kept = {r[0] for r in rows.select(BATCH).distinct().collect()}
-    there = {r[0] for r in lake.read(layer, table).select(BATCH).distinct().collect()}
+    kept = set(batches_of(rows))
+    there = set(batches_of(lake.read(layer, table)))
     lake.remove_batches(layer, table, sorted(there - kept))
 
 
@@ -217,49 +214,79 @@ def checks(lake: Lake) -> DataFrame:
     )
 
 
-# --- scoring --------------------------------------------------------------------------------
-def score_delivery_risk(lake: Lake, **trees) -> bool:
+# --- training -------------------------------------------------------------------------------
+def train_delivery_risk(lake: Lake, **trees) -> None:
+    train = stage(features.delivery_features(gold_frames(lake), training=True), "train")
+    numeric, categorical = features.DELIVERY_NUMERIC, features.DELIVERY_CATEGORICAL
+    lake.save_model("delivery_risk", ml.fit_classifier(train, "is_delayed_num", numeric, categorical, **(trees or ml.DELIVERY_TREES)))
+
+
+def train_review_risk(lake: Lake, **trees) -> None:
+    train = stage(features.review_features(gold_frames(lake), training=True), "train")
+    numeric, categorical = features.REVIEW_NUMERIC, features.REVIEW_CATEGORICAL
+    lake.save_model("review_risk", ml.fit_classifier(train, "negative_review", numeric, categorical, **(trees or ml.REVIEW_TREES)))
+
+
+def train_customers(lake: Lake, **trees) -> None:
+    """Value model and clusters of the historical customers, with the names of the clusters."""
+    g = gold_frames(lake)
+    past = g["orders"].where(~F.col("is_synthetic"))
+    train = stage(features.incremental_value(past, g["profiles"], g["items"], g["products"], g["payments"]), "train")
+    train = features.impute(train, "first_order_weight")
+    numeric, categorical = features.VALUE_NUMERIC, features.VALUE_CATEGORICAL
+    lake.save_model("customer_value", ml.fit_value_model(train, "log_incremental_clv", numeric, categorical, **(trees or ml.VALUE_TREES)))
+    rfm = lake.current("gold", "mart_customer_rfm").where(~F.col("is_synthetic"))
+    clusters = ml.fit_clusters(rfm, ["recency_log", "monetary_log"])
+    lake.save_model("customer_clusters", clusters)
+    lake.publish("models", "customer_cluster_names", scoring.customer_cluster_labels(ml.assign_clusters(clusters, rfm)))
+
+
+def train_sellers(lake: Lake) -> None:
+    train = seller_stats(lake, ~F.col("is_synthetic"))
+    clusters = ml.fit_clusters(train, features.SELLER_CLUSTERS)
+    lake.save_model("seller_clusters", clusters)
+    lake.publish("models", "seller_cluster_names", scoring.seller_cluster_labels(ml.assign_clusters(clusters, train)))
+
+
+def seller_stats(lake: Lake, cohort) -> DataFrame:
     g = gold_frames(lake)
+    sold = features.seller_orders(g["orders"].where(cohort), g["items"], g["reviews"])
+    return stage(features.seller_lifetime_stats(sold), "sellers")
+
+
+# --- scoring with the stored models ---------------------------------------------------------
+def score_delivery_risk(lake: Lake) -> bool:
     numeric, categorical = features.DELIVERY_NUMERIC, features.DELIVERY_CATEGORICAL
-    train = stage(features.delivery_features(g, training=True), "train")
-    model = ml.fit_classifier(train, "is_delayed_num", numeric, categorical, **(trees or ml.DELIVERY_TREES))
-    scored = ml.score(model, features.delivery_features(g, training=False), numeric, categorical, "risk_score")
+    waiting = features.delivery_features(gold_frames(lake), training=False)
+    scored = ml.score(lake.load_model("delivery_risk"), waiting, numeric, categorical, "risk_score")
     columns = ["order_id", "seller_id", "customer_state", "main_category", "risk_score", "promised_delivery_days"]
     return lake.publish_scores(
-        "predictions_delivery_risk", scoring.risk_tiers(scored.select(*columns), "risk_score", "order_id")
+        "predictions_delivery_risk", scoring.risk_tiers(stage(scored.select(*columns), "scored"), "risk_score", "order_id")
     )
 
 
-def score_review_risk(lake: Lake, **trees) -> bool:
-    g = gold_frames(lake)
+def score_review_risk(lake: Lake) -> bool:
     numeric, categorical = features.REVIEW_NUMERIC, features.REVIEW_CATEGORICAL
-    train = stage(features.review_features(g, training=True), "train")
-    model = ml.fit_classifier(train, "negative_review", numeric, categorical, **(trees or ml.REVIEW_TREES))
-    scored = ml.score(model, features.review_features(g, training=False), numeric, categorical, "risk_score")
-    chosen = scored.select(
-        "order_id", "seller_id", "main_category", "risk_score", F.col("is_delayed").alias("was_delayed")
+    pending = features.review_features(gold_frames(lake), training=False)
+    scored = ml.score(lake.load_model("review_risk"), pending, numeric, categorical, "risk_score")
+    chosen = scored.select("order_id", "seller_id", "main_category", "risk_score", F.col("is_delayed").alias("was_delayed"))
+    return lake.publish_scores(
+        "predictions_negative_review_risk", scoring.risk_tiers(stage(chosen, "scored"), "risk_score", "order_id")
     )
-    return lake.publish_scores("predictions_negative_review_risk", scoring.risk_tiers(chosen, "risk_score", "order_id"))
 
 
-def score_customers(lake: Lake, as_of: str, **trees) -> bool:
+def score_customers(lake: Lake, as_of: str) -> bool:
     """Segments and predicted value of the synthetic customers, and what to do about them."""
     g = gold_frames(lake)
-    numeric, categorical = features.VALUE_NUMERIC, features.VALUE_CATEGORICAL
-    past, live = g["orders"].where(~F.col("is_synthetic")), g["orders"].where("is_synthetic")
-    train = stage(features.incremental_value(past, g["profiles"], g["items"], g["products"], g["payments"]), "train")
-    model = ml.fit_value_model(
-        features.impute(train, "first_order_weight"), "log_incremental_clv", numeric, categorical, **(trees or ml.VALUE_TREES)
-    )
-    rfm = lake.current("gold", "mart_customer_rfm").where(~F.col("is_synthetic"))
-    clusters = ml.fit_clusters(rfm, ["recency_log", "monetary_log"])
-    labels = scoring.customer_cluster_labels(ml.assign_clusters(clusters, rfm))
+    live = g["orders"].where("is_synthetic")
     base = features.customer_scoring_base(live, g["profiles"], g["items"], as_of)
     first = features.first_order_features(live, g["items"], g["products"], g["payments"])
     customers = stage(base.join(first, "customer_unique_id", "left"), "customers")
     filled = features.impute(features.impute(customers, "first_order_weight"), "payment_installments", fill=1)
-    valued = ml.predict_value(model, filled, numeric, categorical, "predicted_incremental_value")
-    named = scoring.name_clusters(ml.assign_clusters(clusters, valued), labels)
+    value = lake.load_model("customer_value")
+    valued = ml.predict_value(value, filled, features.VALUE_NUMERIC, features.VALUE_CATEGORICAL, "predicted_incremental_value")
+    names = lake.current("models", "customer_cluster_names")
+    named = scoring.name_clusters(ml.assign_clusters(lake.load_model("customer_clusters"), valued), names)
     columns = ["customer_unique_id", "customer_state", "segment", "predicted_incremental_value"]
     return lake.publish_scores(
         "predictions_customer_actions", scoring.suggested_action(stage(named.select(*columns), "valued"))
@@ -268,16 +295,8 @@ def score_customers(lake: Lake, as_of: str, **trees) -> bool:
 
 def score_sellers(lake: Lake, as_of: str) -> bool:
     g = gold_frames(lake)
-    columns = ["revenue_log", "n_orders_log", "delay_rate", "review_score"]
-
-    def stats(orders):
-        return stage(features.seller_lifetime_stats(features.seller_orders(orders, g["items"], g["reviews"])), "sellers")
-
-    train = stats(g["orders"].where(~F.col("is_synthetic")))
-    model = ml.fit_clusters(train, columns)
-    labels = scoring.seller_cluster_labels(ml.assign_clusters(model, train))
-    live = g["orders"].where("is_synthetic")
-    named = scoring.name_clusters(ml.assign_clusters(model, stats(live)), labels).select(
+    clusters, names = lake.load_model("seller_clusters"), lake.current("models", "seller_cluster_names")
+    named = scoring.name_clusters(ml.assign_clusters(clusters, seller_stats(lake, F.col("is_synthetic"))), names).select(
         "seller_id",
         "segment",
         F.col("n_orders").alias("lifetime_orders"),
@@ -285,6 +304,7 @@ def score_sellers(lake: Lake, as_of: str) -> bool:
         F.col("delay_rate").alias("lifetime_delay_rate"),
         F.col("review_score").alias("lifetime_review_score"),
     )
+    live = g["orders"].where("is_synthetic")
     recent = features.seller_window_metrics(features.seller_orders(live, g["items"], g["reviews"]), as_of)
     return lake.publish_scores("predictions_seller_segments", named.join(recent, "seller_id", "left"))
 
@@ -292,8 +312,8 @@ def score_sellers(lake: Lake, as_of: str) -> bool:
 def refresh_forecast(lake: Lake, historical_end: str = replay.STABLE_END) -> bool:
     g = gold_frames(lake)
     daily = stage(ml.forecast_input(g["orders"], g["items"], historical_end), "daily")
-    first, last = daily.agg(F.min("ds"), F.max("ds")).head()
-    if first is None:
+    years = ml.years_of(daily)
+    if not years:
         return False
-    holidays = ml.holiday_days(ml.holiday_calendar(lake.spark, range(first.year, last.year + 2)))
+    holidays = ml.holiday_days(ml.holiday_calendar(lake.spark, years))
     return lake.publish_scores("mart_revenue_forecast", ml.forecast(daily, holidays))

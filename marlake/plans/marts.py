@@ -21,7 +21,7 @@ def daily_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Orders with items by purchase day and cohort."""
     joined = orders.select(
         "order_id", F.to_date("order_purchase_timestamp").alias("date_day"), "is_synthetic"
-    ).join(order_sums(items), "order_id")
+    ).join(order_sums(items.join(orders.select("order_id"), "order_id", "left_semi")), "order_id")
     return joined.groupBy("date_day", "is_synthetic").agg(
         F.count("order_id").alias("order_count"),
         F.sum("price").alias("total_product_revenue"),

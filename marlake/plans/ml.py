@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, timedelta
+from functools import partial
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -17,14 +17,20 @@ from pyspark.sql import functions as F
 
 from marlake.functions.expr import hash_int, ratio
 from marlake.operators.ordered import running
+from marlake.session import together
 
 MISSING = "missing"
 CLUSTERS = 3
 
-# Tree settings of the production models.
-DELIVERY_TREES = {"maxIter": 700, "maxDepth": 7, "stepSize": 0.0172, "subsamplingRate": 0.9239, "minInstancesPerNode": 8}
-REVIEW_TREES = {"maxIter": 450, "maxDepth": 4, "stepSize": 0.0380, "subsamplingRate": 0.9447, "minInstancesPerNode": 3}
-VALUE_TREES = {"maxIter": 300, "maxDepth": 5, "stepSize": 0.05}
+# One set of settings for jobs and registered queries. Depth is 5 and rounds are 20 for all trees (boosting with
+# Spark grows one tree per job), with a larger step; the share of rows and columns per tree and the
+# smallest leaf are those of the target models. Their minimum gain is a sum over rows, which has no
+# fixed counterpart in Spark's mean gain.
+DELIVERY_TREES = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.9239, "minInstancesPerNode": 8, "featureSubsetStrategy": "0.6167"}
+REVIEW_TREES = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.9447, "minInstancesPerNode": 3, "featureSubsetStrategy": "0.84"}
+VALUE_TREES = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1}
+STARTS = 4
+ITERATIONS = 200
 
 
 # --- preprocessing --------------------------------------------------------------------------
@@ -94,7 +100,7 @@ def fit_classifier(
 
 
 def fit_logistic(
-    df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str], iterations: int = 1000
+    df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str], iterations: int = ITERATIONS
 ) -> PipelineModel:
     """Logistic regression with both classes balanced."""
     frame = balanced_weight(
@@ -133,35 +139,33 @@ def cluster_input(columns: Sequence[str]) -> list:
     ]
 
 
+def kmeans(points: DataFrame, k: int, seed: int) -> KMeansModel:
+    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(points)
+
+
 def fit_clusters(
-    df: DataFrame, columns: Sequence[str], k: int = CLUSTERS, starts: int = 10, seed: int = 42
+    df: DataFrame, columns: Sequence[str], k: int = CLUSTERS, starts: int = STARTS, seed: int = 42
 ) -> PipelineModel:
     """KMeans with several starts; the one with the lowest cost is kept."""
     prep = Pipeline(stages=cluster_input(columns)).fit(df)
     points = prep.transform(df).select("features").cache()
     try:
-        best: KMeansModel | None = None
-        for start in range(starts):
-            found = KMeans(k=k, seed=seed + start, featuresCol="features", predictionCol="cluster").fit(points)
-            if best is None or found.summary.trainingCost < best.summary.trainingCost:
-                best = found
+        fits = together(*[partial(kmeans, points, k, seed + start) for start in range(starts)])
+        best = min(fits, key=lambda found: found.summary.trainingCost)
     finally:
         points.unpersist()
     return PipelineModel(stages=[*prep.stages, best])
 
 
-def elbow(df: DataFrame, columns: Sequence[str], ks: Sequence[int] = range(2, 9), starts: int = 10, seed: int = 42) -> DataFrame:
+def elbow(df: DataFrame, columns: Sequence[str], ks: Sequence[int] = range(2, 9), starts: int = STARTS, seed: int = 42) -> DataFrame:
     """Training cost for each number of clusters."""
     prep = Pipeline(stages=cluster_input(columns)).fit(df)
     points = prep.transform(df).select("features").cache()
     try:
-        rows = []
-        for k in ks:
-            costs = [
-                KMeans(k=k, seed=seed + s, featuresCol="features").fit(points).summary.trainingCost
-                for s in range(starts)
-            ]
-            rows.append((k, float(min(costs))))
+        tried = [(k, seed + start) for k in ks for start in range(starts)]
+        fits = together(*[partial(kmeans, points, k, own) for k, own in tried])
+        costs = [found.summary.trainingCost for found in fits]
+        rows = [(k, float(min(c for (own, _), c in zip(tried, costs) if own == k))) for k in ks]
     finally:
         points.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, training_cost double")
@@ -230,10 +234,6 @@ def average_precision(points: DataFrame) -> DataFrame:
     return points.agg(F.sum("area").alias("average_precision"))
 
 
-def pr_auc(scored: DataFrame, label: str, raw: str = "rawPrediction") -> float:
-    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName="areaUnderPR").evaluate(scored)
-
-
 # --- revenue forecast -----------------------------------------------------------------------
 def black_friday(year: int) -> date:
     """Friday after the fourth Thursday of November."""
@@ -269,6 +269,12 @@ HOLIDAYS = {
 }
 
 
+def years_of(days: DataFrame, ahead: int = 1) -> range:
+    """Calendar years of the column ``ds`` and ``ahead`` more; two values are fetched."""
+    first, last = days.agg(F.year(F.min("ds")), F.year(F.max("ds"))).head()
+    return range(0) if first is None else range(first, last + 1 + ahead)
+
+
 def holiday_calendar(spark, years: Sequence[int]) -> DataFrame:
     """One row per holiday and year with its window of days."""
     rows = [
@@ -276,6 +282,8 @@ def holiday_calendar(spark, years: Sequence[int]) -> DataFrame:
         for name, (rule, low, high) in HOLIDAYS.items()
         for y in years
     ]
+    if not rows:
+        return spark.createDataFrame([], "holiday string, ds date, lower_window int, upper_window int")
     return spark.sql(f"select * from values {', '.join(rows)} as t(holiday, ds, lower_window, upper_window)")
 
 

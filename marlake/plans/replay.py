@@ -17,7 +17,6 @@ TS = "order_purchase_timestamp"
 NOISE = 0.03
 FLOOR_AMOUNT = 0.5
 REPEAT_RATE = 0.0312
-POOL_LIMIT = 5000
 JITTER_MINUTES = 45
 STABLE_START, STABLE_END = "2017-01-01", "2018-08-31"
 DAYS_PER_YEAR = 365.25
@@ -232,15 +231,13 @@ def replayed_reviews(reviews: DataFrame, new_orders: DataFrame) -> DataFrame:
     )
 
 
-def with_customers(
-    new_orders: DataFrame, customers: DataFrame, rate: float = REPEAT_RATE, pool_limit: int = POOL_LIMIT
-) -> DataFrame:
+def with_customers(new_orders: DataFrame, customers: DataFrame, rate: float = REPEAT_RATE) -> DataFrame:
     """Give each new order a customer: now and then one of the pool, else a new person.
 
-    A new person has the geographic profile of the template order's customer. The pool holds the
-    first ``pool_limit`` synthetic customers that exist before this run.
+    A new person has the geographic profile of the template order's customer. The pool holds all
+    synthetic customers that exist before this run, numbered in the order of their ids.
     """
-    pool = synthetic_pool(customers, pool_limit)
+    pool = synthetic_pool(customers)
     drawn = new_orders.withColumns(
         {
             "_u": hash_uniform(F.lit("repeat"), "order_id"),
@@ -258,8 +255,7 @@ def with_customers(
     slotted = drawn.withColumn("_pool", size).withColumn(
         "_slot", F.when(reuse, F.pmod(F.col("_h"), F.greatest(F.col("_pool"), F.lit(1))))
     )
-    # At most pool_limit rows.
-    known = F.broadcast(slots.toDF("p_id", "p_person", "p_zip", "p_city", "p_state", "_slot"))
+    known = slots.toDF("p_id", "p_person", "p_zip", "p_city", "p_state", "_slot")
     profile = customers.select(
         F.col("customer_id").alias("template_customer_id"),
         F.col("customer_zip_code_prefix").alias("c_zip"),

@@ -98,10 +98,9 @@ def revenue_by_category(orders: DataFrame, items: DataFrame, products: DataFrame
 
 
 def revenue_by_state(orders: DataFrame, items: DataFrame, profiles: DataFrame) -> DataFrame:
+    live = orders.where("is_synthetic").select("order_id", "customer_unique_id")
     return (
-        orders.where("is_synthetic")
-        .select("order_id", "customer_unique_id")
-        .join(order_sums(items), "order_id")
+        live.join(order_sums(items.join(live.select("order_id"), "order_id", "left_semi")), "order_id")
         .groupBy("customer_unique_id")
         .agg(
             F.sum(F.col("price") + F.col("freight_value")).alias("amount"), F.count(F.lit(1)).alias("n")

@@ -109,7 +109,7 @@ def latest_checkpoint(m):
     "pool_limit",
     """
 select customer_id, customer_unique_id, customer_zip_code_prefix, customer_city, customer_state, is_synthetic
-from v_customers where is_synthetic order by customer_id limit 5000""",
+from v_customers where is_synthetic""",
 )
 def pool_limit(m):
     return lake.synthetic_pool(m.customers)

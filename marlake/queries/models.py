@@ -10,9 +10,6 @@ from marlake.queries.views import hashed
 from marlake.session import stage
 
 HISTORICAL_END = "2000-12-31"
-# Small settings for the registered queries; the production settings are in plans.ml.
-TREES = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1}
-SELLER_FEATURES = ["revenue_log", "n_orders_log", "delay_rate", "review_score"]
 
 
 # --- clusters -------------------------------------------------------------------------------
@@ -21,7 +18,7 @@ def ml_customer_segments(m):
     """Clusters trained on the historical cohort name the customers of the synthetic one."""
     rfm = stage(m.mart_customer_rfm, "rfm")
     train = rfm.where(~F.col("is_synthetic"))
-    model = ml.fit_clusters(train, ["recency_log", "monetary_log"], starts=3)
+    model = ml.fit_clusters(train, ["recency_log", "monetary_log"])
     labels = scoring.customer_cluster_labels(ml.assign_clusters(model, train))
     live = ml.assign_clusters(model, rfm.where("is_synthetic"))
     return scoring.name_clusters(live, labels).select("customer_unique_id", "recency", "monetary", "segment")
@@ -36,7 +33,7 @@ def ml_seller_segments(m):
         return stage(features.seller_lifetime_stats(per_order), "sellers")
 
     train = stats(~F.col("is_synthetic"))
-    model = ml.fit_clusters(train, SELLER_FEATURES, starts=3)
+    model = ml.fit_clusters(train, features.SELLER_CLUSTERS)
     labels = scoring.seller_cluster_labels(ml.assign_clusters(model, train))
     live = ml.assign_clusters(model, stats(F.col("is_synthetic")))
     windows = features.seller_window_metrics(sold(m), AS_OF)
@@ -57,7 +54,7 @@ def ml_seller_segments(m):
 @query("ml_elbow")
 def ml_elbow(m):
     rfm = stage(m.mart_customer_rfm.where(~F.col("is_synthetic")), "rfm")
-    return ml.elbow(rfm, ["recency_log", "monetary_log"], starts=2)
+    return ml.elbow(rfm, ["recency_log", "monetary_log"])
 
 
 # --- classifiers ----------------------------------------------------------------------------
@@ -67,7 +64,7 @@ def ml_delivery_risk(m):
     f = frames(m)
     train = stage(features.delivery_features(f, training=True), "train")
     numeric, categorical = features.DELIVERY_NUMERIC, features.DELIVERY_CATEGORICAL
-    model = ml.fit_classifier(train, "is_delayed_num", numeric, categorical, **TREES)
+    model = ml.fit_classifier(train, "is_delayed_num", numeric, categorical, **ml.DELIVERY_TREES)
     waiting = features.delivery_features(f, training=False)
     scored = ml.score(model, waiting, numeric, categorical, "risk_score")
     return scoring.risk_tiers(
@@ -85,7 +82,7 @@ def ml_review_risk(m):
     f = frames(m)
     train = stage(features.review_features(f, training=True), "train")
     numeric, categorical = features.REVIEW_NUMERIC, features.REVIEW_CATEGORICAL
-    model = ml.fit_classifier(train, "negative_review", numeric, categorical, **TREES)
+    model = ml.fit_classifier(train, "negative_review", numeric, categorical, **ml.REVIEW_TREES)
     pending = features.review_features(f, training=False)
     scored = ml.score(model, pending, numeric, categorical, "risk_score")
     return scoring.risk_tiers(
@@ -104,9 +101,9 @@ def ml_incremental_value(m):
     train = stage(
         features.incremental_value(past, f["profiles"], f["items"], f["products"], f["payments"]), "train"
     )
-    model = ml.fit_value_model(train, "log_incremental_clv", numeric, categorical, **TREES)
+    model = ml.fit_value_model(train, "log_incremental_clv", numeric, categorical, **ml.VALUE_TREES)
     rfm = stage(m.mart_customer_rfm.where(~F.col("is_synthetic")), "rfm")
-    clusters = ml.fit_clusters(rfm, ["recency_log", "monetary_log"], starts=3)
+    clusters = ml.fit_clusters(rfm, ["recency_log", "monetary_log"])
     labels = scoring.customer_cluster_labels(ml.assign_clusters(clusters, rfm))
 
     base = features.customer_scoring_base(live, f["profiles"], f["items"], AS_OF)
@@ -135,7 +132,7 @@ def ml_repeat_purchase(m):
     split = stage(
         ml.stratified_split(mart.where(~F.col("is_synthetic")), "repeat_purchase", "customer_unique_id"), "split"
     )
-    model = ml.fit_logistic(split.where(~F.col("is_test")), "repeat_purchase", numeric, categorical, iterations=50)
+    model = ml.fit_logistic(split.where(~F.col("is_test")), "repeat_purchase", numeric, categorical)
     scored = ml.score(model, split.where("is_test"), numeric, categorical, "probability_repeat")
     return scored.select("customer_unique_id", "repeat_purchase", "probability_repeat")
 
@@ -156,7 +153,7 @@ def ml_delivery_delay(m):
         {"label_delayed": F.col("is_delayed").cast("int"), "row_key": F.concat_ws("|", "order_id", "seller_id")}
     )
     split = stage(ml.stratified_split(rows, "label_delayed", "row_key"), "split")
-    model = ml.fit_logistic(split.where(~F.col("is_test")), "label_delayed", numeric, categorical, iterations=50)
+    model = ml.fit_logistic(split.where(~F.col("is_test")), "label_delayed", numeric, categorical)
     scored = ml.score(model, split.where("is_test"), numeric, categorical, "probability_delayed")
     return scored.select("order_id", "seller_id", "label_delayed", "probability_delayed")
 
@@ -224,7 +221,8 @@ def forecast_input(m):
     return ml.forecast_input(m.order_facts, m.fct_items, HISTORICAL_END)
 
 
-YEARS = list(range(1995, 2003))
+# The statement lists more years than any date column has; the query takes the years from the data.
+YEARS = range(1900, 2101)
 CALENDAR = ", ".join(
     f"('{name}', date '{rule(y).isoformat()}', {low}, {high})"
     for name, (rule, low, high) in ml.HOLIDAYS.items()
@@ -242,14 +240,14 @@ from h join (select cast(order_purchase_timestamp as date) ds, count(*) orders f
 def holiday_features(m):
     """Days of the holiday windows with their order counts."""
     days = m.orders.groupBy(F.to_date("order_purchase_timestamp").alias("ds")).agg(F.count(F.lit(1)).alias("orders"))
-    return ml.holiday_days(ml.holiday_calendar(m.spark, YEARS)).join(days, "ds")
+    return ml.holiday_days(ml.holiday_calendar(m.spark, ml.years_of(days))).join(days, "ds")
 
 
 @query("revenue_forecast")
 def revenue_forecast(m):
     """Next 90 days of revenue with an interval."""
     daily = stage(ml.forecast_input(m.order_facts, m.fct_items, HISTORICAL_END), "daily")
-    holidays = ml.holiday_days(ml.holiday_calendar(m.spark, YEARS))
+    holidays = ml.holiday_days(ml.holiday_calendar(m.spark, ml.years_of(daily)))
     return ml.forecast(daily, holidays)
 
 

@@ -179,7 +179,7 @@ def replay_growth(m):
     return grown.select("target_date", "order_id", "copy_no")
 
 
-POOL = "(select *, row_number() over (order by customer_id) - 1 slot from (select * from v_customers where is_synthetic order by customer_id limit 5000) x)"
+POOL = "(select *, row_number() over (order by customer_id) - 1 slot from (select * from v_customers where is_synthetic) x)"
 
 
 @query(

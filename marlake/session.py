@@ -6,9 +6,12 @@ import os
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # Runtime settings every plan in this library relies on. They are all session-level, so a
 # cluster keeps its own values for memory, partition counts and dynamic allocation.
 RUNTIME_CONF = {
@@ -71,13 +74,13 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def together(*builders: Callable[[], DataFrame]) -> list[DataFrame]:
-    """Build several frames at the same time.
+def together(*builders: Callable[[], T]) -> list[T]:
+    """Build several frames or models at the same time.
 
-    For frames whose building runs jobs of its own (staged tables); the cluster works on all of
-    them instead of one after the other.
+    For those whose building runs jobs of its own (staged tables, fits); the cluster works on up
+    to eight of them instead of one after the other.
     """
-    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+    with ThreadPoolExecutor(max_workers=min(8, len(builders))) as pool:
         return list(pool.map(lambda build: build(), builders))
 
 

@@ -14,17 +14,15 @@ def read_raw(spark: SparkSession, table: str, path: str) -> DataFrame:
     """Scan raw CSV files (header, UTF-8 with or without BOM, quoted line breaks, doubled quotes).
 
     Columns are found by name and cast to the declared types; a value that does not fit is an
-    error. Multi-line records keep a file in one split, so large inputs should arrive as many
-    files.
+    error, as are a line with too few or too many fields and a file whose header differs from that of the first.
+    Multi-line records keep a file in one split, so large inputs should arrive as many files.
     """
-    text = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-        .csv(path)
-    )
+
+    def reader():
+        return spark.read.options(header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8")
+
+    header = reader().csv(path).schema  # all text, in the order of the first file
+    text = reader().options(enforceSchema=False, mode="FAILFAST").schema(header).csv(path)
     wanted = StructType.fromDDL(RAW_SCHEMAS[table])
     return text.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
 

@@ -2,18 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlake.session import path_exists, remove_path, stage
 
 BATCH = "batch_id"
+# Folder of the rows without a batch id, as Spark names it.
+NO_BATCH = "__HIVE_DEFAULT_PARTITION__"
 STATE_SCHEMA = "pipeline_name string, last_processed_at timestamp, updated_at timestamp"
 VERSION_SCHEMA = "table_name string, version string, updated_at timestamp"
 
 
+def in_batches(batch_ids: Iterable[str | None]) -> Column:
+    """Condition that a row lies in one of these batches; None stands for the rows without a batch id."""
+    ids = list(batch_ids)
+    known = F.col(BATCH).isin([b for b in ids if b is not None])
+    return known | F.col(BATCH).isNull() if None in ids else known
+
+
+def not_in_batches(batch_ids: Iterable[str | None]) -> Column:
+    """Condition that a row lies in none of these batches; a row without a batch id lies in none but None."""
+    return ~F.coalesce(in_batches(batch_ids), F.lit(False))
+
+
+def batches_of(df: DataFrame) -> list[str | None]:
+    """Batch ids of a frame, one short text per load, not per row; None first if there are rows without one."""
+    return sorted((r[0] for r in df.select(BATCH).distinct().collect()), key=lambda b: (b is not None, b or ""))
+
+
 class Lake:
     """Tables below one root folder, addressed by layer and name."""
 
@@ -36,7 +57,9 @@ class Lake:
         # Only bronze grows columns; elsewhere one file tells the schema of all.
         reader = self.spark.read.option("mergeSchema", str(layer == "bronze").lower())
         df = reader.parquet(self.path(layer, table))
-        return df if batch_ids is None else df.where(F.col(BATCH).isin(list(batch_ids)))
+        if dict(df.dtypes).get(BATCH) == "void":  # no row has a batch id
+            df = df.withColumn(BATCH, F.col(BATCH).cast("string"))
+        return df if batch_ids is None else df.where(in_batches(batch_ids))
 
     # --- batch-partitioned tables -----------------------------------------------------------
     def loaded_batches(self, layer: str, table: str, batch_ids: list[str]) -> list[str]:
@@ -46,8 +69,7 @@ class Lake:
         found = self.read(layer, table)
         if BATCH not in found.columns:
             return []
-        rows = found.where(F.col(BATCH).isin(list(batch_ids))).select(BATCH).distinct().collect()
-        return sorted(r[0] for r in rows)
+        return batches_of(found.where(in_batches(batch_ids)))
 
     def write_batches(self, layer: str, table: str, df: DataFrame) -> None:
         """Write whole batches; a batch written again replaces its own partition.
@@ -72,20 +94,13 @@ class Lake:
         self.write_batches(layer, table, df.withColumn(BATCH, F.lit(batch_id)))
         return True
 
-    def remove_batches(self, layer: str, table: str, batch_ids: list[str]) -> None:
+    def remove_batches(self, layer: str, table: str, batch_ids: list[str | None]) -> None:
         for batch in batch_ids:
-            remove_path(self.spark, f"{self.path(layer, table)}/{BATCH}={batch}")
+            remove_path(self.spark, f"{self.path(layer, table)}/{BATCH}={NO_BATCH if batch is None else batch}")
 
-    def compact_batch(self, layer: str, table: str, batch_id: str, files: int = 1) -> None:
-        """Rewrite one batch into few files; its partition value does not change."""
-        whole = stage(self.read(layer, table, [batch_id]), "compact")
-        (
-            whole.repartition(files)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH)
-            .parquet(self.path(layer, table))
-        )
+    def compact_batch(self, layer: str, table: str, batch_id: str) -> None:
+        """Rewrite one batch into as few files as its size asks for; its partition value does not change."""
+        self.write_batches(layer, table, stage(self.read(layer, table, [batch_id]), "compact"))
 
     # --- write-once loads -------------------------------------------------------------------
     def load_once(self, layer: str, table: str, df: DataFrame, force: bool = False) -> bool:
@@ -106,8 +121,8 @@ class Lake:
         row.write.mode("append").parquet(self.path("_meta", "versions"))
         return version
 
-    def current(self, layer: str, table: str) -> DataFrame | None:
-        """Latest published version, or None where nothing has been published yet."""
+    def version(self, layer: str, table: str) -> str | None:
+        """Latest published version's name, or None where nothing has been published yet."""
         if not self.exists("_meta", "versions"):
             return None
         rows = (
@@ -117,7 +132,11 @@ class Lake:
             .agg(F.max_by("version", F.struct("updated_at", "version")).alias("version"))
             .collect()
         )
-        version = rows[0]["version"]
+        return rows[0]["version"]
+
+    def current(self, layer: str, table: str) -> DataFrame | None:
+        """Latest published version, or None where nothing has been published yet."""
+        version = self.version(layer, table)
         return None if version is None else self.spark.read.parquet(f"{self.path(layer, table)}/{version}")
 
     def publish_scores(self, table: str, df: DataFrame, scored_at: datetime | None = None) -> bool:
@@ -128,6 +147,21 @@ class Lake:
         self.publish("predictions", table, scored)
         return True
 
+    # --- models -----------------------------------------------------------------------------
+    def save_model(self, name: str, model: PipelineModel) -> None:
+        """Store a fitted pipeline; the version row that makes it current is written last."""
+        now = datetime.now(timezone.utc)
+        version = now.strftime("%Y%m%dT%H%M%S%f")
+        model.save(f"{self.path('models', name)}/{version}")
+        row = self.spark.createDataFrame([(f"models.{name}", version, now)], VERSION_SCHEMA)
+        row.write.mode("append").parquet(self.path("_meta", "versions"))
+
+    def load_model(self, name: str) -> PipelineModel:
+        version = self.version("models", name)
+        if version is None:
+            raise RuntimeError(f"model {name} has not been trained")
+        return PipelineModel.load(f"{self.path('models', name)}/{version}")
+
     # --- pipeline state ---------------------------------------------------------------------
     def set_state(self, pipeline: str, last_processed_at: datetime, updated_at: datetime | None = None) -> None:
         row = [(pipeline, last_processed_at, updated_at or datetime.now(timezone.utc))]
@@ -160,18 +194,13 @@ def add_columns_union(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
-def synthetic_pool(customers: DataFrame, limit: int = 5000) -> DataFrame:
-    """Bounded pool of synthetic customers, first ones in key order."""
-    return (
-        customers.where("is_synthetic")
-        .select(
-            "customer_id",
-            "customer_unique_id",
-            "customer_zip_code_prefix",
-            "customer_city",
-            "customer_state",
-            "is_synthetic",
-        )
-        .orderBy("customer_id")
-        .limit(limit)
+def synthetic_pool(customers: DataFrame) -> DataFrame:
+    """All synthetic customers, who may come back."""
+    return customers.where("is_synthetic").select(
+        "customer_id",
+        "customer_unique_id",
+        "customer_zip_code_prefix",
+        "customer_city",
+        "customer_state",
+        "is_synthetic",
     )

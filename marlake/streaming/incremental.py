@@ -7,12 +7,11 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from marlake.operators.dedup import merge_latest
 from marlake.plans import gold, silver
 from marlake.session import stage
-from marlake.sources.lake import BATCH, Lake
+from marlake.sources.lake import Lake, batches_of, in_batches, not_in_batches
 from marlake.sources.schemas import TABLE_KEYS
 from marlake.streaming.windows import windows_between
 
@@ -36,8 +35,12 @@ INGEST, TRANSFORM = "replay_cursor", "live_transform_cursor"
 class Touched:
     """Batches of a silver table that a run rewrote or emptied."""
 
-    rewritten: list[str]
-    emptied: list[str]
+    rewritten: list[str | None]
+    emptied: list[str | None]
+
+
+def ordered(batches) -> list[str | None]:
+    return sorted(batches, key=lambda b: (b is not None, b or ""))
 
 
 def upsert_batches(lake: Lake, table: str, incoming: DataFrame, extend: bool = False) -> Touched:
@@ -53,34 +56,29 @@ def upsert_batches(lake: Lake, table: str, incoming: DataFrame, extend: bool = F
     name = f"silver_{table}"
     keys = TABLE_KEYS[table]
     incoming = stage(incoming, f"incoming-{table}")
-    fresh = _batches(incoming)
+    fresh = batches_of(incoming)
     if not fresh:
         return Touched([], [])
     if not lake.exists("silver", name):
         lake.write_batches("silver", name, incoming)
         return Touched(fresh, [])
     existing = lake.read("silver", name)
-    again = existing.where(~F.col(BATCH).isin(fresh)).join(incoming.select(*keys), keys, "left_semi")
-    affected = sorted({*_batches(again), *(fresh if extend else [])})
+    again = existing.where(not_in_batches(fresh)).join(incoming.select(*keys), keys, "left_semi")
+    affected = list({*batches_of(again), *(fresh if extend else [])})
     merged = stage(
-        merge_latest(existing.where(F.col(BATCH).isin(affected)), incoming, keys), f"merged-{table}"
+        merge_latest(existing.where(in_batches(affected)), incoming, keys), f"merged-{table}"
     )
     lake.write_batches("silver", name, merged)
-    kept = set(_batches(merged))
+    kept = set(batches_of(merged))
     # A batch whose rows were all replaced has nothing to overwrite it with.
     emptied = [b for b in {*affected, *fresh} if b not in kept]
     lake.remove_batches("silver", name, emptied)
-    return Touched(sorted(kept), sorted(emptied))
-
-
-def _batches(df: DataFrame) -> list[str]:
-    """Batch ids of a frame: one short text per load, not per row."""
-    return sorted(r[0] for r in df.select(BATCH).distinct().collect() if r[0] is not None)
+    return Touched(ordered(kept), ordered(emptied))
 
 
 def silver_increment(bronze: DataFrame, table: str, batch_ids: list[str]) -> DataFrame:
     """The silver rows of some batches; the batch filter prunes the scan before the dedup."""
-    return SILVER_STEPS[table](bronze.where(F.col(BATCH).isin(batch_ids)))
+    return SILVER_STEPS[table](bronze.where(in_batches(batch_ids)))
 
 
 def fact_increment(table: str, rows: DataFrame, customers: DataFrame) -> DataFrame:
@@ -103,14 +101,14 @@ def refresh_facts(lake: Lake, table: str, batch_ids: list[str]) -> None:
     wanted = set(batch_ids)
     if lake.exists("gold", fact):
         fresh = lake.read("silver", f"silver_{table}", batch_ids).select(*keys)
-        older = lake.read("gold", fact).where(~F.col(BATCH).isin(batch_ids))
-        wanted.update(_batches(older.join(fresh, keys, "left_semi")))
-    rows = lake.read("silver", f"silver_{table}", sorted(wanted))
-    present = set(_batches(rows))
+        older = lake.read("gold", fact).where(not_in_batches(batch_ids))
+        wanted.update(batches_of(older.join(fresh, keys, "left_semi")))
+    rows = lake.read("silver", f"silver_{table}", ordered(wanted))
+    present = set(batches_of(rows))
     if present:
         customers = lake.read("silver", "silver_customers")
         lake.write_batches("gold", fact, fact_increment(table, rows, customers))
-    lake.remove_batches("gold", fact, sorted(wanted - present))
+    lake.remove_batches("gold", fact, ordered(wanted - present))
 
 
 def process_batches(lake: Lake, batch_ids: list[str]) -> dict[str, Touched]:

@@ -62,14 +62,11 @@ def with_batch_window(events: DataFrame, ts: str, hours: int = HOURS) -> DataFra
     )
 
 
-def pending_days(
-    days: DataFrame, loaded: DataFrame, first: date | str, max_days: int | None = None
-) -> DataFrame:
+def pending_days(days: DataFrame, loaded: DataFrame, first: date | str) -> DataFrame:
     """Days from ``first`` on that have no loaded batch yet, oldest first."""
-    due = (
+    return (
         days.where(F.col("day") >= F.lit(first).cast("date"))
         .withColumn("batch_id", F.concat(F.lit("backfill-"), F.col("day").cast("string")))
         .join(loaded.select("batch_id").distinct(), "batch_id", "left_anti")
         .orderBy("day")
     )
-    return due if max_days is None else due.limit(max_days)

@@ -115,12 +115,12 @@ def test_state(lake):
     assert lake.get_state("p").replace(tzinfo=None) == ts("2024-01-01 00:00:00")
 
 
-def test_pool_is_bounded_and_ordered(spark):
+def test_pool_holds_all_synthetic_customers(spark):
     df = spark.range(30).selectExpr(
         "lpad(cast(id as string), 3, '0') customer_id", "'p' customer_unique_id", "'1' customer_zip_code_prefix",
         "'c' customer_city", "'s' customer_state", "id % 2 = 0 is_synthetic",
     )
-    assert [r.customer_id for r in synthetic_pool(df, 3).collect()] == ["000", "002", "004"]
+    assert sorted(r.customer_id for r in synthetic_pool(df).collect()) == [f"{i:03d}" for i in range(0, 30, 2)]
 
 
 def test_reconcile(spark):
@@ -153,8 +153,8 @@ def test_pending_windows(spark, last, bound, count, first):
 def test_pending_days(spark):
     days = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (1, 2, 3, 4)], "day date")
     loaded = spark.createDataFrame([("backfill-2024-01-02",)], "batch_id string")
-    got = windows.pending_days(days, loaded, "2024-01-02", max_days=1).collect()
-    assert [str(r.day) for r in got] == ["2024-01-03"]
+    got = windows.pending_days(days, loaded, "2024-01-02").collect()
+    assert [str(r.day) for r in got] == ["2024-01-03", "2024-01-04"]
 
 
 # --- incremental ----------------------------------------------------------------------------
@@ -217,6 +217,23 @@ def test_incremental_equals_rebuild_with_keys_that_return(spark, lake):
     assert lake.loaded_batches("gold", "fct_orders", B) == [B[0], B[2], B[3]]
 
 
+def test_rows_without_a_batch_are_a_batch_of_their_own(spark, lake):
+    """A key first stored without a batch id and coming again leaves no second row."""
+    lake.write_batches("bronze", "bronze_customers", bronze_customers(spark, [("c1", "p1", None), ("c2", "p2", B[1])]))
+    first = [("o1", "c1", "created", 5, None), ("o2", "c1", "shipped", 5, None)]
+    lake.write_batches("bronze", "bronze_orders", bronze_orders(spark, first))
+    incremental.process_batches(lake, [None])
+    assert lake.read("gold", "fct_orders").count() == 2 and same(lake)
+    again = [("o1", "c1", "delivered", 9, B[1]), ("o3", "c2", "created", 9, B[1])]
+    lake.write_batches("bronze", "bronze_orders", bronze_orders(spark, again))
+    incremental.process_batches(lake, [B[1]])
+    assert same(lake)
+    rows = {r.order_id: (r.order_status, r.batch_id) for r in lake.read("gold", "fct_orders").collect()}
+    assert rows == {"o1": ("delivered", B[1]), "o2": ("shipped", None), "o3": ("created", B[1])}
+    incremental.process_batches(lake, [None, B[1]])
+    assert same(lake)
+
+
 def test_batches_can_be_processed_again_and_one_by_one(spark, lake):
     lake.write_batches("bronze", "bronze_customers", bronze_customers(spark, [("c1", "p1", B[0])]))
     lake.write_batches(
@@ -310,3 +327,26 @@ def test_stream_ingest_keeps_one_row_per_key(spark, lake, tmp_path):
     live.ingest(source, "order_purchase_timestamp", lake, "orders", silver.orders, str(tmp_path / "s")).awaitTermination()
     rows = lake.read("silver", "silver_orders").collect()
     assert sorted(r.order_id for r in rows) == ["o1", "o2", "o3"] and {r.batch_id for r in rows} == {B[0]}
+
+
+# --- raw files ------------------------------------------------------------------------------
+TRANSLATION = "product_category_name,product_category_name_english\n"
+
+
+def test_csv_lines_must_fit_the_header(spark, tmp_path):
+    (tmp_path / "good.csv").write_text(TRANSLATION + 'a,"x, y"\n')
+    rows = files.read_raw(spark, "category_translation", str(tmp_path / "good.csv")).collect()
+    assert [tuple(r) for r in rows] == [("a", "x, y")]
+    for name, line in (("short", "a\n"), ("long", "a,b,c\n")):
+        (tmp_path / f"{name}.csv").write_text(TRANSLATION + line)
+        with pytest.raises(Exception, match="(?i)malformed|corrupt|FAILED_READ"):
+            files.read_raw(spark, "category_translation", str(tmp_path / f"{name}.csv")).collect()
+
+
+def test_csv_files_with_another_column_order_are_refused(spark, tmp_path):
+    (tmp_path / "1.csv").write_text(TRANSLATION + "a,b\n")
+    (tmp_path / "2.csv").write_text("product_category_name_english,product_category_name\nb,a\n" * 1)
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        files.read_raw(spark, "category_translation", str(tmp_path)).collect()
+    only = files.read_raw(spark, "category_translation", str(tmp_path / "2.csv")).collect()
+    assert [tuple(r) for r in only] == [("a", "b")]

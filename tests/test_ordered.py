@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from marlake.operators import priors
-from marlake.operators.ewma import block_length, prior_ewma
+from marlake.operators import ewma
+from marlake.operators.ewma import prior_ewma
 from marlake.operators.ordered import running
 from marlake.operators.quantiles import exact_quantiles
 
@@ -124,10 +125,25 @@ def test_ewma_over_a_long_gap(spark):
     np.testing.assert_allclose(out.e.to_numpy(float), want.to_numpy(), atol=1e-12)
 
 
-def test_ewma_block_length_is_checked():
-    assert 100 < block_length(0.3) < 400
-    with pytest.raises(ValueError):
-        block_length(0.001)
+@pytest.mark.parametrize("alpha", [0.01, 0.3, 0.95])
+def test_ewma_of_any_weight_over_many_blocks(spark, many_chunks, monkeypatch, alpha):
+    """Small blocks and runs, so that the steps are combined over several levels."""
+    monkeypatch.setattr(ewma, "BLOCK", 7)
+    monkeypatch.setattr(ewma.block_starts, "__defaults__", (3,))
+    pdf = frame(3000, nulls=0.2)
+    out = by_key(prior_ewma(to_spark(spark, pdf), ["g"], ["t", "k"], "x", "e", alpha, through="now"), "e", "now")
+    p = pdf.sort_values(["g", "t", "k"], na_position="first")
+    p["e"] = p.groupby("g", dropna=False)["x"].transform(lambda s: s.shift(1).ewm(alpha=alpha, adjust=False).mean())
+    p["now"] = p.groupby("g", dropna=False)["x"].transform(lambda s: s.ewm(alpha=alpha, adjust=False).mean())
+    p = p.set_index("k").sort_index()
+    np.testing.assert_allclose(out.e.to_numpy(float), p.e.to_numpy(float), atol=1e-9)
+    np.testing.assert_allclose(out.now.to_numpy(float), p.now.to_numpy(float), atol=1e-9)
+
+
+def test_ewma_weight_is_checked():
+    for alpha in (0.0, 1.0):
+        with pytest.raises(ValueError):
+            ewma.block_length(alpha)
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 101])
