@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -19,7 +21,7 @@ from marlake.session import stage
 
 # White space between words: the ASCII blanks only. A word is a run of anything else.
 BLANKS = r"[\x20\x09-\x0D]+"
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 BATCH_ROWS = 2500
 # A side with at most this many narrow rows is sent to every executor; a larger one is shuffled.
 SMALL_ROWS = 1_000_000
@@ -91,7 +93,7 @@ def positions(df: DataFrame, order: Sequence[Column], weight: str) -> DataFrame:
             rows, total = rows + n, int(ends[-1]) if n else total
 
     with_package(df.sparkSession)
-    placed = stage(df.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(number, schema), "positions")
+    placed = stage(df.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(frugal(number), schema), "positions")
     totals = placed.groupBy("_part").agg(F.max("_local").alias("_n"), F.max(F.col("_sum") + F.col(weight)).alias("_w"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -131,11 +133,20 @@ def schema_of(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
-def by_batches(make: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]) -> Callable:
-    """A function for mapInArrow that treats each batch on its own."""
+def frugal(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A function for mapInArrow that gives free memory back to the system at its end.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield from make(batch)
+    Python workers live on between tasks, and share the memory of an executor with its JVM.
+    """
 
-    return run
+    def wrapped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return wrapped

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlake.llm.common import positions, small_side, text_slices, with_package
+from marlake.llm.common import frugal, positions, small_side, text_slices, with_package
 from marlake.session import stage
 
 BLOCK = 16
@@ -108,7 +108,7 @@ def encode(docs: DataFrame, vocabulary: pa.Array) -> DataFrame:
                     names=["row", "n_words", "gaps", "codes"],
                 )
 
-    return docs.mapInArrow(run, ENCODED)
+    return docs.mapInArrow(frugal(run), ENCODED)
 
 
 def sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +158,7 @@ def frequencies(encoded: DataFrame, size: int) -> tuple[np.ndarray, int]:
         used = np.nonzero(seen)[0]
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(seen[used])], names=["code", "n"])
 
-    found = encoded.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    found = encoded.mapInArrow(frugal(run), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(size + 1, np.int64)
     out[found["code"].to_numpy()] = found["n"].to_numpy()
     return out[:size], int(out[size])
@@ -214,7 +214,7 @@ def latent_space(encoded: DataFrame, items: Items, weight: np.ndarray, df: np.nd
         total = sum(np.frombuffer(x, np.float32) for x in table["sums"].to_pylist())
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "chunk": pa.array([key[1].as_py()], pa.int32()), "sums": pa.array([total.tobytes()], pa.binary())})
 
-    sums = stage(encoded.mapInArrow(run, "part int, chunk int, sums binary"), "products")
+    sums = stage(encoded.mapInArrow(frugal(run), "part int, chunk int, sums binary"), "products")
     while (sums.agg(F.max("part")).first()[0] or 0) > 0:
         group = F.floor(F.col("part") / FAN_IN).cast("int").alias("_group")
         sums = stage(sums.groupBy(group, "chunk").applyInArrow(add, "part int, chunk int, sums binary"), "products")
@@ -323,7 +323,7 @@ def search(encoded: DataFrame, items: Items, space: np.ndarray, weight: np.ndarr
             rows = [(names[r], items.ids[i], *v) for (r, i), v in out.items()]
             yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()))], names=["row", "item_id", "cosine", "share", "answer"])
 
-    return encoded.mapInArrow(run, "row long, item_id long, cosine double, share double, answer double")
+    return encoded.mapInArrow(frugal(run), "row long, item_id long, cosine double, share double, answer double")
 
 
 def find_leaks(

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlake.llm.common import positions, text_slices, with_package
+from marlake.llm.common import frugal, positions, text_slices, with_package
 from marlake.session import stage
 
 BUCKETS = 1 << 16
@@ -27,7 +27,7 @@ SCALE = 200.0
 MOST_TARGET = 20_000
 GOOD_WEIGHT = 4
 MARKS = r"([^\p{L}\p{N}\s]+)"
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 
 def grams(texts: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +84,7 @@ def count_models(rows: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]
         used = np.nonzero(raw)[0]
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(target[used])], names=["bucket", "raw", "target"])
 
-    sums = rows.select("_text", F.when(F.col("_fit"), F.col("_good")).alias("_good")).mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    sums = rows.select("_text", F.when(F.col("_fit"), F.col("_good")).alias("_good")).mapInArrow(frugal(count), "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     found = sums.toArrow()
     out = np.zeros((2, buckets))
     out[0, found["bucket"].to_numpy()] = found["raw"].to_numpy()
@@ -144,7 +144,7 @@ def resample(
                 yield pa.RecordBatch.from_arrays([*own, pa.array(n.astype(np.int64)), pa.array(weight)], names=["doc_id", "text_hash", "_draw", "n_grams", "weight"])
 
     drawn = rows.select("_id", "_text", F.xxhash64("_text").alias("_th"), F.xxhash64("_id", "_text", F.lit(seed)).alias("_draw"))
-    weighed = drawn.mapInArrow(weigh, "doc_id long, text_hash long, _draw long, n_grams long, weight double")
+    weighed = drawn.mapInArrow(frugal(weigh), "doc_id long, text_hash long, _draw long, n_grams long, weight double")
     uniform = (F.pmod(F.col("_draw"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     noisy = F.col("weight") * scale - F.log(-F.log(uniform))
     weighed = stage(weighed.select("doc_id", "text_hash", "n_grams", "weight", noisy.alias("noisy"), F.lit(1).cast("long").alias("_one")), "weights")

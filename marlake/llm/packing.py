@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlake.llm.common import small_side, text_slices, with_package
+from marlake.llm.common import frugal, small_side, text_slices, with_package
 from marlake.llm.tokens import encoder
 from marlake.session import stage
 
@@ -148,7 +148,7 @@ def pack(
 
     with_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    level = stage(rows.mapInArrow(tasks, PIECES), "packed")
+    level = stage(rows.mapInArrow(frugal(tasks), PIECES), "packed")
     closed = [level.where("closed")]
     while True:
         last = level.agg(F.max("part")).first()[0] or 0

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marlake.llm.common import small_side, text_slices, with_package
+from marlake.llm.common import frugal, small_side, text_slices, with_package
 from marlake.llm.tokens import encoder
 from marlake.session import stage
 
@@ -99,7 +99,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, size: int, id_col: str =
     with_package(docs.sparkSession)
     order = [F.col("_id").asc_nulls_first(), F.xxhash64("_text")]
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(blocks, BLOCKS).write.mode("overwrite").parquet(path)
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(frugal(blocks), BLOCKS).write.mode("overwrite").parquet(path)
 
 
 FIELDS = [f.split()[0] for f in BLOCKS.split(", ")]
@@ -138,7 +138,7 @@ def documents(blocks: DataFrame, with_ids: bool = True) -> DataFrame:
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     totals = blocks.groupBy("part").agg(F.sum("n_ids").alias("_n"))
     base = stage(totals.select("part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base")), "parts")
-    found = blocks.mapInArrow(rows, schema).join(small_side(base), "part")
+    found = blocks.mapInArrow(frugal(rows), schema).join(small_side(base), "part")
     return found.withColumn("start", F.col("start") + F.col("_base")).drop("part", "_base")
 
 

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import json
 from array import array
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 300_000
 # Words of printable ASCII and Latin-1 without an apostrophe or the mark of a special token.
 PLAIN_WORD = r"^[\x21-\x26\x28-\x3b\x3d-\x7e\x{a1}-\x{ff}]*$"
 # What the vocabulary's own pattern cuts such a word into, besides runs of letters: one digit, or a run of the rest.
@@ -29,7 +29,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             cuts = [p["type"] for p in json.load(f)["pre_tokenizer"]["pretokenizers"]]
         if cuts != ["Split", "ByteLevel"]:
@@ -39,6 +39,11 @@ class WordEncoder:
         self.merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.clear()
 
+    @cached_property
+    def whole(self) -> Tokenizer:
+        """The tokenizer as it is, loaded when the first odd word comes."""
+        return Tokenizer.from_file(self.path)
+
     def clear(self) -> None:
         self.slots: dict[str, int] = {"": 0}
         self.starts, self.lengths, self.flat = array("q", [0]), array("i", [0]), array("I")

@@ -18,7 +18,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlake.llm.common import text_slices, with_package
+from marlake.llm.common import frugal, text_slices, with_package
 from marlake.session import stage
 
 ORDERS = (3, 4, 5)
@@ -27,7 +27,7 @@ SMOOTHING = 0.5
 Z = 3.0
 MOST_PER_CLASS = 10_000
 REGULARISATION = 1e-4
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 
 def gram_places(texts: pa.Array, orders: Sequence[int] = ORDERS, bits: int = BITS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -133,7 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         used = np.nonzero(seen.sum(axis=0))[0]
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(seen[1][used]), pa.array(seen[0][used])], names=["bucket", "bad", "good"])
 
-    counts = rows.mapInArrow(count, "bucket long, bad long, good long").groupBy("bucket").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    counts = rows.mapInArrow(frugal(count), "bucket long, bad long, good long").groupBy("bucket").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     ratio = F.log((F.col("bad") + SMOOTHING) / (n_bad + 2 * SMOOTHING)) - F.log((F.col("good") + SMOOTHING) / (n_good + 2 * SMOOTHING))
     told = counts.select("bucket", ratio.alias("r"), deviance(F.col("bad"), F.col("good"), n_bad, n_good).alias("g"))
     chosen = told.where(F.col("g") > Z * Z).select("bucket", "r").toArrow()
@@ -158,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n = len(used)
     scale = ratios.tolist()
     sparse = F.udf(lambda found: Vectors.sparse(n, found, [scale[i] for i in found]), VectorUDT())
-    table = stage(rows.mapInArrow(features, "label int, weight double, found array<int>"), "features")
+    table = stage(rows.mapInArrow(frugal(features), "label int, weight double, found array<int>"), "features")
     table = table.select("label", "weight", sparse("found").alias("features"))
     model = LogisticRegression(labelCol="label", weightCol="weight", regParam=REGULARISATION, standardization=False, maxIter=60).fit(table)
     return Model(used, model.coefficients.toArray() * ratios, float(model.intercept))
@@ -179,5 +179,5 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(model.score(texts))], names=["doc_id", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text"))
-    scored = rows.mapInArrow(run, "doc_id long, score double")
+    scored = rows.mapInArrow(frugal(run), "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
