@@ -38,7 +38,7 @@ def test_positions_count_over_the_whole_table(spark):
     assert [r["_rank"] for r in got] == list(range(3000))
     before = 0
     for a, b in zip(got, got[1:]):
-        assert (a["k"] is None, -1 if a["k"] is None else a["k"]) <= (b["k"] is None, b["k"]) or a["k"] is None
+        assert (-1 if a["k"] is None else a["k"]) <= (-1 if b["k"] is None else b["k"])  # null first
         assert a["_before"] == before
         before += a["w"]
     assert {(r["_rows"], r["_total"]) for r in got} == {(3000, sum(w for _, w in rows))}
