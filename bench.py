@@ -39,6 +39,12 @@ HEADLINE = [
     "replay_growth",
     "dq_relationships",
     "ml_customer_segments",
+    "delivery_features_open",
+    "review_features",
+    "ml_elbow",
+    "ml_delivery_risk",
+    "ml_review_risk",
+    "ml_incremental_value",
 ]
 
 

@@ -18,6 +18,8 @@ ACTION_VOUCHER = "Retention voucher (lapsed, high predicted future value)"
 ACTION_WIN_BACK = "Win-back offer (lapsed, historically high value)"
 ACTION_EMAIL = "Low-cost re-engagement email (lapsed, low predicted value)"
 ACTION_NONE = "No action / monitor"
+ACTIONS = [ACTION_VOUCHER, ACTION_WIN_BACK, ACTION_EMAIL, ACTION_NONE]
+CUSTOMER_SEGMENTS = ["Recent & High-Value", "Recent & Modest-Spend", *LAPSED]
 
 LOW_REVIEW = 3.9
 HIGH_DELAY = 0.12
@@ -66,10 +68,10 @@ def customer_cluster_labels(clustered: DataFrame) -> DataFrame:
     recent = F.col("avg_recency") <= F.col("_mid.r")
     high = F.col("avg_monetary") >= F.col("_mid.m")
     label = (
-        F.when(recent & high, "Recent & High-Value")
-        .when(recent, "Recent & Modest-Spend")
-        .when(high, "Lapsed & High-Value")
-        .otherwise("Lapsed & Low-Value")
+        F.when(recent & high, CUSTOMER_SEGMENTS[0])
+        .when(recent, CUSTOMER_SEGMENTS[1])
+        .when(high, CUSTOMER_SEGMENTS[2])
+        .otherwise(CUSTOMER_SEGMENTS[3])
     )
     return centers.withColumn("_mid", mids).select("cluster", "avg_recency", "avg_monetary", label.alias("segment"))
 

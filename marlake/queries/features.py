@@ -369,11 +369,6 @@ def delivery_features_open(m):
     return rounded(out.select("order_id", *PLAIN, *ROUNDED), ROUNDED)
 
 
-REVIEW_GROUPS = """(select * from (select *, row_number() over (partition by order_id order by price desc, seller_id, main_category nulls first) r from (
-  select oi.order_id, oi.seller_id, pr.product_category_name_english main_category, sum(oi.price) price, sum(oi.freight_value) freight_value, count(*) n_items,
-    sum(pr.product_weight_g) total_weight_g, sum(pr.product_length_cm * pr.product_height_cm * pr.product_width_cm) total_volume_cm3,
-    count(distinct oi.seller_id) n_sellers
-  from v_items oi join g_products pr on pr.product_id = oi.product_id group by 1, 2, 3) u) v where r = 1)"""
 REVIEW_BASE = f"""
 select o.order_id, o.order_purchase_timestamp, i.seller_id, i.main_category, p.payment_type, cast(i.price as double) price,
   cast(i.freight_value as double) freight_value, i.n_items, i.n_sellers, i.total_weight_g, i.total_volume_cm3, o.delivery_days,
@@ -396,7 +391,7 @@ REVIEW_ROUND = [
     "review_features",
     f"""
 with b as materialized ({REVIEW_BASE}, r.review_id, cast(r.review_score <= 2 as int) negative_review
-  from g_orders o join {REVIEW_GROUPS} i on i.order_id = o.order_id join g_paid p on p.order_id = o.order_id
+  from g_orders o join g_best i on i.order_id = o.order_id join g_paid p on p.order_id = o.order_id
   join v_reviews r on r.order_id = o.order_id where not o.is_synthetic)
 select b.order_id, b.review_id, b.negative_review, b.{REVIEW_COLS}, round(coalesce(e.ewma, (select avg(x) from b)), 6) seller_ewma_delay_rate
 from b join {ewma_sql("b", order="order_purchase_timestamp, order_id, review_id", key="review_id")} e on e.review_id = b.review_id""",
@@ -411,10 +406,10 @@ def review_features(m):
     "review_features_pending",
     f"""
 with h as materialized (select o.order_id, o.order_purchase_timestamp, cast(cast(o.is_delayed as int) as double) x, i.seller_id
-  from g_orders o join {REVIEW_GROUPS} i on i.order_id = o.order_id where o.order_status = 'delivered'),
+  from g_orders o join g_best i on i.order_id = o.order_id where o.order_status = 'delivered'),
 e as (select seller_id, max(case when rn = 1 then ewma end) r
   from (select seller_id, ewma, row_number() over (partition by seller_id order by ewma is null, i desc) rn from {ewma_sql("h")} t) x group by 1),
-b as ({REVIEW_BASE} from g_orders o join {REVIEW_GROUPS} i on i.order_id = o.order_id join g_paid p on p.order_id = o.order_id
+b as ({REVIEW_BASE} from g_orders o join g_best i on i.order_id = o.order_id join g_paid p on p.order_id = o.order_id
   where o.is_synthetic and o.order_status = 'delivered' and o.order_id not in (select order_id from v_reviews))
 select b.order_id, b.{REVIEW_COLS}, round(coalesce(e.r, (select avg(x) from h)), 6) seller_ewma_delay_rate
 from b left join e on e.seller_id = b.seller_id""",

@@ -13,7 +13,13 @@ HISTORICAL_END = "2000-12-31"
 
 
 # --- clusters -------------------------------------------------------------------------------
-@query("ml_customer_segments")
+# Scores and clusters depend on the solver; the queries return the rows they are for, the columns that SQL can
+# state, and whether the model's own columns are what they must be. The jobs store the scores themselves.
+def known(column, names):
+    return F.col(column).isin(list(names))
+
+
+@query("ml_customer_segments", "select customer_unique_id, recency, cast(monetary as double) monetary, true segment_known from g_rfm where is_synthetic")
 def ml_customer_segments(m):
     """Clusters trained on the historical cohort name the customers of the synthetic one."""
     rfm = stage(m.mart_customer_rfm, "rfm")
@@ -21,7 +27,8 @@ def ml_customer_segments(m):
     model = ml.fit_clusters(train, ["recency_log", "monetary_log"])
     labels = scoring.customer_cluster_labels(ml.assign_clusters(model, train))
     live = ml.assign_clusters(model, rfm.where("is_synthetic"))
-    return scoring.name_clusters(live, labels).select("customer_unique_id", "recency", "monetary", "segment")
+    named = scoring.name_clusters(live, labels)
+    return named.select("customer_unique_id", "recency", "monetary", known("segment", scoring.CUSTOMER_SEGMENTS).alias("segment_known"))
 
 
 @query("ml_seller_segments")
@@ -51,14 +58,21 @@ def ml_seller_segments(m):
     )
 
 
-@query("ml_elbow")
+@query("ml_elbow", "select cast(k as integer) k, true cost_known, true cost_falls from (select unnest(generate_series(2, 8)) k) t")
 def ml_elbow(m):
     rfm = stage(m.mart_customer_rfm.where(~F.col("is_synthetic")), "rfm")
-    return ml.elbow(rfm, ["recency_log", "monetary_log"])
+    costs = ml.elbow(rfm, ["recency_log", "monetary_log"])
+    two = costs.where("k = 2").select("training_cost").scalar()
+    return costs.select("k", (F.col("training_cost") >= 0).alias("cost_known"), (F.col("training_cost") <= two).alias("cost_falls"))
 
 
 # --- classifiers ----------------------------------------------------------------------------
-@query("ml_delivery_risk")
+@query(
+    "ml_delivery_risk",
+    """
+select order_id, seller_id, customer_state, coalesce(main_category, 'missing') main_category, round(promised_delivery_days, 6) promised_delivery_days, true scored, true tier_known
+from g_delivery where is_synthetic and order_status not in ('delivered', 'canceled')""",
+)
 def ml_delivery_risk(m):
     """Open orders with the probability of a delay and its tier."""
     f = frames(m)
@@ -67,16 +81,18 @@ def ml_delivery_risk(m):
     model = ml.fit_classifier(train, "is_delayed_num", numeric, categorical, **ml.DELIVERY_TREES)
     waiting = features.delivery_features(f, training=False)
     scored = ml.score(model, waiting, numeric, categorical, "risk_score")
-    return scoring.risk_tiers(
-        scored.select(
-            "order_id", "seller_id", "customer_state", "main_category", "risk_score", "promised_delivery_days"
-        ),
-        "risk_score",
-        "order_id",
-    )
+    columns = ["order_id", "seller_id", "customer_state", "main_category", "promised_delivery_days"]
+    tiers = scoring.risk_tiers(stage(scored.select(*columns, "risk_score"), "scored"), "risk_score", "order_id")
+    return tiers.select(*columns, F.col("risk_score").between(0, 1).alias("scored"), known("risk_tier", scoring.TIER_ORDER).alias("tier_known"))
 
 
-@query("ml_review_risk")
+@query(
+    "ml_review_risk",
+    """
+select o.order_id, i.seller_id, coalesce(i.main_category, 'missing') main_category, o.is_delayed was_delayed, true scored, true tier_known
+from g_orders o join g_best i on i.order_id = o.order_id join g_paid p on p.order_id = o.order_id
+where o.is_synthetic and o.order_status = 'delivered' and o.order_id not in (select order_id from v_reviews)""",
+)
 def ml_review_risk(m):
     """Delivered orders without review, with the probability of a negative one and its tier."""
     f = frames(m)
@@ -85,14 +101,18 @@ def ml_review_risk(m):
     model = ml.fit_classifier(train, "negative_review", numeric, categorical, **ml.REVIEW_TREES)
     pending = features.review_features(f, training=False)
     scored = ml.score(model, pending, numeric, categorical, "risk_score")
-    return scoring.risk_tiers(
-        scored.select("order_id", "seller_id", "main_category", "risk_score", F.col("is_delayed").alias("was_delayed")),
-        "risk_score",
-        "order_id",
-    )
+    columns = ["order_id", "seller_id", "main_category", "was_delayed"]
+    scored = stage(scored.withColumn("was_delayed", F.col("is_delayed")).select(*columns, "risk_score"), "scored")
+    tiers = scoring.risk_tiers(scored, "risk_score", "order_id")
+    return tiers.select(*columns, F.col("risk_score").between(0, 1).alias("scored"), known("risk_tier", scoring.TIER_ORDER).alias("tier_known"))
 
 
-@query("ml_incremental_value")
+@query(
+    "ml_incremental_value",
+    """
+select customer_unique_id, customer_state, true segment_known, true value_known, true action_known from g_profile
+where customer_unique_id in (select o.customer_unique_id from g_orders o join v_items i on i.order_id = o.order_id where o.is_synthetic)""",
+)
 def ml_incremental_value(m):
     """Synthetic customers with predicted value, segment and suggested action."""
     f = frames(m)
@@ -112,9 +132,16 @@ def ml_incremental_value(m):
     filled = features.impute(features.impute(customers, "first_order_weight"), "payment_installments", fill=1)
     valued = ml.predict_value(model, filled, numeric, categorical, "predicted_incremental_value")
     named = scoring.name_clusters(ml.assign_clusters(clusters, valued), labels)
-    return scoring.suggested_action(
+    actions = scoring.suggested_action(
         stage(named.select("customer_unique_id", "customer_state", "segment", "predicted_incremental_value"), "scored")
     )
+    return actions.select(
+        "customer_unique_id",
+        "customer_state",
+        known("segment", scoring.CUSTOMER_SEGMENTS).alias("segment_known"),
+        (F.col("predicted_incremental_value") >= 0).alias("value_known"),
+        known("suggested_action", scoring.ACTIONS).alias("action_known"),
+    )
 
 
 @query("ml_repeat_purchase")
@@ -243,11 +270,18 @@ def holiday_features(m):
     return ml.holiday_days(ml.holiday_calendar(m.spark, ml.years_of(days))).join(days, "ds")
 
 
-@query("revenue_forecast")
+@query(
+    "revenue_forecast",
+    f"""
+select cast(last + cast(k as integer) as varchar) ds, true interval_holds
+from (select max(ds) last from {FORECAST_SQL} t) m cross join (select unnest(generate_series(1, 90)) k) g""",
+)
 def revenue_forecast(m):
     """Next 90 days of revenue with an interval."""
     daily = stage(ml.forecast_input(m.order_facts, m.fct_items, HISTORICAL_END), "daily")
     holidays = ml.holiday_days(ml.holiday_calendar(m.spark, ml.years_of(daily)))
-    return ml.forecast(daily, holidays)
+    ahead = ml.forecast(daily, holidays)
+    holds = (F.col("yhat_lower") >= 0) & (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    return ahead.select("ds", holds.alias("interval_holds"))
 
 
