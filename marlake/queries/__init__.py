@@ -9,5 +9,6 @@ from marlake.queries import (  # noqa: F401
     quality,
     replay,
     reports,
+    storage,
 )
 from marlake.queries.registry import QUERIES, REFERENCE_SQL  # noqa: F401

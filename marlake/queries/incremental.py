@@ -2,14 +2,15 @@
 
 from pyspark.sql import functions as F
 
+from marlake.functions.expr import hash_int
 from marlake.operators.dedup import differences, merge_latest
 from marlake.plans import gold, marts, silver
 from marlake.queries.layers import DAILY_SQL
 from marlake.queries.registry import query
-from marlake.queries.views import six_hours
+from marlake.queries.views import hashed, six_hours
 from marlake.session import scratch_path
 from marlake.streaming import live, windows
-from marlake.streaming.incremental import silver_increment
+from marlake.streaming.incremental import SILVER_STEPS, fact_increment, silver_increment
 
 SIX_HOURS = 21_600_000_000
 
@@ -97,6 +98,55 @@ def incr_fct_orders(m):
     )
 
 
+# The other tables: an archive batch has every row, and two thirds of the keys come again in a later one.
+RETURNING = {
+    "customers": ("customers", "v_customers", ["customer_id"], ["customer_unique_id", "is_synthetic"]),
+    "order_items": ("items", "v_items", ["order_id", "order_item_id"], ["product_id", "seller_id", "price", "freight_value"]),
+    "order_payments": ("payments", "v_payments", ["order_id", "payment_sequential"], ["payment_type", "payment_installments", "payment_value"]),
+    "order_reviews": ("reviews", "v_reviews", ["review_id"], ["order_id", "review_score", "review_creation_date"]),
+}
+
+
+def returned(table: str, m):
+    """Silver rows of the archive batch after the batches that bring some of their keys again."""
+    source, _, keys, _ = RETURNING[table]
+    rows = getattr(m, source)
+    early = rows.withColumn("batch_id", F.lit("archive-0"))
+    again = rows.where(F.pmod(hash_int(F.lit("again"), *keys), F.lit(3)) != 0).withColumn("batch_id", F.lit("delivery-1"))
+    first = silver_increment(early, table, ["archive-0"])
+    return merge_latest(first, SILVER_STEPS[table](again), keys)
+
+
+def returned_sql(table: str, *more: str) -> str:
+    _, view, keys, columns = RETURNING[table]
+    names = ["cast({0} as double) {0}".format(c) if c in ("price", "freight_value", "payment_value") else c for c in columns]
+    batch = f"case when {hashed(chr(39) + 'again' + chr(39), *keys)} % 3 <> 0 then 'delivery-1' else 'archive-0' end batch_id"
+    return f"select {', '.join([*keys, *names, *more])}, {batch} from {view}"
+
+
+def register_returned(table: str) -> None:
+    _, _, keys, columns = RETURNING[table]
+
+    @query(f"incr_silver_{table}", returned_sql(table))
+    def silver_rows(m):
+        return returned(table, m).select(*keys, *columns, "batch_id")
+
+    if table == "customers":
+        return
+    fact = {"order_items": "fct_order_items", "order_payments": "fct_payments", "order_reviews": "fct_reviews"}[table]
+    days = "round(datesub('hour', review_creation_date, review_answer_timestamp) / 24.0e0, 6) review_response_days"
+    more = [days] if table == "order_reviews" else []
+
+    @query(f"incr_{fact}", returned_sql(table, *more))
+    def fact_rows(m):
+        extra = ["review_response_days"] if more else []
+        return fact_increment(table, returned(table, m), m.silver_customers).select(*keys, *columns, *extra, "batch_id")
+
+
+for name in RETURNING:
+    register_returned(name)
+
+
 @query("incr_daily_revenue_merge", DAILY_SQL)
 def incr_daily_revenue_merge(m):
     """State up to mid-1998 and the delta after it, added up."""
