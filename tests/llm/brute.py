@@ -65,3 +65,15 @@ def near(rows, percent=85):
 
 def crc(ids):
     return zlib.crc32(b"".join(int(x).to_bytes(4, "little") for x in ids))
+
+
+def shards(rows, n):
+    """rows: (doc_id, text). (doc_id, size, crc, law, shard, slot), sorted by representation."""
+    key = sorted((i is not None, i or 0, zlib.crc32((t or "").encode()), len((t or "").encode()) + 16, i) for i, t in rows)
+    total, before, out, slots = sum(k[3] for k in key), 0, [], {}
+    for _, _, crc, size, i in key:
+        shard = min(n - 1, (2 * before + size) * n // (2 * total))
+        out.append((i, size, crc, "bytes", shard, slots.setdefault(shard, 0)))
+        slots[shard] += 1
+        before += size
+    return sorted(out, key=repr)

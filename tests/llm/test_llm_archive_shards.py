@@ -1,7 +1,7 @@
 import base64
 import hashlib
-import zlib
 
+import brute
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,21 +62,10 @@ def test_empty_archive(spark, tmp_path):
     assert warc.read_records(spark, str(tmp_path / "e")).count() == 0
 
 
-def shards_of(rows, n):
-    key = sorted((i is not None, i or 0, zlib.crc32((t or "").encode()), len((t or "").encode()) + 16, i) for i, t in rows)
-    total, before, out, slots = sum(k[3] for k in key), 0, [], {}
-    for _, _, crc, size, i in key:
-        shard = min(n - 1, (2 * before + size) * n // (2 * total))
-        out.append((i, size, crc, "bytes", shard, slots.setdefault(shard, 0)))
-        slots[shard] += 1
-        before += size
-    return sorted(out, key=repr)
-
-
 @pytest.mark.parametrize("n", [1, 5, 40])
 def test_shards_equal_the_plain_version(awkward, awkward_rows, n):
     got = sharding.assign(awkward, n).collect()
-    assert sorted((tuple(r) for r in got), key=repr) == shards_of([(r[0], r[1]) for r in awkward_rows], n)
+    assert sorted((tuple(r) for r in got), key=repr) == brute.shards([(r[0], r[1]) for r in awkward_rows], n)
 
 
 def test_shards_are_balanced(spark):
