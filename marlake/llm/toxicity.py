@@ -27,7 +27,7 @@ SMOOTHING = 0.5
 Z = 3.0
 MOST_PER_CLASS = 10_000
 REGULARISATION = 1e-4
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 
 def gram_places(texts: pa.Array, orders: Sequence[int] = ORDERS, bits: int = BITS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -36,7 +36,7 @@ def gram_places(texts: pa.Array, orders: Sequence[int] = ORDERS, bits: int = BIT
     lengths = pc.utf8_length(plain).to_numpy(zero_copy_only=False).astype(np.int64)
     points = np.frombuffer("".join(plain.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32)
     owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
-    rest = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(points))  # characters from here to the end of the text
+    rest = np.repeat(np.cumsum(lengths, dtype=np.int32), lengths) - np.arange(len(points), dtype=np.int32)  # characters to the end of the text
     rolled = np.zeros(len(points), np.uint32)
     for n in range(1, max(orders) + 1):
         ahead = np.zeros(len(points), np.uint32)
@@ -44,11 +44,18 @@ def gram_places(texts: pa.Array, orders: Sequence[int] = ORDERS, bits: int = BIT
         rolled = rolled * np.uint32(0x01000193) + ahead + np.uint32(n)
         if n in orders:
             whole = rest >= n
-            yield owner[whole], ((rolled[whole] * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)).astype(np.int64)
-
-
-def distinct(owner: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    pairs = np.unique(owner.astype(np.int64) << BITS | bucket)
+            yield owner[whole], ((rolled[whole] * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)).astype(np.int32)
+
+
+def features_of(texts: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Text and bucket of every distinct feature of every text; only ``wanted`` buckets if given (a mask)."""
+    found = []
+    for owner, bucket in gram_places(texts):
+        if wanted is not None:
+            hit = wanted[bucket]
+            owner, bucket = owner[hit], bucket[hit]
+        found.append(np.unique(owner.astype(np.int64) << BITS | bucket))
+    pairs = np.unique(np.concatenate(found))
     return pairs >> BITS, pairs & ((1 << BITS) - 1)
 
 
@@ -63,10 +70,8 @@ class Model:
     def score(self, texts: pa.Array) -> np.ndarray:
         table = np.zeros(1 << BITS, np.float32)
         table[self.buckets] = self.weights
-        total = np.full(len(texts), self.intercept)
-        found = [(o[hit], b[hit]) for o, b in gram_places(texts) if (hit := table[b] != 0) is not None]
-        owner, bucket = distinct(np.concatenate([o for o, _ in found]), np.concatenate([b for _, b in found]))
-        total += np.bincount(owner, table[bucket], len(texts))
+        owner, bucket = features_of(texts, table != 0)
+        total = self.intercept + np.bincount(owner, table[bucket], len(texts))
         return 1 / (1 + np.exp(-np.clip(total, -50, 50)))
 
 
@@ -125,8 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for batch in batches:
             label = batch.column(1).to_numpy(zero_copy_only=False)
             for first, texts in text_slices(batch.column(0), SLICE):
-                places = list(gram_places(texts))
-                owner, bucket = distinct(np.concatenate([o for o, _ in places]), np.concatenate([b for _, b in places]))
+                owner, bucket = features_of(texts)
                 mine = label[first + owner]
                 for k in (0, 1):
                     seen[k] += np.bincount(bucket[mine == k], minlength=1 << BITS)
@@ -148,8 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         place[used] = np.arange(len(used))
         for batch in batches:
             for first, texts in text_slices(batch.column(0), SLICE):
-                places = [(o[place[b] >= 0], b[place[b] >= 0]) for o, b in gram_places(texts)]
-                owner, bucket = distinct(np.concatenate([o for o, _ in places]), np.concatenate([b for _, b in places]))
+                owner, bucket = features_of(texts, place >= 0)
                 edges = np.searchsorted(owner, np.arange(len(texts) + 1)).astype(np.int32)
                 found = pa.ListArray.from_arrays(pa.array(edges), pa.array(place[bucket]))
                 label, weight = (batch.column(i).slice(first, len(texts)) for i in (1, 2))
