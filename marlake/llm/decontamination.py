@@ -28,7 +28,7 @@ from marlake.llm.common import frugal, positions, small_side, text_slices, with_
 from marlake.session import stage
 
 BLOCK = 16
-RANK = 64
+RANK = 128
 OVERSAMPLE = 16
 COSINE = 0.5
 CONTAINED = 0.5
@@ -36,7 +36,8 @@ COPIED = 0.8
 PARAPHRASED = 0.5
 ANSWERED = 0.8
 FEW_WORDS = 8
-COMMON = 0.003
+# A word of every block still counts that much.
+LEAST_WEIGHT = 0.05
 ITEM_POWER = 4
 WORDS = 1 << 18
 ITEMS = 256
@@ -270,8 +271,7 @@ def common_share(item: np.ndarray, region: np.ndarray, weight: np.ndarray) -> fl
 def search(encoded: DataFrame, items: Items, space: np.ndarray, weight: np.ndarray, idf: np.ndarray, cosine: float, copied: float, paraphrased: float, answered: float) -> DataFrame:
     """(row, item_id, cosine, share, answer) of confirmed places; a document and item may come more than once."""
     queries, lengths, owner_of, start_of = queries_of(items, space)
-    # Places of stop words count in the subsequence, with a small weight at least.
-    mass = np.maximum(idf, 0.05)
+    mass = np.maximum(idf, LEAST_WEIGHT)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -343,9 +343,8 @@ def find_leaks(
     """Per document row: ``doc_id``, ``text_hash``, ``contaminated``, ``item_ids`` (ascending) and ``best_share``.
 
     Every document is searched whole against every item; items are taken in blocks of
-    ``items_at_once``, the only part of the benchmark that is sent to all tasks. Words in more than
-    three thousandths of all blocks of text do not enter the latent space (they would say nothing), but count in the subsequence with
-    their small weight; an item of such words only is searched with all of its words.
+    ``items_at_once``, the only part of the benchmark that is sent to all tasks. Every word of an item
+    enters the latent space and the subsequence; frequent words count less, by their inverse frequency, but none is left out.
 
     Null and empty texts are not contaminated; an item without a word, or with a null id, finds
     nothing. Repeated rows and repeated items are each treated alike and an item id is named once. Empty tables give
@@ -369,10 +368,7 @@ def find_leaks(
         encoded = stage(encode(rows.select("row", "_text"), block.vocabulary), "encoded")
         df, total = frequencies(encoded, len(block.vocabulary))
         idf = idf_of(df, total)
-        weight = np.where(df > COMMON * total, 0.0, idf).astype(np.float32)
-        for codes in block.words:
-            if not weight[codes].any():
-                weight[codes] = np.maximum(idf[codes], 1e-3)
+        weight = np.maximum(idf, LEAST_WEIGHT).astype(np.float32)
         space = latent_space(encoded, block, weight, df, rank, seed)
         found = stage(search(encoded, block, space, weight, idf, cosine, copied, paraphrased, answered), "hits")
         hits = found if hits is None else hits.unionByName(found)

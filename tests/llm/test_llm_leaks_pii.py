@@ -40,6 +40,19 @@ def test_copies_and_paraphrases_are_found_and_clean_documents_stay(spark, bench)
     assert {r["doc_id"]: set(r["item_ids"]) for r in few} == want
 
 
+def test_items_of_frequent_words_are_found_without_their_rare_ones(spark):
+    """Every block holds many of the items' words; the copies lack the two rare words of their item."""
+    rng = random.Random(23)
+    said = [[f"w{rng.randrange(150)}" for _ in range(38)] for _ in range(6)]
+    items = [(i, " ".join([*w[:9], f"rare{i}", *w[9:25], f"name{i}", *w[25:]])) for i, w in enumerate(said)]
+    some = lambda n: [f"w{rng.randrange(150)}" for _ in range(n)]
+    rows = [(k, " ".join(some(160))) for k in range(400)]
+    rows += [(1000 + 10 * i + k, " ".join(some(30 + 5 * k) + w[:9] + ["other"] + w[9:25] + ["new"] + w[25:] + some(30))) for i, w in enumerate(said) for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = decontamination.find_leaks(docs, spark.createDataFrame(items, ITEMS)).where("contaminated").collect()
+    assert {r["doc_id"]: r["item_ids"] for r in got} == {1000 + 10 * i + k: [i] for i in range(6) for k in range(4)}
+
+
 def test_real_leaks_equal_a_plain_search(spark):
     folder = "/root/testdata/sf0.01"
     docs, items = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet")
