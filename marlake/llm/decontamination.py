@@ -5,8 +5,8 @@ similarity with an item, so documents are reduced to these words and their place
 ``BLOCK`` words are the rows of a TF-IDF matrix (passage frequencies over all documents). A
 randomised SVD of this matrix, in one distributed pass (test matrix, product with the Gram
 matrix, Nyström factors), gives a latent space; the items' own blocks are rows of it too, and
-weigh ``ITEM_POWER`` times as much as all documents together, so that the space holds what tells items apart. Every two neighbouring blocks make a passage; a
-passage whose cosine with a passage of an item is high enough, and which holds enough of its length, is a candidate. A candidate is
+weigh ``ITEM_POWER`` times as much as all documents together, so that the space holds what tells items apart. Two neighbouring blocks
+of an item and three of a document make a passage, so that no offset cuts one; a passage whose cosine with a passage of an item is high enough, and which holds enough of its length, is a candidate. A candidate is
 confirmed by the longest common subsequence of the item and the words around the place, weighted
 by inverse frequency: either most of the item is there, or about half of it together with its
 answer (a paraphrase).
@@ -28,12 +28,15 @@ from marlake.llm.common import frugal, positions, small_side, text_slices, with_
 from marlake.session import stage
 
 BLOCK = 16
+SPAN = 3
 RANK = 128
 OVERSAMPLE = 16
-COSINE = 0.5
-CONTAINED = 0.5
 COPIED = 0.8
 PARAPHRASED = 0.5
+# What is left of an item may be dealt unevenly over its passages, and its frequent words weigh less: so much of the share lies in one passage.
+PLACED = 0.7
+# A passage of a document is half as long again as one of an item.
+COSINE = PLACED * PARAPHRASED * (2 / SPAN) ** 0.5
 ANSWERED = 0.8
 FEW_WORDS = 8
 # A word of every block still counts that much.
@@ -268,10 +271,20 @@ def common_share(item: np.ndarray, region: np.ndarray, weight: np.ndarray) -> fl
     return float(line[-1] / max(weight[item].sum(), 1e-12))
 
 
+def most_common(bag: tuple[np.ndarray, np.ndarray], region: np.ndarray, weight: np.ndarray) -> float:
+    """Weight of the words that the item and the region share in any order; no common subsequence is heavier."""
+    codes, counts = bag
+    return float(np.minimum(np.bincount(region, minlength=len(weight))[codes], counts) @ weight[codes])
+
+
 def search(encoded: DataFrame, items: Items, space: np.ndarray, weight: np.ndarray, idf: np.ndarray, cosine: float, copied: float, paraphrased: float, answered: float) -> DataFrame:
     """(row, item_id, cosine, share, answer) of confirmed places; a document and item may come more than once."""
     queries, lengths, owner_of, start_of = queries_of(items, space)
     mass = np.maximum(idf, LEAST_WEIGHT)
+    contained = PLACED * min(copied, paraphrased)
+    bags = [np.unique(words, return_counts=True) for words in items.words]
+    # No place with a smaller share of an item is confirmed.
+    least = [(min(copied, paraphrased) if len(words) >= FEW_WORDS else 1) * mass[words].sum() - 1e-6 for words in items.words]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -281,27 +294,25 @@ def search(encoded: DataFrame, items: Items, space: np.ndarray, weight: np.ndarr
             own = weight[codes] > 0
             kept, sums = block_sums(block[own], space, codes[own])
             out: dict[tuple[int, int], tuple] = {}
-            # A passage is a block and the next one of the same text; it is named by its first block.
+            # A passage is three neighbouring blocks of a text, so that it holds an item's passage at any offset; it is named by its first block.
             text = np.searchsorted(first, kept, side="right") - 1
-            before = kept - 1
-            heads = np.unique(np.concatenate([kept, before[before >= first[text]]]))
-            at, after = np.searchsorted(kept, heads), np.searchsorted(kept, heads + 1)
+            heads = np.unique(np.concatenate([(kept - d)[kept - d >= first[text]] for d in range(SPAN)]))
             last = first[np.searchsorted(first, heads, side="right")]
-            has = (at < len(kept)) & (kept[np.minimum(at, len(kept) - 1)] == heads) if len(kept) else np.zeros(len(heads), bool)
-            next_in = (after < len(kept)) & (heads + 1 < last)
+            at = [np.searchsorted(kept, heads + d) for d in range(SPAN)]
+            has = [(a < len(kept)) & (heads + d < last) for d, a in enumerate(at)]
             if len(kept):
-                next_in &= kept[np.minimum(after, len(kept) - 1)] == heads + 1
+                has = [h & (kept[np.minimum(a, len(kept) - 1)] == heads + d) for d, (h, a) in enumerate(zip(has, at))]
             for k in range(0, len(heads), 20_000):
                 part = slice(k, k + 20_000)
                 passage = np.zeros((len(heads[part]), space.shape[1]), np.float32)
-                passage[has[part]] += sums[at[part][has[part]]]
-                passage[next_in[part]] += sums[after[part][next_in[part]]]
+                for h, a in zip(has, at):
+                    passage[h[part]] += sums[a[part][h[part]]]
                 length = np.linalg.norm(passage, axis=1)
                 for p in range(0, len(queries), QUERIES):
                     # A passage shorter than that cannot hold enough of any of these queries.
-                    long = np.nonzero(length >= max(CONTAINED * lengths[p], 1e-9))[0]
+                    long = np.nonzero(length >= max(contained * lengths[p], 1e-9))[0]
                     dots = passage[long] @ queries[p : p + QUERIES].T
-                    right = (dots >= cosine * length[long][:, None]) & (dots >= CONTAINED * lengths[p : p + QUERIES])
+                    right = (dots >= cosine * length[long][:, None]) & (dots >= contained * lengths[p : p + QUERIES])
                     for i, j in zip(*np.nonzero(right)):
                         head, query = int(heads[k + long[i]]), p + int(j)
                         row = int(np.searchsorted(first, head, side="right") - 1)
@@ -309,10 +320,12 @@ def search(encoded: DataFrame, items: Items, space: np.ndarray, weight: np.ndarr
                         if out.get((row, item), (0, 0.0))[1] >= 1 - 1e-9:
                             continue
                         words = items.words[item]
-                        begin = (head - first[row]) * BLOCK - int(start_of[query]) - 3 * BLOCK // 2
+                        begin = (head - first[row]) * BLOCK - int(start_of[query]) - BLOCK
                         a, b = bounds[row], bounds[row + 1]
                         lo, hi = a + np.searchsorted(place[a:b], [begin, begin + len(words) + 3 * BLOCK])
                         region = codes[lo:hi]
+                        if most_common(bags[item], region, mass) < least[item]:
+                            continue
                         share = common_share(words, region, mass)
                         answer = common_share(items.answers[item], region, mass) if len(items.answers[item]) else 0.0
                         need = copied if len(words) >= FEW_WORDS else 1 - 1e-9

@@ -53,6 +53,25 @@ def test_items_of_frequent_words_are_found_without_their_rare_ones(spark):
     assert {r["doc_id"]: r["item_ids"] for r in got} == {1000 + 10 * i + k: [i] for i in range(6) for k in range(4)}
 
 
+def test_paraphrases_are_found_at_every_offset(spark):
+    """Half to two thirds of an item's words and its whole answer, at all 16 places of the grid of blocks."""
+    rng = random.Random(24)
+    body, answer = [[prose(rng, n, 3000).split() for _ in range(4)] for n in (26, 6)]
+    items = [(i, f"{' '.join(body[i])}. {' '.join(answer[i])}.") for i in range(4)]
+    rows = [(k, " ".join(f"z{rng.randrange(5000)}" for _ in range(320))) for k in range(600)]
+    want = {}
+    for i in range(4):
+        for offset in range(16):
+            for said in (11, 13, 15):
+                stay = set(rng.sample(range(26), said))
+                text = [w if n in stay else "other" for n, w in enumerate(body[i])] + answer[i]
+                want[1000 + len(want)] = i
+                rows.append((999 + len(want), " ".join(["z"] * (32 + offset) + text + ["z"] * 40)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = decontamination.find_leaks(docs, spark.createDataFrame(items, ITEMS)).where("contaminated").collect()
+    assert {r["doc_id"]: r["item_ids"] for r in got} == {k: [i] for k, i in want.items()}
+
+
 def test_real_leaks_equal_a_plain_search(spark):
     folder = "/root/testdata/sf0.01"
     docs, items = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet")
