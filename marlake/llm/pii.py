@@ -50,14 +50,18 @@ NAME_WORD = r"\p{Lu}[\p{L}'’-]{1,40}"
 TITLES = "|".join(MALE + FEMALE + NEUTRAL)
 TITLE = rf"(?:{TITLES})\.?(?: (?:{'|'.join(NEUTRAL)})\.?)*"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+# What stands before the value of a named secret.
+NAMED = r"(?:password|passwd|pwd|secret|api_?key|(?:access_?|auth_?)?token|bearer)[\"']?[ \t]{0,2}[=:][ \t]{0,2}[\"']?(?:bearer[ \t]{1,2})?"
+BEARER = r"bearer[ \t]{1,2}"
+VALUE = r"[^\s\"',;]"
 # Kinds in the order in which they are tried at a place.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,24}",
     "key": r"\bAKIA[0-9A-Z]{16}\b",
-    "secret": r"(?i:\b(?:password|passwd|pwd|secret|api_?key|access_?token|auth_?token)\b[\"']?[ \t]{0,2}[=:][ \t]{0,2}[\"']?)[^\s\"',;]{4,200}",
-    "hex": r"(?<![0-9A-Za-z])[0-9a-f]{40}(?![0-9A-Za-z])",
+    "secret": rf"(?<![\p{{L}}\p{{N}}])(?:(?i:{NAMED}){VALUE}{{4,}}|(?i:{BEARER})(?={VALUE}*[0-9]){VALUE}{{16,}})",
+    "hex": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])",
     "ipv4": rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])",
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])|(?<![\p{L}\p{N}+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
+    "phone": r"(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])|(?<![\p{L}\p{N}+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![\p{L}\p{N}+.-])(?:1[ .-])?(?:[0-9]{3}-[0-9]{3}-|[0-9]{3}\.[0-9]{3}\.|[0-9]{3} [0-9]{3} )[0-9]{4}(?![0-9]|[.-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9.-])[3-6][0-9]{3}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,4}(?![0-9-])",
     "name": rf"(?<![\p{{L}}\p{{N}}]){TITLE} {NAME_WORD}(?: {NAME_WORD})?",
@@ -101,7 +105,7 @@ def parts_of(kind: Column, found: Column) -> Column:
 
 
 def secret_value(found: Column) -> Column:
-    return F.regexp_extract(found, r"^(?i:password|passwd|pwd|secret|api_?key|access_?token|auth_?token)[\"']?[ \t]{0,2}[=:][ \t]{0,2}[\"']?(.*)$", 1)
+    return F.regexp_extract(found, rf"^(?i:{NAMED}|{BEARER})(.*)$", 1)
 
 
 def stream(key: str) -> Column:
@@ -159,14 +163,14 @@ def surrogate(key: str) -> Column:
     card = F.when(with_check_digit(name) == name, with_check_digit(card)).otherwise(card)
     country = F.greatest(F.length(name) - 10, i0)
     phone = F.concat(F.substr(name, F.lit(1), country), ((byte(i0) % 8) + 2).cast("string"), F.substr(all_digits, country + 2))
-    hexes = drawn(name, {"[a-f]": "abcdef", "[0-9]": "0123456789"})
+    hexes = drawn(name, {"[a-f]": "abcdef", "[A-F]": "ABCDEF", "[0-9]": "0123456789"})
     keys = F.concat(F.lit("AKIA"), F.substr(drawn(name), F.lit(5)))
     out = (
         F.when(kind == "email", email)
         .when(kind == "ipv4", F.array_join(octets, "."))
         .when(kind == "card", card)
         .when(kind == "phone", phone)
-        .when((kind == "token") & name.rlike("^[0-9a-f]+$"), hexes)
+        .when((kind == "token") & name.rlike("^([0-9a-f]+|[0-9A-F]+)$"), hexes)
         .when((kind == "token") & name.rlike("^AKIA[0-9A-Z]{16}$"), keys)
         .otherwise(drawn(name))
     )
@@ -252,7 +256,7 @@ def replace_personal_data(docs: DataFrame, key: str, text_col: str = "text") ->
     """``docs`` with the personal data in ``text_col`` replaced; two columns are added.
 
     ``pii_found`` is the number of replaced matches, ``pii_kinds`` the sorted kinds. Found are e-mail
-    addresses, access keys, named secrets, 40-digit hex secrets, IPv4 addresses, phone numbers,
+    addresses, access keys, named secrets and bearer tokens of any length, hex secrets of 32 digits or more, IPv4 addresses, phone numbers,
     US social security numbers, card numbers, and names after a title. Spellings of one entity
     (letter case, separators) share a surrogate.
 

@@ -142,6 +142,24 @@ def test_same_entity_same_surrogate_in_its_own_format(spark):
     assert re.match(r"Госпожа \S+ (\S+) и господин \S+ \1$", d)
 
 
+def test_long_secrets_other_tokens_and_separated_phones_go_whole(spark):
+    rng = random.Random(25)
+    some = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    letters = "abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ0123456789"
+    start = some(200, letters)
+    held = [start + some(800, letters), start + some(800, letters), some(32, "0123456789abcdef"), some(64, "0123456789ABCDEF"), some(30, letters) + "7", some(40, letters) + "8"]
+    forms = ["secret = {}", "api_key: '{}'", "sum {} end", "token = {}", "token: {}", "Authorization: Bearer {}"]
+    phones = ["555-123-4567", "555.123.4567", "555 123 4567", "1-555-123-4567"]
+    out = replaced(spark, [f.format(v) for f, v in zip(forms, held)] + [f"call {p} now" for p in phones])
+    for f, v, t in zip(forms, held, out):
+        head, tail = f.split("{}")
+        assert t.startswith(head) and t.endswith(tail) and len(t) == len(f.format(v))
+        assert not any(v[k : k + 8] in t for k in range(len(v) - 7))
+    assert out[0][len("secret = ") :] != out[1][len("api_key: '") : -1]
+    assert len(set(out[6:])) == 4 and not any(p in t for p, t in zip(phones, out[6:]))
+    assert re.sub(r"\D", "", out[6]) == re.sub(r"\D", "", out[7]) == re.sub(r"\D", "", out[8])
+
+
 def test_surrogates_stay_distinct_in_a_narrow_format(spark):
 
     texts = [f"see {a}.{b}.1.1 or {chr(97 + a)}{chr(97 + b)}@x.io and Mr. Fam{chr(97 + a)}{chr(97 + b)}" for a in range(1, 9) for b in range(1, 9)]
