@@ -26,11 +26,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id; of rows that repeat an id, one stays."""
-    found = near_dup.near_duplicates(docs, percent=PERCENT)
-    ids = stage(found.where("kept").groupBy("doc_id").agg(F.count("*").alias("_rows")), "kept")
-    kept = docs.join(small_side(ids), "doc_id")
-    return kept.where("_rows = 1").select(COLUMNS).union(kept.where("_rows > 1").dropDuplicates(["doc_id"]).select(COLUMNS))
+    """One row of each group stays: the smallest id, null last, then the smallest text hash; of equal rows, one.
+
+    Rows without an id, and texts that share one, are judged by their texts like all others; texts without a word group by their id.
+    """
+    found = near_dup.near_duplicates(docs, percent=PERCENT, with_rows=True)
+    wordless = F.when(F.col("label").isNull(), F.col("doc_id"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("_k")
+    keys = found.groupBy("label", wordless.alias("_own")).agg(least)
+    keys = stage(keys.select(F.col("_k.doc_id").alias("_id"), F.col("_k.text_hash").alias("_hash")), "kept")
+    counts = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("_rows"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    keys = stage(counts.join(small_side(keys), same).select("_id", "_hash", "_rows"), "kept")
+    mine = F.xxhash64(F.col("text").cast("string"))
+    kept = docs.select(COLUMNS).join(small_side(keys), F.col("doc_id").eqNullSafe(F.col("_id")) & (mine == F.col("_hash")))
+    again = kept.where("_rows > 1").dropDuplicates(["_id", "_hash"])
+    return kept.where("_rows = 1").select(COLUMNS).union(again.select(COLUMNS))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

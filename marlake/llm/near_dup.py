@@ -103,6 +103,7 @@ def near_duplicates(
     percent: int = PERCENT,
     sketch: int = SKETCH,
     most_in_list: int = LIST,
+    with_rows: bool = False,
 ) -> DataFrame:
     """Component of every document row: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -115,7 +116,8 @@ def near_duplicates(
     component is its own id. Fewer than ``shingle`` words make one shingle. Repeated rows each get
     a row, all with the verdict of their id. A null id can link others but never names a component unless all
     ids in it are null; such a row is kept only then as null (unknown). An empty table gives no
-    rows; other columns are ignored.
+    rows; other columns are ignored. ``with_rows`` adds ``text_hash`` (null text has its own) and ``label``, which names
+    a component without regard to ids and is null for the empty set.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_t"))
     rows = rows.withColumn("_th", F.xxhash64("_t"))
@@ -154,10 +156,11 @@ def near_duplicates(
     labels = components(edges)
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     names = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    known = stage(named.join(names, "label").select(*same, "component_id"), "components")
-    out = base.select("doc_id", *same).join(known, same, "left")
+    known = stage(named.join(names, "label").select(*same, "label", "component_id"), "components")
+    out = base.select("doc_id", "_th", *same).join(known, same, "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    more = [F.col("_th").alias("text_hash"), "label"] if with_rows else []
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept"), *more)
 
 
 def may_link(a: str, b: str, percent: int, k: int | None = None) -> Column:

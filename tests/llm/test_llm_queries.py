@@ -81,3 +81,11 @@ def test_pipeline_stages(spark):
 def test_near_duplicate_stage_keeps_one_of_repeated_rows(spark, awkward):
     out = corpus_pipeline.near_duplicates(spark, awkward, FOLDER).collect()
     assert len([r for r in out if r["doc_id"] == 7]) == 1
+
+
+def test_near_duplicate_stage_judges_rows_without_an_id_and_texts_that_share_one(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    rows = [(None, a), (None, a), (None, b), (1, b), (2, c), (2, d), (3, c), (4, d), (1, d)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect()]
+    assert sorted(out, key=repr) == sorted([(None, a), (1, b), (2, c), (1, d)], key=repr)
