@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlake.llm import decontamination, importance, near_dup, packing, pii, quality_rules, sharding, token_files, toxicity, warc
+from marlake.llm import decontamination, importance, line_dedup, near_dup, packing, pii, quality_rules, sharding, token_files, toxicity, warc
 from marlake.llm.sql import SQL
 from marlake.session import configure, scratch_path
 
@@ -100,3 +100,10 @@ def op9_latent_retrieval(spark: SparkSession, folder: str) -> DataFrame:
 def op10_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with surrogates for its personal data."""
     return pii.replace_personal_data(table(spark, folder, "documents"), KEY)
+
+
+@query
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Line counts and the checksum of what stays of every document."""
+    out = line_dedup.line_dedup(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("clean_text", 256).alias("kept_sha256"))

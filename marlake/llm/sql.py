@@ -97,3 +97,15 @@ least as (select a as doc_id, min(b) as component_id from reach group by a)
 select d.doc_id, coalesce(s.n, 0) as n_shingles, l.component_id, d.doc_id = l.component_id as kept
 from documents d join least l on l.doc_id = d.doc_id left join sizes s on s.doc_id = d.doc_id
 """
+
+SQL["op11_line_dedup"] = r"""
+with line as (
+  select doc_id, pos, l, translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+  from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as l, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos from documents)
+),
+shared as (select k, max(doc_id) as keeper from line where length(k) >= 20 group by k having count(distinct doc_id) >= 3),
+judged as (select line.*, s.k is not null and line.doc_id <> s.keeper as gone from line left join shared s on s.k = line.k)
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+  sha256(coalesce(string_agg(l, chr(10) order by pos) filter (not gone), '')) as kept_sha256
+from judged group by doc_id
+"""

@@ -77,3 +77,21 @@ def shards(rows, n):
         slots[shard] += 1
         before += size
     return sorted(out, key=repr)
+
+
+def line_dedup(rows, min_chars=20, min_docs=3):
+    """rows: (doc_id, text). A list of (doc_id, lines, dropped, text left) in the order of the rows."""
+    def key(line):
+        return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
+
+    held = defaultdict(set)
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            if i is not None and len(key(line)) >= min_chars:
+                held[key(line)].add(i)
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        left = [x for x in lines if len(held.get(key(x), ())) < min_docs or max(held[key(x)]) == i]
+        out.append((i, len(lines), len(lines) - len(left), "\n".join(left)))
+    return out
