@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlake.llm import decontamination, importance, line_dedup, near_dup, packing, pii, quality_rules, sharding, token_files, toxicity, warc
+from marlake.llm import decontamination, hard_negatives, importance, line_dedup, near_dup, packing, periodic_runs, pii, quality_rules, sharding, token_files, toxicity, warc
 from marlake.llm.sql import SQL
 from marlake.session import configure, scratch_path
 
@@ -107,3 +107,32 @@ def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Line counts and the checksum of what stays of every document."""
     out = line_dedup.line_dedup(table(spark, folder, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("clean_text", 256).alias("kept_sha256"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The runs of every document, the longest one, and the checksums of all and of what stays."""
+    out = periodic_runs.periodic_runs(periodic_runs.planted(table(spark, folder, "documents")))
+    best = periodic_runs.longest(F.col("runs"))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    out = out.select("doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), line.alias("lines"), "collapsed")
+    length = -F.col("best.less")
+    return out.select(
+        "doc_id",
+        "n_runs",
+        F.col("best.start").alias("start"),
+        length.alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(1000 * length / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join("lines", "\n"), F.when(F.size("lines") > 0, F.lit("\n")).otherwise(F.lit(""))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector; each seventh vector's label is moved first."""
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)

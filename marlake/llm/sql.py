@@ -109,3 +109,23 @@ select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
   sha256(coalesce(string_agg(l, chr(10) order by pos) filter (not gone), '')) as kept_sha256
 from judged group by doc_id
 """
+
+SQL["op13_hard_negatives"] = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as (
+  select a.vec_id as anchor_id, r.vec_id as id, a.label = r.label as same, list_inner_product(a.v, r.v)::bigint as score
+  from v a join v r on a.vec_id <> r.vec_id where a.vec_id % 50 = 0
+),
+p as (
+  select anchor_id, id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+)
+select p.anchor_id, positive_id, row_number() over (partition by p.anchor_id, positive_id order by score desc, id)::int as rank,
+  id as negative_id, positive_score, score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not same and 100 * score between 50 * positive_score and 95 * positive_score
+qualify rank <= 3
+"""

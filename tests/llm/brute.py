@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -95,3 +96,58 @@ def line_dedup(rows, min_chars=20, min_docs=3):
         left = [x for x in lines if len(held.get(key(x), ())) < min_docs or max(held[key(x)]) == i]
         out.append((i, len(lines), len(lines) - len(left), "\n".join(left)))
     return out
+
+
+def runs(w, least=12):
+    """All (start, length, period) of a list of words, found lag by lag without any short cut."""
+    out = {}
+    for q in range(1, len(w) // 2 + 1):
+        i = 0
+        while i < len(w) - q:
+            j = i
+            while j < len(w) - q and w[j] == w[j + q]:
+                j += 1
+            if j - i + q >= max(least, 2 * q):
+                out.setdefault((i, j + q), q)
+            i = j + 1
+    return sorted(((s, e - s, q) for (s, e), q in out.items()), key=lambda r: (r[0], r[2]))
+
+
+def collapsed(w, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def planted(doc_id, text):
+    w = words(text)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    g = h // 10
+    if h % 10 or not w:
+        return w
+    a = g % len(w)
+    p = 1 + (len(w) - a) // (3 + g % 8)
+    return [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+
+
+def hard_negatives(rows, anchor, positives=5, negatives=3, low=50, high=95, scale=256):
+    """rows: (id, vector, label). Sorted result tuples; ``anchor`` tells from an id whether the row is one."""
+    ok = [
+        (i, [math.floor(scale * float(x)) for x in v], label)
+        for i, v, label in rows
+        if v is not None and label is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    last = 1 << 63
+
+    def order(r):
+        return -r[1], last if r[0] is None else r[0]
+
+    out = []
+    for i, a, label in ok:
+        if not anchor(i):
+            continue
+        scored = [(j, sum(x * y for x, y in zip(a, v)), other == label) for j, v, other in ok]
+        near = sorted(((j, s) for j, s, same in scored if same and j != i), key=order)[:positives]
+        for j, p in near:
+            hard = sorted(((k, s) for k, s, same in scored if not same and low * p <= 100 * s <= high * p), key=order)[:negatives]
+            out += [(i, j, n + 1, k, p, s) for n, (k, s) in enumerate(hard)]
+    return sorted(out, key=repr)
