@@ -69,10 +69,11 @@ def line_dedup(
     shared = stage(shared.drop("docs"), "shared-lines")
     gone = each.join(small_side(shared), ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     places = gone.groupBy("row").agg(F.collect_list("pos").alias("gone"))
-    lines = F.split("text", "\n", -1)
-    stays = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    kept = F.array_join(F.transform(stays, lambda i: F.get(lines, i)), "\n")
-    return base.drop("keys").join(places, "row", "left").select(
+    # A column of its own: inside the lambda the text would be cut again for every line.
+    cut = base.drop("keys").join(places, "row", "left").withColumn("lines", F.split("text", "\n", -1))
+    stays = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    kept = F.array_join(F.transform(stays, lambda i: F.get("lines", i)), "\n")
+    return cut.select(
         "doc_id",
         "n_lines",
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
