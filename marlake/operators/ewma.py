@@ -51,9 +51,8 @@ def prior_ewma(
     decay = math.log(1.0 - alpha)
     cols = df.columns
 
-    placed = running(df, groups, order, sums={"_pos": F.lit(1)}, keep_chunk=True)
     seen = F.col(value).isNotNull()
-    placed = running(placed, groups, order, last={"_last": F.when(seen, F.col("_pos"))})
+    placed = running(df, groups, order, sums={"_pos": F.lit(1)}, then_last={"_last": F.when(seen, F.col("_pos"))})
 
     x = F.col(value).cast("double")
     weight = F.exp(F.lit(decay) * (F.col("_pos") - F.col("_last")))

@@ -8,16 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlake.operators.ordered import running
+from marlake.session import stage
 
 
 def ranked_values(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
     """Distinct values per group with their count ``n``, the rows ``before`` them and ``all`` rows.
 
-    Equal values are counted first (partial aggregation); the running count over the sorted
-    values is taken in chunks. The counts are written once, so quantiles, moments and histograms
-    can all be read from here without another pass over ``df``.
+    Equal values are counted first (partial aggregation), and the counts are written once; a group
+    with very many values is ranked in chunks. Quantiles, moments and histograms can all be read
+    from here without another pass over ``df``.
     """
     counted = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
+    counted = stage(counted, "value-counts")
     return running(counted, groups, [value], sums={"before": "n"}, totals={"all": "before"})
 
 

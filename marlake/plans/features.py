@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlake.functions.expr import (
@@ -251,42 +251,38 @@ def delivery_base(
 def point_in_time_rates(base: DataFrame) -> DataFrame:
     """History features of each order from strictly earlier orders only.
 
-    ``base`` is read several times and should be a written table. Each rate is computed on the
-    few columns it needs and joined back by order.
+    ``base`` is read several times and should be a written table. Each order stands once for every
+    history it belongs to (all orders, its category, state and route), so that one running pass over
+    (history, group) gives all prior means, and one grouping brings them back to the order.
     """
-    y = "is_delayed_num"
+    y, promised = "is_delayed_num", "promised_delivery_days"
     overall = overall_mean(base, y)
-    promised_mean = overall_mean(base, "promised_delivery_days")
+    promised_mean = overall_mean(base, promised)
+    histories = {"all": F.lit("all"), "category": F.col("main_category"), "state": F.col("customer_state"), "route": F.col("state_pair")}
+    each = F.explode(F.array(*[F.struct(F.lit(h).alias("history"), g.cast("string").alias("group")) for h, g in histories.items()]))
+    narrow = base.select(*BY_TIME, y, promised, each.alias("_in")).select(*BY_TIME, y, promised, "_in.*")
+    seen, ewma = together(
+        lambda: prior_mean(narrow, ["history", "group"], BY_TIME, {"rate": y, "promised": promised}, count="known"),
+        lambda: prior_ewma(base.select(*BY_TIME, y, "seller_id"), ["seller_id"], BY_TIME, y, "ewma", EWMA_ALPHA),
+    )
 
-    def narrow(*cols):
-        return base.select(*BY_TIME, y, *cols)
-
-    everywhere, seller, category, state, route = together(
-        lambda: prior_mean(narrow(), [], BY_TIME, {"global_prior": y}),
-        lambda: prior_ewma(narrow("seller_id"), ["seller_id"], BY_TIME, y, "ewma", EWMA_ALPHA),
-        lambda: prior_mean(
-            narrow("main_category", "promised_delivery_days"),
-            ["main_category"],
-            BY_TIME,
-            {"category_rate": y, "category_promised": "promised_delivery_days"},
-        ),
-        lambda: prior_mean(narrow("customer_state"), ["customer_state"], BY_TIME, {"state_rate": y}),
-        lambda: prior_mean(
-            narrow("state_pair"), ["state_pair"], BY_TIME, {"route_rate": y}, count="route_count"
-        ),
+    def of(history: str, column: str, name: str) -> Column:
+        return F.max(F.when(F.col("history") == history, F.col(column))).alias(name)
+
+    rates = seen.groupBy("order_id").agg(
+        of("all", "rate", "global_prior"),
+        of("category", "rate", "category_rate"),
+        of("category", "promised", "category_promised"),
+        of("state", "rate", "state_rate"),
+        of("route", "rate", "route_rate"),
+        of("route", "known", "route_count"),
     )
-    everywhere = everywhere.select("order_id", F.coalesce("global_prior", overall).alias("global_prior"))
+    rates = rates.withColumn("global_prior", F.coalesce("global_prior", overall))
 
     def if_named(group, col):
         return F.when(F.col(group).isNotNull(), F.col(col))
 
-    wide = (
-        base.join(everywhere, "order_id")
-        .join(seller.select("order_id", "ewma"), "order_id")
-        .join(category.select("order_id", "category_rate", "category_promised"), "order_id")
-        .join(state.select("order_id", "state_rate"), "order_id")
-        .join(route.select("order_id", "route_rate", "route_count"), "order_id")
-    )
+    wide = base.join(rates, "order_id").join(ewma.select("order_id", "ewma"), "order_id")
     glob = F.col("global_prior")
     route_mean = F.coalesce(if_named("state_pair", "route_rate"), glob)
     route_count = F.coalesce(if_named("state_pair", "route_count"), F.lit(0))

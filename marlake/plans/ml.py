@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlake.functions.expr import hash_int, ratio
-from marlake.operators.ordered import running
-from marlake.session import together
+from marlake.operators.ordered import joined_by_group, running, small
+from marlake.session import stage, together
 
 MISSING = "missing"
 CLUSTERS = 3
@@ -179,12 +179,17 @@ def assign_clusters(model: PipelineModel, df: DataFrame) -> DataFrame:
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2, out: str = "is_test") -> DataFrame:
     """Mark the rows with the lowest hashed rank of each label as test rows.
 
-    The split depends on the key only, so it is the same on every run.
+    The split depends on the key only, so it is the same on every run. Only labels, hashes and keys
+    are ranked; the rows are compared with the last test key of their label.
     """
-    marked = df.withColumn("_h", hash_int(F.lit("split"), key))
-    ranked = running(marked, [label], ["_h", key], sums={"_rank": F.lit(1)}, totals={"_n": "_rank"})
+    at = F.struct(hash_int(F.lit("split"), key).alias("h"), F.col(key).alias("key"))
+    narrow = df.select(label, hash_int(F.lit("split"), key).alias("_h"), key)
+    ranked = running(narrow, [label], ["_h", key], sums={"_rank": F.lit(1)}, totals={"_n": "_rank"})
     limit = F.round(F.col("_n") * F.lit(test_share))
-    return ranked.withColumn(out, F.col("_rank") < limit).drop("_h", "_rank", "_n")
+    last = F.max(F.when(F.col("_rank") < limit, F.struct(F.col("_h").alias("h"), F.col(key).alias("key"))))
+    ends = stage(ranked.groupBy(label).agg(last.alias("_end")), "split-ends")
+    marked = joined_by_group(df, small(ends), [label], "left")
+    return marked.withColumn(out, F.coalesce(at <= F.col("_end"), F.lit(False))).drop("_end")
 
 
 def classification_report(scored: DataFrame, label: str, score_col: str, threshold: float = 0.5) -> DataFrame:
@@ -218,6 +223,7 @@ def precision_recall_points(scored: DataFrame, label: str, score_col: str) -> Da
     per_score = scored.groupBy((-F.col(score_col)).alias("_neg")).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("bigint")).alias("_hits")
     )
+    per_score = stage(per_score, "per-score")
     run = running(
         per_score, [], ["_neg"], sums={"_n0": "_n", "_h0": "_hits"}, totals={"_pos": "_h0"}
     )

@@ -28,14 +28,19 @@ HIGH_DELAY = 0.12
 def risk_tiers(df: DataFrame, score: str, key: str, out: str = "risk_tier") -> DataFrame:
     """Tier of each row by its rank among all rows; equal scores rank by key.
 
-    The rank is taken with chunked running counts, so no task ever sorts all scores.
+    Only scores and keys are ranked. What comes out is the last (score, key) of each tier, and the
+    rows themselves are compared with these limits where they are.
     """
-    ranked = running(df, [], [score, key], sums={"_pos": F.lit(1)}, totals={"_rows": "_pos"})
+    at = F.struct(F.col(score).alias("score"), F.col(key).alias("key"))
+    ranked = running(df.select(score, key), [], [score, key], sums={"_pos": F.lit(1)}, totals={"_rows": "_pos"})
     share = F.col("_pos") / F.greatest(F.col("_rows") - 1, F.lit(1))
+    ends = ranked.agg(*[F.max(F.when(share <= limit, at)).alias(name) for limit, name in TIER_LIMITS])
+    marked = df.withColumn("_ends", ends.select(F.struct(*[name for _, name in TIER_LIMITS])).scalar())
     label: Column | None = None
-    for limit, name in TIER_LIMITS:
-        label = F.when(share <= limit, name) if label is None else label.when(share <= limit, name)
-    return ranked.withColumn(out, label.otherwise(TOP_TIER)).drop("_pos", "_rows")
+    for _, name in TIER_LIMITS:
+        within = at <= F.col(f"_ends.{name}")
+        label = F.when(within, name) if label is None else label.when(within, name)
+    return marked.withColumn(out, label.otherwise(TOP_TIER)).drop("_ends")
 
 
 def tier_rank(tier: str = "risk_tier") -> Column:

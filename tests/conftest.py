@@ -19,10 +19,9 @@ def spark():
 
 
 @pytest.fixture
-def many_chunks(spark):
-    """Keep every range chunk, so that small groups cross chunk borders as large ones would."""
-    name = "spark.sql.adaptive.coalescePartitions.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    yield
-    spark.conf.set(name, before)
+def many_chunks(monkeypatch):
+    """Chunks of few rows, so that small groups cross chunk borders as large ones would."""
+    from marlake.operators import ordered
+
+    monkeypatch.setattr(ordered, "CHUNK_ROWS", 100)
+    monkeypatch.setattr(ordered, "SAMPLES", 4)

@@ -5,8 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from marlake.operators import priors
-from marlake.operators import ewma
+from marlake.operators import ewma, ordered, priors
 from marlake.operators.ewma import prior_ewma
 from marlake.operators.ordered import running
 from marlake.operators.quantiles import exact_quantiles
@@ -58,10 +57,23 @@ def test_running_matches_a_plain_window(spark, many_chunks, groups):
 
 def test_a_hot_group_is_spread_over_chunks(spark, many_chunks):
     df = spark.range(20000).select(F.lit("hot").alias("g"), F.lit(1.0).alias("t"), F.col("id").cast("string").alias("k"))
-    out = running(df, ["g"], ["t", "k"], sums={"pos": F.lit(1)}, keep_chunk=True)
-    sizes = [r["count"] for r in out.groupBy("_chunk").count().collect()]
-    assert len(sizes) >= 6 and max(sizes) < 20000 / 3
-    assert out.agg(F.sum("pos")).head()[0] == sum(range(20000))
+    df = df.unionByName(df.limit(50).withColumn("g", F.lit("small")))
+    cut = ordered.with_chunks(df, ordered.chunk_bounds(df, ["g"], ["t", "k"]), ["g"], ["t", "k"])
+    sizes = [r["count"] for r in cut.where("g = 'hot'").groupBy("_chunk").count().collect()]
+    assert len(sizes) >= 100 and max(sizes) < 1500 and sum(sizes) == 20000
+    assert cut.where("g = 'small' and _chunk > 0").isEmpty()
+    spans = cut.where("g = 'hot'").groupBy("_chunk").agg(F.min("k").alias("a"), F.max("k").alias("b")).orderBy("_chunk").collect()
+    assert all(x.b < y.a for x, y in zip(spans, spans[1:]))
+    out = running(df, ["g"], ["t", "k"], sums={"pos": F.lit(1)})
+    assert out.where("g = 'hot'").agg(F.sum("pos")).head()[0] == sum(range(20000))
+
+
+def test_nothing_is_written_for_groups_of_common_size(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(ordered, "stage", lambda df, name: written.append(name))
+    out = running(to_spark(spark, frame()), ["g"], ["t", "k"], sums={"pos": F.lit(1)}, then_last={"seen": F.when(F.col("x") > 0, F.col("pos"))})
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert not written and text.count("Exchange hashpartitioning") == 1 and "rangepartitioning" not in text
 
 
 def test_priors_match_pandas(spark, many_chunks):
