@@ -11,9 +11,10 @@ from marlake.operators import quality
 from marlake.plans import features, gold, marts, ml, replay, scoring, silver
 from marlake.session import stage
 from marlake.sources import files
-from marlake.sources.lake import BATCH, Lake, batches_of
-from marlake.sources.schemas import ORDER_STATUSES, RAW_SCHEMAS, REVIEW_SCORES
-from marlake.streaming.incremental import INGEST
+from marlake.sources.lake import BATCH, Lake
+from marlake.sources.schemas import ORDER_STATUSES, RAW_SCHEMAS, REVIEW_SCORES, TABLE_KEYS
+from marlake.streaming import revenue
+from marlake.streaming.incremental import FACT_KEYS, INGEST
 from marlake.streaming.windows import windows_between, with_batch_window
 
 TS = "order_purchase_timestamp"
@@ -99,13 +100,9 @@ def live_ingest(lake: Lake, arrivals: dict[str, DataFrame], now: datetime, hours
 
 
 # --- full rebuild ---------------------------------------------------------------------------
-def replace_batches(lake: Lake, layer: str, table: str, df: DataFrame) -> None:
-    """Write all batches of a table and drop those that no longer have rows."""
-    rows = stage(df, table)
-    lake.write_batches(layer, table, rows)
-    kept = set(batches_of(rows))
-    there = set(batches_of(lake.read(layer, table)))
-    lake.remove_batches(layer, table, sorted(there - kept))
+def replace_batches(lake: Lake, layer: str, table: str, df: DataFrame, keys: list[str]) -> None:
+    """Write all batches of a keyed table and drop the partitions that no longer have rows."""
+    lake.write_batches(layer, table, stage(df, table), keys, replace=lake.parts(layer, table))
 
 
 def rebuild(lake: Lake) -> None:
@@ -121,7 +118,7 @@ def rebuild(lake: Lake) -> None:
         "order_reviews": silver.reviews,
     }
     for table, rule in rules.items():
-        replace_batches(lake, "silver", f"silver_{table}", rule(bronze(table)))
+        replace_batches(lake, "silver", f"silver_{table}", rule(bronze(table)), TABLE_KEYS[table])
     lake.publish("silver", "silver_products", silver.products(bronze("products"), bronze("category_translation").select("product_category_name", "product_category_name_english")))
     lake.publish("silver", "silver_sellers", silver.sellers(bronze("sellers")))
     lake.publish("silver", "silver_geolocation", silver.geolocation(bronze("geolocation")))
@@ -136,11 +133,12 @@ def rebuild(lake: Lake) -> None:
         "fct_reviews": gold.fct_reviews(clean("order_reviews")),
     }
     for table, df in facts.items():
-        replace_batches(lake, "gold", table, df)
+        replace_batches(lake, "gold", table, df, FACT_KEYS[table])
     lake.publish("gold", "dim_products", gold.dim_products(lake.current("silver", "silver_products")))
     lake.publish("gold", "dim_sellers", gold.dim_sellers(lake.current("silver", "silver_sellers")))
     lake.publish("gold", "dim_geolocation", gold.dim_geolocation(lake.current("silver", "silver_geolocation")))
     lake.publish("gold", "dim_date", gold.dim_date(gold.date_spine(lake.spark)))
+    revenue.restart(lake)
     refresh_aggregates(lake)
 
 
@@ -151,9 +149,9 @@ def refresh_aggregates(lake: Lake) -> None:
 
     lake.publish("gold", "dim_customers", gold.dim_customers(clean("customers"), clean("orders"), clean("order_payments")))
     lake.publish("gold", "mart_customer_rfm", marts.customer_rfm(lake.current("gold", "dim_customers")))
-    lake.publish(
-        "gold", "mart_daily_revenue", marts.daily_revenue(lake.read("gold", "fct_orders"), lake.read("gold", "fct_order_items"))
-    )
+    # Incremental runs keep this one up to date; it is not computed from the orders again.
+    revenue.compact(lake)
+    lake.publish("gold", "mart_daily_revenue", revenue.current(lake))
 
 
 def gold_frames(lake: Lake) -> dict[str, DataFrame]:

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from marlake.operators.dedup import merge_latest
 from marlake.plans import gold, silver
 from marlake.session import stage
-from marlake.sources.lake import Lake, batches_of, in_batches, not_in_batches
+from marlake.sources.lake import BATCH, BUCKET, Lake, Part, bucket_of, in_batches, ordered_parts
 from marlake.sources.schemas import TABLE_KEYS
+from marlake.streaming import revenue
 from marlake.streaming.windows import windows_between
 
 SILVER_STEPS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -28,52 +30,61 @@ FACT_STEPS = {
     "order_payments": "fct_payments",
     "order_reviews": "fct_reviews",
 }
+FACT_KEYS = {fact: TABLE_KEYS[table] for table, fact in FACT_STEPS.items()}
 INGEST, TRANSFORM = "replay_cursor", "live_transform_cursor"
 
 
 @dataclass
 class Touched:
-    """Batches of a silver table that a run rewrote or emptied."""
+    """What a run did to a silver table: partitions it looked into, rewrote and emptied."""
 
-    rewritten: list[str | None]
-    emptied: list[str | None]
+    read: list[Part]
+    rewritten: list[Part]
+    emptied: list[Part]
 
 
-def ordered(batches) -> list[str | None]:
-    return sorted(batches, key=lambda b: (b is not None, b or ""))
+def parts_of(lake: Lake, df: DataFrame, keys: list[str]) -> set[Part]:
+    """Partitions that the rows of a frame belong to; at most batches times buckets of them are fetched."""
+    found = df.select(F.col(BATCH).cast("string").alias(BATCH), bucket_of(keys, lake.buckets).alias(BUCKET)).distinct()
+    return {Part(*r) for r in found.collect()}
+
+
+def holding(lake: Lake, layer: str, table: str, keys: list[str], incoming: DataFrame, inside: Iterable[Part]) -> set[Part]:
+    """Which of these partitions hold a key of ``incoming``; only their key columns are read."""
+    inside = list(inside)
+    if not inside:
+        return set()
+    rows = lake.read(layer, table, parts=inside).select(*keys, BATCH)
+    return parts_of(lake, rows.join(incoming.select(*keys).distinct(), keys, "left_semi"), keys)
 
 
 def upsert_batches(lake: Lake, table: str, incoming: DataFrame, extend: bool = False) -> Touched:
     """Bring new batches into a silver table so that each key keeps its latest batch only.
 
-    Keys that arrive again touch the older partitions holding them. Just those partitions are
-    rewritten without the outdated rows, in the same dynamic overwrite as the new ones. A second
-    run over the same batches changes nothing.
+    A key that arrives again can only be in its own bucket, so only the partitions of the incoming
+    buckets are looked into, and only those that really hold such keys are rewritten, in the same
+    dynamic overwrite as the new ones. A second run over the same batches changes nothing.
 
     extend -- the incoming rows may be a part of their batches; rows the table already has for
     these batches stay. Without it, incoming rows are the whole batches.
     """
-    name = f"silver_{table}"
-    keys = TABLE_KEYS[table]
+    name, keys = f"silver_{table}", TABLE_KEYS[table]
     incoming = stage(incoming, f"incoming-{table}")
-    fresh = batches_of(incoming)
+    fresh = parts_of(lake, incoming, keys)
     if not fresh:
-        return Touched([], [])
-    if not lake.exists("silver", name):
-        lake.write_batches("silver", name, incoming)
-        return Touched(fresh, [])
-    existing = lake.read("silver", name)
-    again = existing.where(not_in_batches(fresh)).join(incoming.select(*keys), keys, "left_semi")
-    affected = list({*batches_of(again), *(fresh if extend else [])})
-    merged = stage(
-        merge_latest(existing.where(in_batches(affected)), incoming, keys), f"merged-{table}"
-    )
-    lake.write_batches("silver", name, merged)
-    kept = set(batches_of(merged))
-    # A batch whose rows were all replaced has nothing to overwrite it with.
-    emptied = [b for b in {*affected, *fresh} if b not in kept]
-    lake.remove_batches("silver", name, emptied)
-    return Touched(ordered(kept), ordered(emptied))
+        return Touched([], [], [])
+    there = set(lake.parts("silver", name))
+    batches, buckets = {p.batch for p in fresh}, {p.bucket for p in fresh}
+    looked = ordered_parts(p for p in there if p.bucket in buckets and (extend or p.batch not in batches))
+    affected = holding(lake, "silver", name, keys, incoming, (p for p in looked if p not in fresh))
+    affected |= fresh & there if extend else set()
+    merged = incoming
+    if affected:
+        merged = merge_latest(lake.read("silver", name, parts=affected), incoming, keys)
+    old = affected if extend else affected | {p for p in there if p.batch in batches}
+    # A partition whose rows were all replaced has nothing to overwrite it with.
+    kept = lake.write_batches("silver", name, stage(merged, f"merged-{table}"), keys, replace=old)
+    return Touched(looked, kept, ordered_parts(old - set(kept)))
 
 
 def silver_increment(bronze: DataFrame, table: str, batch_ids: list[str]) -> DataFrame:
@@ -91,40 +102,47 @@ def fact_increment(table: str, rows: DataFrame, customers: DataFrame) -> DataFra
     }[table](rows)
 
 
-def refresh_facts(lake: Lake, table: str, batch_ids: list[str]) -> None:
+def refresh_facts(lake: Lake, table: str, batch_ids: list[str]) -> Touched:
     """Bring a fact table in line with silver for some batches.
 
-    The fact table itself tells which older batches still hold keys that have moved on, so the
-    step does not depend on what an interrupted run did to silver before.
+    The fact table itself tells which older partitions still hold keys that have moved on, so the
+    step does not depend on what an interrupted run did to silver before. Customers are looked up
+    in the buckets of the orders' customers only.
     """
-    fact, keys = FACT_STEPS[table], TABLE_KEYS[table]
-    wanted = set(batch_ids)
-    if lake.exists("gold", fact):
-        fresh = lake.read("silver", f"silver_{table}", batch_ids).select(*keys)
-        older = lake.read("gold", fact).where(not_in_batches(batch_ids))
-        wanted.update(batches_of(older.join(fresh, keys, "left_semi")))
-    rows = lake.read("silver", f"silver_{table}", ordered(wanted))
-    present = set(batches_of(rows))
-    if present:
-        customers = lake.read("silver", "silver_customers")
-        lake.write_batches("gold", fact, fact_increment(table, rows, customers))
-    lake.remove_batches("gold", fact, ordered(wanted - present))
+    name, fact, keys = f"silver_{table}", FACT_STEPS[table], TABLE_KEYS[table]
+    there, ids = set(lake.parts("gold", fact)), set(batch_ids)
+    clean = set(lake.parts("silver", name))
+    wanted = {p for p in clean | there if p.batch in ids}
+    fresh = lake.read("silver", name, parts=wanted)
+    buckets = {p.bucket for p in wanted}
+    looked = ordered_parts(p for p in there if p.bucket in buckets and p.batch not in ids)
+    wanted |= holding(lake, "gold", fact, keys, fresh, looked)
+    rows = lake.read("silver", name, parts=wanted)
+    customers = None
+    if table == "orders":
+        own = rows.select(bucket_of(["customer_id"], lake.buckets).alias(BUCKET)).distinct().collect()
+        customers = lake.read("silver", "silver_customers", buckets=[r[0] for r in own])
+    kept = lake.write_batches("gold", fact, fact_increment(table, rows, customers), keys, replace=wanted & there)
+    return Touched(looked, kept, ordered_parts((wanted & there) - set(kept)))
 
 
 def process_batches(lake: Lake, batch_ids: list[str]) -> dict[str, Touched]:
-    """All silver and fact steps for some batches.
+    """All silver and fact steps for some batches, and the daily revenue that follows from them.
 
     Every step looks at its own target and replaces exactly the partitions it owns, so after a
-    crash the same call resumes by doing the steps again, with the same outcome.
+    crash the same call resumes by doing the steps again, with the same outcome. The revenue state
+    notes which orders a run is about before it touches them, and an unfinished run is closed first.
     """
     loaded = [t for t in SILVER_STEPS if lake.exists("bronze", f"bronze_{t}")]
+    bronze = {t: lake.read("bronze", f"bronze_{t}", batch_ids) for t in loaded}
+    run = revenue.begin(lake, [bronze[t].select("order_id") for t in ("orders", "order_items") if t in loaded], batch_ids)
     touched = {}
     for table in loaded:
-        bronze = lake.read("bronze", f"bronze_{table}", batch_ids)
-        touched[table] = upsert_batches(lake, table, SILVER_STEPS[table](bronze))
+        touched[table] = upsert_batches(lake, table, SILVER_STEPS[table](bronze[table]))
     for table in FACT_STEPS:
-        if table in loaded and lake.exists("silver", f"silver_{table}"):
-            refresh_facts(lake, table, batch_ids)
+        if table in loaded and lake.parts("silver", f"silver_{table}"):
+            touched[FACT_STEPS[table]] = refresh_facts(lake, table, batch_ids)
+    revenue.finish(lake, run)
     return touched
 
 
