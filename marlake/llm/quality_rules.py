@@ -11,14 +11,23 @@ from marlake.session import stage
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_DOCS = 20
-MAX_PER_MILLE = 1
+MAX_PER_MILLE = 0
 MIN_LEFT_PERCENT = 50
+LETTERS_PER_DIGIT = 4
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
+def squeezed(line: Column) -> Column:
+    """A line in lower case, with blanks squeezed."""
+    return F.lower(F.btrim(F.regexp_replace(line, BLANKS, " ")))
+
+
 def normalised(line: Column) -> Column:
-    """A line in lower case, with blanks squeezed and every digit as 0."""
-    return F.regexp_replace(F.lower(F.btrim(F.regexp_replace(line, BLANKS, " "))), "[0-9]", "0")
+    """A squeezed line; with every digit as 0 if it has ``LETTERS_PER_DIGIT`` times as many letters and signs, as a dated notice has."""
+    line = squeezed(line)
+    others = F.length(F.translate(line, "0123456789 ", ""))
+    digits = F.length(line) - F.length(F.translate(line, "0123456789", ""))
+    return F.when(others >= LETTERS_PER_DIGIT * digits, F.translate(line, "123456789", "000000000")).otherwise(line)
 
 
 def count_words(line: Column) -> Column:
@@ -73,8 +82,10 @@ def quality_rules(
 ) -> DataFrame:
     """One row per document row with its counts, its removed lines and the verdict ``kept``.
 
-    A normalised line is removed from a host's documents if it stands in more than ``max_docs`` of
-    the host's documents and in more than ``max_per_mille`` of a thousand of them. A document fails
+    A normalised line is removed from a host's documents if more than ``max_docs`` of the host's
+    documents (and more than ``max_per_mille`` of a thousand of them) hold it in one form each: a
+    document with several lines that differ by their digits only, as rows of a table do, does not
+    count. The limit does not grow with the host unless ``max_per_mille`` is set. A document fails
     the base rules with fewer than ``min_words`` words or with more than ``max_repeat_percent`` of
     its words in repeated 3-word windows; it is depleted if fewer than ``min_left_percent`` of its
     words stand in lines that stay. ``kept`` is neither.
@@ -84,6 +95,10 @@ def quality_rules(
     included). Each line is one narrow row (two 64-bit hashes), partially counted before it is shuffled;
     a line that a third of the rows hold is split by the adaptive join.
 
+    Windows and lines are compared by hashes (64 bits, and 128 for lines across documents). A text
+    of any length is one row of arrays, counted whole. There are no ties: a line is removed
+    everywhere in its host, also where it is repeated inside one document.
+
     Null text has no words and fails, as does empty text. A null host is a host of its own. A
     document is counted by its id: repeated rows with one id count once in a line's frequency and each get a
     row; rows with a null id add nothing to it. An empty table gives no rows. Other columns are
@@ -100,7 +115,9 @@ def quality_rules(
         rows = rows.withColumn(name, column)
     hashed = F.transform(
         F.col("_l"),
-        lambda x: F.struct(F.xxhash64(normalised(x)).alias("h1"), F.xxhash64(F.lit(1), normalised(x)).alias("h2"), count_words(x).alias("words")),
+        lambda x: F.struct(
+            F.xxhash64(normalised(x)).alias("h1"), F.xxhash64(F.lit(1), normalised(x)).alias("h2"), F.xxhash64(squeezed(x)).alias("form"), count_words(x).alias("words")
+        ),
     )
     base = stage(
         rows.select(
@@ -119,13 +136,14 @@ def quality_rules(
         "lines",
     )
     each = base.select("_row", "doc_id", "_host", F.explode("_lines").alias("l")).select("_row", "doc_id", "_host", "l.*")
-    frequent = each.groupBy("_host", "h1", "h2").agg(F.countDistinct("doc_id").alias("_docs")).where(F.col("_docs") > max_docs)
+    held = each.where(F.col("doc_id").isNotNull()).groupBy("_host", "h1", "h2", "doc_id").agg((F.min("form") == F.max("form")).alias("_one_form"))
+    frequent = held.groupBy("_host", "h1", "h2").agg(F.count_if("_one_form").alias("_docs")).where(F.col("_docs") > max_docs)
     hosts = base.groupBy("_host").agg(F.countDistinct("doc_id").alias("_of"))
     removed = stage(
         frequent.join(hosts, "_host").where(F.col("_docs") * 1000 > F.col("_of") * max_per_mille).select("_host", "h1", "h2"), "frequent"
     )
     lost = (
-        each.join(removed, ["_host", "h1", "h2"])
+        each.drop("form").join(removed, ["_host", "h1", "h2"])
         .groupBy("_row")
         .agg(F.count("*").alias("n_removed_lines"), F.sum("words").alias("n_removed_words"))
     )

@@ -21,16 +21,17 @@ covered as (
 line as (
   select r, doc_id, host, unnest(string_split(t, chr(10))) as l from docs
 ),
-lines as (
-  select r, doc_id, host, l, len(regexp_extract_all(l, '{WORDS}')) as words,
-    regexp_replace(lower(trim(regexp_replace(l, '{BLANKS}', ' ', 'g'))), '[0-9]', '0', 'g') as k
+form as (
+  select r, doc_id, host, l, len(regexp_extract_all(l, '{WORDS}')) as words, lower(trim(regexp_replace(l, '{BLANKS}', ' ', 'g'))) as f
   from line where regexp_matches(l, '{WORDS}')
 ),
-hosts as (select host, count(distinct doc_id) as n from docs group by host),
-often as (
-  select f.host, f.k from (select host, k, count(distinct doc_id) as n from lines group by host, k) f
-  join hosts h on h.host = f.host where f.n > 20 and f.n * 1000 > h.n * 1
+lines as (
+  select *, case when length(translate(f, '0123456789 ', '')) >= 4 * (length(f) - length(translate(f, '0123456789', '')))
+    then translate(f, '123456789', '000000000') else f end as k
+  from form
 ),
+held as (select host, k, doc_id from lines where doc_id is not null group by host, k, doc_id having count(distinct f) = 1),
+often as (select host, k from held group by host, k having count(*) > 20),
 gone as (
   select r, count(*) as n, sum(words) as words from lines l semi join often o on o.host = l.host and o.k = l.k group by r
 ),

@@ -14,17 +14,25 @@ def words(text):
     return WORD.findall(text or "")
 
 
-def quality(rows, min_words=50, max_repeat=50, max_docs=20, per_mille=1, min_left=50):
+def quality(rows, min_words=50, max_repeat=50, max_docs=20, per_mille=0, min_left=50):
     """rows: (doc_id, text, host). A list of result tuples in the order of the rows."""
+    def form(line):
+        return re.sub(r"[\x20\x09-\x0D]+", " ", line).strip(" ").lower()
+
     def key(line):
-        return re.sub("[0-9]", "0", re.sub(r"[\x20\x09-\x0D]+", " ", line).strip(" ").lower())
+        f = form(line)
+        digits = sum(c in "0123456789" for c in f)
+        return re.sub("[0-9]", "0", f) if len(f.replace(" ", "")) - digits >= 4 * digits else f
 
-    docs_of, host_docs = defaultdict(set), defaultdict(set)
+    forms, docs_of, host_docs = defaultdict(set), defaultdict(set), defaultdict(set)
     for i, t, h in rows:
         host_docs[h].add(i)
         for line in (t or "").split("\n"):
             if words(line):
-                docs_of[h, key(line)].add(i)
+                forms[h, key(line), i].add(form(line))
+    for (h, k, i), f in forms.items():
+        if len(f) == 1:
+            docs_of[h, k].add(i)
     out = []
     for i, t, h in rows:
         w = words(t)

@@ -31,6 +31,15 @@ def test_boilerplate_goes_and_depleted_documents_are_rejected(spark):
     assert out[32]["clean_text"] == rows[32][1] and out[32]["kept"]
 
 
+def test_rows_of_tables_and_a_small_share_of_a_large_host(spark):
+    rows = [(i, "\n".join(f"{2000 + i} amount totals of the day for shop {k}{i}" for k in range(12)), "h") for i in range(60)]
+    notice = "A notice that some documents of this host hold at their end"
+    rows += [(100 + i, " ".join(f"{a}{b}x" for a in "abcdefgh" for b in "stuvwxyz") + " end of " + "xyz"[i % 3] * (i + 1) + (f"\n{notice}" if i < 21 else ""), "h") for i in range(900)]
+    out = {r["doc_id"]: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string"), with_text=False).collect()}
+    assert all(out[i]["n_removed_lines"] == 0 and not out[i]["depleted"] for i in range(60))
+    assert out[100]["n_removed_lines"] == 1 and out[150]["n_removed_lines"] == 0
+
+
 def test_empty_table_and_no_python(empty):
     out = quality_rules.quality_rules(empty)
     assert out.count() == 0
