@@ -50,10 +50,10 @@ def op2_online_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_content_addressed_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """Every page's record, as read back from the archive."""
+    """Every page's record, rebuilt from the archive and parsed."""
     path = scratch_path(spark, "archive")
     warc.write_archive(table(spark, folder, "pages"), path)
-    return warc.read_records(spark, path, with_payload=False).drop("url")
+    return warc.read_back(spark, path)
 
 
 @query

@@ -96,8 +96,8 @@ def header_block(date: str) -> Column:
 
 
 def field(header: Column, name: str) -> Column:
-    """Value of a header line; null if the header has no such line."""
-    found = F.regexp_extract(header, f"(?m)^{name}: ([^\r\n]*)\r?$", 1)
+    """Value of a header line; null if the header has no such line. Only a line feed begins a line: a URL may hold other separators."""
+    found = F.regexp_extract(header, f"(?md)^{name}: ([^\r\n]*)\r?$", 1)
     return F.when(F.instr(header, f"{CRLF}{name}: ") > 0, found)
 
 
@@ -144,6 +144,59 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> D
         "payload_bytes",
         digest.alias("payload_digest"),
         kind.alias("record_type"),
-        F.when(kind == "revisit", F.expr("nullif(regexp_extract(header, 'X-Refers-To-Key: ([^\\r\\n]*)', 1), '')").cast("long")).alias("refers_to"),
+        F.nullif(field(header, "X-Refers-To-Key"), F.lit("")).cast("long").alias("refers_to"),
         *more,
     )
+
+
+def rebuilt(spark: SparkSession, path: str) -> DataFrame:
+    """``sha256`` and the exact bytes (``record``) of every record: a response's header joined with its payload, a revisit's header alone.
+
+    Only responses meet payloads, and each payload has one response at most unless it is small, so
+    a payload that many pages share is sent once. A response whose payload is missing stops the job.
+    """
+    headers, payloads = read_archive(spark, path)
+    revisit = field(F.col("header"), "WARC-Type") == "revisit"
+    head = F.encode(F.concat(F.col("header"), F.lit(CRLF)), "UTF-8")
+    end = F.lit((CRLF * 2).encode())
+    missing = F.raise_error(F.concat(F.lit("no payload for the address "), F.col("sha256"))).cast("binary")
+    whole = headers.where(~revisit).join(payloads, "sha256", "left").select("sha256", F.concat(head, F.coalesce("payload", missing), end).alias("record"))
+    return whole.unionByName(headers.where(revisit).select("sha256", F.concat(head, end).alias("record")))
+
+
+def parsed(records: DataFrame) -> DataFrame:
+    """Records as read from their bytes: the columns of ``records``, ``header`` and ``content``; a record of a wrong length stops the job."""
+    flat = F.decode("record", "ISO-8859-1")  # one character a byte
+    cut = records.withColumn("_end", F.instr(flat, CRLF * 2))
+    cut = cut.withColumn("header", F.decode(F.substring("record", F.lit(1), F.col("_end") + 1), "UTF-8"))
+    cut = cut.withColumn("_length", field(F.col("header"), "Content-Length").cast("int"))
+    content = F.substring("record", F.col("_end") + 4, F.col("_length"))
+    right = F.octet_length("record") == F.col("_end") + 3 + F.col("_length") + 4
+    wrong = F.raise_error(F.concat(F.lit("record of a wrong length: "), F.col("header"))).cast("binary")
+    return cut.withColumn("content", F.when(right, content).otherwise(wrong)).drop("_end", "_length", "record")
+
+
+def read_back(spark: SparkSession, path: str) -> DataFrame:
+    """``page_id``, ``payload_bytes``, ``payload_digest``, ``record_type`` and ``refers_to`` from the rebuilt records of an archive.
+
+    Every record is put together and parsed. A response's length and SHA-1 come from the content
+    in its bytes, a revisit's from the stored payload at its address, and both must agree with
+    the record's header.
+    """
+    records = parsed(rebuilt(spark, path))
+    header = F.col("header")
+    revisits = field(header, "WARC-Type") == "revisit"
+    _, payloads = read_archive(spark, path)
+    stored = verified(payloads).drop("payload")
+    own = records.where(~revisits).withColumns({"payload_bytes": F.octet_length("content").cast("long"), "payload_digest": base32_of_hex(F.sha1("content"))}).drop("content")
+    others = records.where(revisits).drop("content").join(stored, "sha256", "left")
+    each = own.unionByName(others)
+    agrees = F.concat(F.lit("sha1:"), F.col("payload_digest")).eqNullSafe(field(header, "WARC-Payload-Digest")) & F.col("payload_bytes").eqNullSafe(field(header, "X-Payload-Length").cast("long"))
+    wrong = F.raise_error(F.concat(F.lit("record does not match its payload: "), header)).cast("string")
+    return each.select(
+        F.nullif(field(header, "X-Record-Key"), F.lit("")).cast("long").alias("page_id"),
+        "payload_bytes",
+        F.when(agrees, F.col("payload_digest")).otherwise(wrong).alias("payload_digest"),
+        field(header, "WARC-Type").alias("record_type"),
+        F.nullif(field(header, "X-Refers-To-Key"), F.lit("")).cast("long").alias("refers_to"),
+    )

@@ -13,7 +13,7 @@ PAGES = "page_id long, url string, html string"
 @pytest.fixture(scope="module")
 def pages():
     rows = [(i, f"http://h{i % 3}/x", f"<p>{i // 4}é</p>") for i in range(40)]
-    return rows + [(50, None, None), (51, "u", ""), (None, "n", "<p>0é</p>"), (None, None, None), (7, "http://h1/x", "<p>1é</p>"), (7, "http://h1/x", "<p>1é</p>"), (60, "big", "z" * 300_000)]
+    return rows + [(50, None, None), (51, "u", ""), (None, "n", "<p>0é</p>"), (None, None, None), (7, "http://h1/x", "<p>1é</p>"), (7, "http://h1/x", "<p>1é</p>"), (60, "big", "z" * 300_000), (70, "http://a/", "same page"), (71, "http://b/?q=X-Refers-To-Key: 77\u2028X-Refers-To-Key: 78\r\nX-Refers-To-Key: 79\x85X-Record-Key: 5", "same page")]
 
 
 @pytest.mark.parametrize("least", [0, 8])
@@ -46,6 +46,9 @@ def test_archive_reads_back(spark, tmp_path, pages, least):
                 assert payload not in responses and r["page_id"] == first[payload.decode()]
                 responses.add(payload)
     assert spark.read.parquet(str(tmp_path / "a/payloads")).count() == len({h or "" for _, _, h in pages})
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    back = warc.read_back(spark, str(tmp_path / "a")).collect()
+    assert sorted(repr(tuple(r[n] for n in names)) for r in back) == sorted(repr(tuple(r[n] for n in names)) for r in got)
 
 
 def test_damaged_payload_is_noticed(spark, tmp_path, pages):
