@@ -2,9 +2,10 @@
 
 Every detected entity is replaced by another one of its kind, drawn from a keyed hash of the
 entity: the same entity gets the same surrogate in all documents, two entities never share one, and no surrogate
-is itself an entity of the texts. Format is kept: letters stay letters of their script and case, digits
+is itself an entity of the texts (a drawn name is no given or family name found in its script). Format is kept: letters stay letters of their script and case, digits
 digits, separators where they were; cards keep their check digit right, addresses their
-top-level domain, phone numbers their country code, and a name after a title keeps its gender.
+top-level domain, phone numbers their country code. A given name keeps the gender that its titles
+tell over all documents; where none does, or two differ, it gets a name of any gender.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ LETTERS = {
     "[À-ÖØ-Þ]": "ÀÁÂÄÇÈÉÊËÍÎÏÑÓÔÖÙÚÛÜ",
 }
 
-NAME_WORD = r"\p{Lu}[\p{L}'’-]{1,40}"
+NAME_WORD = r"\p{Lu}[\p{L}'’-]+"
 TITLES = "|".join(MALE + FEMALE + NEUTRAL)
 TITLE = rf"(?:{TITLES})\.?(?: (?:{'|'.join(NEUTRAL)})\.?)*"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -64,7 +65,7 @@ PATTERNS = {
     "phone": r"(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])|(?<![\p{L}\p{N}+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![\p{L}\p{N}+.-])(?:1[ .-])?(?:[0-9]{3}-[0-9]{3}-|[0-9]{3}\.[0-9]{3}\.|[0-9]{3} [0-9]{3} )[0-9]{4}(?![0-9]|[.-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9.-])[3-6][0-9]{3}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,4}(?![0-9-])",
-    "name": rf"(?<![\p{{L}}\p{{N}}]){TITLE} {NAME_WORD}(?: {NAME_WORD})?",
+    "name": rf"(?<![\p{{L}}\p{{N}}]){TITLE} {NAME_WORD}(?: {NAME_WORD})*",
 }
 ANY = "|".join(PATTERNS.values())
 ATTEMPTS = 40
@@ -82,20 +83,25 @@ def script_of(word: Column) -> Column:
 
 
 def parts_of(kind: Column, found: Column) -> Column:
-    """The entities inside a match, as an array of (type, name of the entity). A name has up to two: given and family name."""
+    """The entities inside a match, as an array of (type, name of the entity, gender its title tells).
+
+    Of several words of a name, the last is the family name and the others are given names.
+    """
     digits = F.regexp_replace(found, "[^0-9]", "")
     title = F.regexp_extract(found, rf"^({TITLES})(?![\p{{L}}])", 1)
-    gender = F.when(title.isin(MALE), "m").when(title.isin(FEMALE), "f").otherwise("n")
-    names = F.split(F.regexp_replace(found, rf"^{TITLE} ", ""), " ")
+    gender = F.when(title.isin(MALE), "m").when(title.isin(FEMALE), "f")
+    names = F.split(F.lower(F.regexp_replace(found, rf"^{TITLE} ", "")), " ")
     script = script_of(names[0])
 
     def one(t: Column, c: Column) -> Column:
-        return F.struct(t.alias("type"), c.alias("name"))
+        return F.struct(t.alias("type"), c.alias("name"), F.lit(None).cast("string").alias("gender"))
 
-    given = one(F.concat(F.lit("given:"), script, F.lit(":"), gender), F.lower(names[0]))
-    family = one(F.concat(F.lit("family:"), script), F.lower(F.element_at(names, -1)))
+    given = F.transform(
+        F.slice(names, F.lit(1), F.size(names) - 1), lambda n: F.struct(F.concat(F.lit("given:"), script).alias("type"), n.alias("name"), gender.alias("gender"))
+    )
+    family = one(F.concat(F.lit("family:"), script), F.element_at(names, -1))
     return (
-        F.when(kind == "name", F.when(F.size(names) > 1, F.array(given, family)).otherwise(F.array(family)))
+        F.when(kind == "name", F.concat(given, F.array(family)))
         .when(kind == "email", F.array(one(kind, F.lower(found))))
         .when(kind.isin("phone", "card", "ssn"), F.array(one(kind, digits)))
         .when(kind == "secret", F.array(one(F.lit("token"), secret_value(found))))
@@ -179,7 +185,7 @@ def surrogate(key: str) -> Column:
         pick = F.element_at(F.array(*map(F.lit, names)), (byte(i0) * 256 + byte(F.lit(9))) % len(names) + 1)
         more = F.when(F.col("attempt") > 0, family_name(script, F.lit(1) + F.col("attempt") / 4)).otherwise("")
         pick = F.when(F.col("attempt") > 0, F.concat(pick, F.lit("-"), F.initcap(more))).otherwise(pick)
-        out = F.when(kind.isin([f"given:{script}:{g}" for g in genders]), F.lower(pick)).otherwise(out)
+        out = F.when((kind == f"given:{script}") & F.col("gender").isin(genders), F.lower(pick)).otherwise(out)
     for script in SYLLABLES:
         out = F.when(kind == f"family:{script}", family_name(script, F.lit(3) + F.col("attempt") / 4)).otherwise(out)
     longer = F.col("attempt") >= 8
@@ -196,28 +202,30 @@ def family_name(script: str, n: Column) -> Column:
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """(type, name, surrogate) for distinct entities (type, name); no surrogate twice within a type, none the name of an entity.
+    """(type, name, surrogate) for distinct entities (type, name, gender); no surrogate twice within a type, none the name of an entity.
 
     All entities draw at once; those whose draw is taken draw again with the next attempt (the smallest
     name keeps it). Every round works on what the last one left.
     """
+    # A given name must not be drawn that somebody has as a family name, and the other way round.
+    scope = F.regexp_replace("type", "^(given|family):", "name:").alias("scope")
+    taken = stage(entities.select(scope, F.col("name").alias("surrogate")).distinct().withColumn("_real", F.lit(True)), "names")
     todo, done = entities.withColumn("attempt", F.lit(0)), None
     for attempt in range(ATTEMPTS):
         drawn_now = todo.withColumn("attempt", F.lit(attempt)).withColumn("_s", stream(key)).withColumn("surrogate", surrogate(key)).drop("_s")
         drawn_now = stage(drawn_now, "draws")
         first = drawn_now.groupBy("type", "surrogate").agg(F.min("name").alias("_first"))
         marked = drawn_now.join(first, ["type", "surrogate"])
-        real = entities.select("type", F.col("name").alias("surrogate"), F.lit(True).alias("_real"))
-        marked = marked.join(real, ["type", "surrogate"], "left")
+        marked = marked.withColumn("scope", scope).join(taken, ["scope", "surrogate"], "left").drop("scope")
         if done is not None:
             marked = marked.join(done.select("type", "surrogate", F.lit(True).alias("_taken")), ["type", "surrogate"], "left")
         else:
             marked = marked.withColumn("_taken", F.lit(None).cast("boolean"))
         free = (F.col("name") == F.col("_first")) & F.col("_real").isNull() & F.col("_taken").isNull()
-        marked = stage(marked.select("type", "name", "surrogate", free.alias("_free")), "draws")
+        marked = stage(marked.select("type", "name", "gender", "surrogate", free.alias("_free")), "draws")
         won = marked.where("_free").select("type", "name", "surrogate")
         done = won if done is None else done.unionByName(won)
-        todo = marked.where("not _free").select("type", "name", F.lit(attempt).alias("attempt"))
+        todo = marked.where("not _free").select("type", "name", "gender", F.lit(attempt).alias("attempt"))
         if todo.limit(1).count() == 0:
             return done
     raise RuntimeError(f"entities without a free surrogate after {ATTEMPTS} draws")
@@ -269,27 +277,35 @@ def replace_personal_data(docs: DataFrame, key: str, text_col: str = "text") ->
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = docs.drop("pii_found", "pii_kinds")
     names = docs.columns
-    row = "_pii_row"
     # A cheap test first: every pattern but a name needs a digit, an "@", "=" or ":".
     marks = text.rlike(f"[0-9@=:]|(?:{TITLES})") & text.rlike(ANY)
     plain = docs.where(~marks).withColumns({"pii_found": F.lit(0), "pii_kinds": F.array().cast("array<string>")})
-    held = stage(docs.where(marks).withColumn(row, F.monotonically_increasing_id()), "personal")
-    body = F.col(text_col)
-    each = held.select(row, F.posexplode(F.regexp_extract_all(body, F.lit(ANY), F.lit(0))).alias("pos", "found"))
+    # The caller's columns are packed into one, so that none meets a column of this function.
+    held = docs.where(marks).select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"), F.col(text_col).alias("body"))
+    held = stage(held.withColumn("row", F.monotonically_increasing_id()), "personal")
+    each = held.select("row", F.posexplode(F.regexp_extract_all("body", F.lit(ANY), F.lit(0))).alias("pos", "found"))
     each = each.withColumn("kind", kind_of(F.col("found"))).where("kind is not null or found <> ''")
     each = each.withColumn("kind", F.coalesce("kind", F.lit("other")))
-    parts = stage(each.select(row, "pos", "found", "kind", F.posexplode(parts_of(F.col("kind"), F.col("found"))).alias("k", "part")).select(row, "pos", "found", "kind", "k", "part.*"), "entities")
-    entities = stage(parts.select("type", "name").distinct(), "entities")
+    each = each.select("row", "pos", "found", "kind", F.posexplode(parts_of(F.col("kind"), F.col("found"))).alias("k", "part"))
+    parts = stage(each.select("row", "pos", "found", "kind", "k", "part.*"), "entities")
+    told = F.when(F.min("gender") == F.max("gender"), F.min("gender"))
+    gender = F.when(F.col("type").startswith("given:"), F.coalesce("gender", F.lit("n"))).alias("gender")
+    entities = parts.groupBy("type", "name").agg(told.alias("gender")).select("type", "name", gender)
+    # Draws cost much more than the few bytes of an entity, so these are dealt to all cores.
+    spread = 2 * docs.sparkSession.sparkContext.defaultParallelism
+    entities = stage(entities.repartition(spread, "type", "name"), "entities")
     mapping = stage(surrogates(entities, key), "surrogates")
     drawn_parts = parts.join(mapping, ["type", "name"])
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("k", "surrogate"))), lambda x: x["surrogate"])
-    matches = drawn_parts.groupBy(row, "pos", "found", "kind").agg(ordered.alias("_subs")).withColumn("_new", rendered())
-    per_row = matches.groupBy(row).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "_new"))), lambda x: x["_new"]).alias("_news"),
+    matches = drawn_parts.groupBy("row", "pos", "found", "kind").agg(ordered.alias("_subs")).withColumn("new", rendered())
+    per_row = matches.groupBy("row").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "new"))), lambda x: x["new"]).alias("news"),
         F.count("*").cast("int").alias("pii_found"),
         F.array_sort(F.collect_set("kind")).alias("pii_kinds"),
     )
-    between = F.split(body, ANY, -1)
-    whole = F.array_join(F.zip_with(between, F.col("_news"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    changed = held.join(per_row, row).withColumn(text_col, whole).select(*names, "pii_found", "pii_kinds")
+    between = F.split("body", ANY, -1)
+    whole = F.array_join(F.zip_with(between, F.col("news"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    changed = held.join(per_row, "row").select(
+        *[whole.alias(c) if c == text_col else F.col("doc").getField(c).alias(c) for c in names], "pii_found", "pii_kinds"
+    )
     return plain.unionByName(changed)

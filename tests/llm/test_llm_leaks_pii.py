@@ -160,6 +160,38 @@ def test_long_secrets_other_tokens_and_separated_phones_go_whole(spark):
     assert re.sub(r"\D", "", out[6]) == re.sub(r"\D", "", out[7]) == re.sub(r"\D", "", out[8])
 
 
+def test_one_person_has_one_name_whatever_the_title(spark):
+    texts = ["Mr John Smith met Dr John Smith", "Mrs Anna Lee Park and Mrs. Park", "Dr Eva Stone, Ms Eva Stone", "Mr Kim Berg and Ms Kim Falk", f"Mr {'Long' * 30} came"]
+    a, b, c, d, e = replaced(spark, texts)
+    assert re.fullmatch(r"Mr (\S+ \w+) met Dr \1", a) and a.split()[1].split("-")[0] in pii.GIVEN["latin", "m"]
+    whole = re.fullmatch(r"Mrs (\S+) (\S+) (\S+) and Mrs\. (\S+)", b)
+    assert whole[3] == whole[4] and not {"Anna", "Lee", "Park"} & set(whole.groups()) and whole[1].split("-")[0] in pii.GIVEN["latin", "f"]
+    assert re.fullmatch(r"Dr (\S+ \w+), Ms \1", c) and c.split()[1].split("-")[0] in pii.GIVEN["latin", "f"]
+    kim = re.fullmatch(r"Mr (\S+) \w+ and Ms \1 \w+", d)
+    assert kim and kim[1].split("-")[0] in pii.GIVEN["latin", "n"] and "Long" not in e
+
+
+def test_every_entity_of_a_table_by_brute_force(spark):
+    """One surrogate per entity, none twice, none an entity, nothing of the old ones left."""
+    rng = random.Random(8)
+    given, family = ["Anna", "Paul", "Kim", "Rosa", "Adam"], ["Falk", "Berg", "Paul", "Stone", "Lamare", "Adam"]
+    people = [(rng.choice(["Mr", "Ms", "Dr"]), rng.choice(given), rng.choice(family)) for _ in range(60)]
+    mails = [f"{rng.choice('abc')}{rng.choice('xyz')}@host.org" for _ in people]
+    out = replaced(spark, [f"{t} {g} {f} <{m}>" for (t, g, f), m in zip(people, mails)])
+    new = [re.fullmatch(r"(\w+) (\S+) (\S+) <(.+)>", t).groups() for t in out]
+    for old_of, new_of in ((lambda k: people[k][1], lambda k: new[k][1]), (lambda k: people[k][2], lambda k: new[k][2]), (lambda k: mails[k], lambda k: new[k][3])):
+        pairs = {(old_of(k), new_of(k)) for k in range(60)}
+        assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+    assert not {x for _, g, f, _ in new for x in (g, f)} & {*given, *family} and not {n[3] for n in new} & set(mails)
+
+
+def test_columns_of_any_name_are_carried(spark):
+    names = ["_news", "_pii_row", "row", "pos", "found", "kind", "type", "name", "gender", "surrogate", "doc", "body", "news", "k"]
+    df = spark.createDataFrame([("call Mr Paul Berg", *range(14)), ("nothing", *range(14))], "text string, " + ", ".join(f"{n} int" for n in names))
+    out = pii.replace_personal_data(df, "k").collect()
+    assert [[r[n] for n in names] for r in out] == [list(range(14))] * 2 and sorted(r["pii_found"] for r in out) == [0, 1]
+
+
 def test_surrogates_stay_distinct_in_a_narrow_format(spark):
 
     texts = [f"see {a}.{b}.1.1 or {chr(97 + a)}{chr(97 + b)}@x.io and Mr. Fam{chr(97 + a)}{chr(97 + b)}" for a in range(1, 9) for b in range(1, 9)]
