@@ -42,7 +42,8 @@ FEW_WORDS = 8
 # A word of every block still counts that much.
 LEAST_WEIGHT = 0.05
 ITEM_POWER = 4
-WORDS = 1 << 18
+# Words of a slice: the arrays of a slice hold that many rows of the latent width.
+WORDS = 1 << 16
 ITEMS = 256
 QUERIES = 64
 FAN_IN = 64
@@ -183,11 +184,12 @@ def block_sums(rows: np.ndarray, table: np.ndarray, codes: np.ndarray) -> tuple[
 def gram_product(rows: np.ndarray, codes: np.ndarray, weight: np.ndarray, test: np.ndarray) -> np.ndarray:
     """(A' A) times ``test`` for the rows given by (row, code) pairs, A having ``weight`` per code."""
     kept, sums = block_sums(rows, weight[:, None] * test, codes)
-    each = sums[np.searchsorted(kept, rows)]
     order = np.argsort(codes, kind="stable")
+    named = codes[order]
+    starts = np.nonzero(np.diff(named, prepend=-1))[0]
+    totals = np.add.reduceat(sums[np.searchsorted(kept, rows[order])], starts, axis=0)
     out = np.zeros_like(test)
-    named, totals = block_sums(codes[order], each[order], np.arange(len(order)))
-    out[named] = totals * weight[named][:, None]
+    out[named[starts]] = totals * weight[named[starts]][:, None]
     return out
 
 
