@@ -4,13 +4,14 @@ from pyspark.sql import functions as F
 
 from marlake.functions.expr import hash_int
 from marlake.operators.dedup import differences, merge_latest
-from marlake.plans import gold, marts, silver
+from marlake.plans import gold, silver
 from marlake.queries.layers import DAILY_SQL
 from marlake.queries.registry import query
 from marlake.queries.views import hashed, six_hours
 from marlake.session import scratch_path
-from marlake.streaming import live, windows
-from marlake.streaming.incremental import SILVER_STEPS, fact_increment, silver_increment
+from marlake.sources.lake import Lake
+from marlake.streaming import live, revenue, windows
+from marlake.streaming.incremental import SILVER_STEPS, process_batches, silver_increment, upsert_batches
 
 SIX_HOURS = 21_600_000_000
 
@@ -57,6 +58,10 @@ def tumbling_6h_batch(m):
     )
 
 
+def market_lake(m, buckets: int = 2) -> Lake:
+    return Lake(m.spark, scratch_path(m.spark, "lake"), buckets=buckets)
+
+
 def redelivered(m):
     """Every order once as it was created, in an early batch, and once in its final state."""
     early = m.orders.withColumns(
@@ -76,7 +81,7 @@ select order_id, customer_id, order_status, order_purchase_timestamp, order_deli
 from v_orders""",
 )
 def incr_silver_orders(m):
-    """Archive first, then the batches that bring each order again."""
+    """Archive first, then the batches that bring each order again; thousands of daily batches, merged as frames."""
     early, final = redelivered(m)
     first = silver_increment(early, "orders", ["archive-0"])
     merged = merge_latest(first, silver.orders(final), ["order_id"])
@@ -107,14 +112,18 @@ RETURNING = {
 }
 
 
-def returned(table: str, m):
-    """Silver rows of the archive batch after the batches that bring some of their keys again."""
+def returned(table: str, m) -> Lake:
+    """A lake after the archive batch and a batch that brings some of its keys again: interrupted once, then run twice."""
     source, _, keys, _ = RETURNING[table]
-    rows = getattr(m, source)
-    early = rows.withColumn("batch_id", F.lit("archive-0"))
-    again = rows.where(F.pmod(hash_int(F.lit("again"), *keys), F.lit(3)) != 0).withColumn("batch_id", F.lit("delivery-1"))
-    first = silver_increment(early, table, ["archive-0"])
-    return merge_latest(first, SILVER_STEPS[table](again), keys)
+    rows, lake = getattr(m.written(), source), market_lake(m)
+    again = F.pmod(hash_int(F.lit("again"), *keys), F.lit(3)) != 0
+    lake.write_batches("bronze", f"bronze_{table}", rows.withColumn("batch_id", F.lit("archive-0")))
+    process_batches(lake, ["archive-0"])
+    lake.write_batches("bronze", f"bronze_{table}", rows.where(again).withColumn("batch_id", F.lit("delivery-1")))
+    upsert_batches(lake, table, SILVER_STEPS[table](lake.read("bronze", f"bronze_{table}", ["delivery-1"])))
+    for _ in range(2):
+        process_batches(lake, ["delivery-1"])
+    return lake
 
 
 def returned_sql(table: str, *more: str) -> str:
@@ -129,7 +138,7 @@ def register_returned(table: str) -> None:
 
     @query(f"incr_silver_{table}", returned_sql(table))
     def silver_rows(m):
-        return returned(table, m).select(*keys, *columns, "batch_id")
+        return returned(table, m).read("silver", f"silver_{table}").select(*keys, *columns, "batch_id")
 
     if table == "customers":
         return
@@ -140,23 +149,44 @@ def register_returned(table: str) -> None:
     @query(f"incr_{fact}", returned_sql(table, *more))
     def fact_rows(m):
         extra = ["review_response_days"] if more else []
-        return fact_increment(table, returned(table, m), m.silver_customers).select(*keys, *columns, *extra, "batch_id")
+        return returned(table, m).read("gold", fact).select(*keys, *columns, *extra, "batch_id")
 
 
 for name in RETURNING:
     register_returned(name)
 
 
+def revenue_lake(m) -> Lake:
+    """A lake whose first batch holds a third of the orders a day too early and a quarter of the items at twice their price.
+
+    The second batch brings these rows as they are; a run of it stops half way, the next one ends, and it is run once more.
+    """
+    m = m.written()
+    lake = market_lake(m)
+    moved = F.pmod(hash_int(F.lit("moved"), "order_id"), F.lit(3)) == 0
+    dear = F.pmod(hash_int(F.lit("dear"), "order_id", "order_item_id"), F.lit(4)) == 0
+    bought = F.col("order_purchase_timestamp")
+    price = F.when(dear, F.col("price") * 2).otherwise(F.col("price")).cast("decimal(18,2)")
+    first, second = F.lit("archive-0"), F.lit("delivery-1")
+    lake.write_batches("bronze", "bronze_customers", m.customers.withColumn("batch_id", first))
+    early = m.orders.withColumn("order_purchase_timestamp", F.when(moved, bought - F.expr("interval 1 day")).otherwise(bought))
+    lake.write_batches("bronze", "bronze_orders", early.withColumn("batch_id", first))
+    lake.write_batches("bronze", "bronze_order_items", m.items.withColumn("price", price).withColumn("batch_id", first))
+    process_batches(lake, ["archive-0"])
+    lake.write_batches("bronze", "bronze_orders", m.orders.where(moved).withColumn("batch_id", second))
+    lake.write_batches("bronze", "bronze_order_items", m.items.where(dear).withColumn("batch_id", second))
+    arrived = [lake.read("bronze", f"bronze_{t}", ["delivery-1"]) for t in ("orders", "order_items")]
+    revenue.begin(lake, [rows.select("order_id") for rows in arrived])
+    upsert_batches(lake, "orders", silver.orders(arrived[0]))
+    for _ in range(2):
+        process_batches(lake, ["delivery-1"])
+    return lake
+
+
 @query("incr_daily_revenue_merge", DAILY_SQL)
 def incr_daily_revenue_merge(m):
-    """State up to mid-1998 and the delta after it, added up."""
-    m = m.written()
-    cut = F.lit("1998-06-15 10:00:00").cast("timestamp")
-    old = m.order_facts.where(F.col("order_purchase_timestamp") < cut)
-    new = m.order_facts.where(F.col("order_purchase_timestamp") >= cut)
-    return marts.merge_daily_revenue(
-        marts.daily_revenue(old, m.fct_items), marts.daily_revenue(new, m.fct_items)
-    )
+    """The stored state after returns, an interrupted run and a repeated batch; no order is counted again for it."""
+    return revenue.current(revenue_lake(m))
 
 
 @query(
@@ -166,19 +196,24 @@ select 'silver_order_items' table_name, count(*) left_rows, count(*) right_rows,
 union all select 'fct_orders', count(*), count(*), 0, 0 from v_orders""",
 )
 def incr_equals_full(m):
-    """Incremental and full builds compared row by row."""
-    raw = m.items_raw.drop("l_returnflag", "l_discount", "l_linestatus", "l_quantity")
-    cut = F.col("batch_id") < "backfill-1998-01-01"
-    grown = merge_latest(
-        silver.order_items(raw.where(cut)), silver.order_items(raw.where(~cut)), ["order_id", "order_item_id"]
-    )
-    items = differences(grown, silver.order_items(raw))
+    """Tables grown batch by batch in a lake, compared row by row with full builds of the same bronze rows."""
+    year = F.substring("batch_id", 1, len("backfill-1998"))
+    raw = m.items_raw.drop("l_returnflag", "l_discount", "l_linestatus", "l_quantity").withColumn("batch_id", year)
     early, final = redelivered(m)
-    merged = merge_latest(silver_increment(early, "orders", ["archive-0"]), silver.orders(final), ["order_id"])
-    facts = differences(
-        gold.fct_orders(merged, m.silver_customers),
-        gold.fct_orders(silver.orders(early.unionByName(final)), m.silver_customers),
-    )
+    lake = market_lake(m)
+    lake.write_batches("bronze", "bronze_customers", m.customers.withColumn("batch_id", F.lit("archive-0")))
+    lake.write_batches("bronze", "bronze_orders", early)
+    lake.write_batches("bronze", "bronze_order_items", raw)
+    arrived = [p.batch for p in lake.write_batches("bronze", "bronze_orders", final.withColumn("batch_id", year))]
+    batches = sorted({p.batch for p in lake.parts("bronze", "bronze_order_items")} | set(arrived))
+    cut = "backfill-1998"
+    process_batches(lake, ["archive-0", *[b for b in batches if b < cut]])
+    process_batches(lake, [b for b in batches if b >= cut])
+    bronze = {t: lake.read("bronze", f"bronze_{t}") for t in ("customers", "orders", "order_items")}
+    full = silver.order_items(bronze["order_items"])
+    items = differences(lake.read("silver", "silver_order_items").select(full.columns), full)
+    whole = gold.fct_orders(silver.orders(bronze["orders"]), silver.customers(bronze["customers"]))
+    facts = differences(lake.read("gold", "fct_orders").select(whole.columns), whole)
     return items.withColumn("table_name", F.lit("silver_order_items")).unionByName(
         facts.withColumn("table_name", F.lit("fct_orders"))
     )

@@ -1,6 +1,6 @@
 """Layered Parquet tables: batch partitions, full rebuilds, scoring tables, pipeline state.
 
-A batch table has a small log beside it: each write adds one row with the table's schema and the
+A batch table has a small log beside it: each write adds one file with the table's schema and the
 partitions it wrote, each removal one with the partitions that went. Reads take schema and
 partitions from there, so that a batch is read without listing or opening the rest of the table.
 Keyed tables are also cut by the hash of their first key: a key can only be in its own bucket.
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from marlake.session import path_exists, remove_path, stage
+from marlake.session import list_names, path_exists, read_text, remove_path, stage, write_text
 
 BATCH = "batch_id"
 BUCKET = "key_bucket"
@@ -31,8 +31,6 @@ NO_BATCH = "__HIVE_DEFAULT_PARTITION__"
 ESCAPED = set('"#%\'*/:=?\\\x7f{[]^') | {chr(c) for c in range(1, 32)}
 STATE_SCHEMA = "pipeline_name string, last_processed_at timestamp, updated_at timestamp"
 VERSION_SCHEMA = "table_name string, version string, updated_at timestamp"
-PARTS = "array<struct<batch_id: string, key_bucket: int>>"
-LOG_SCHEMA = f"commit string, schema string, bucketed boolean, added {PARTS}, removed {PARTS}"
 
 
 class Part(NamedTuple):
@@ -72,6 +70,7 @@ class Lake:
         self.root = root.rstrip("/")
         self.file_rows = file_rows
         self.buckets = buckets
+        self.entries: dict[str, dict[str, dict]] = {}  # files of the logs that were read, by log and name
 
     # --- plain access -----------------------------------------------------------------------
     def path(self, layer: str, table: str) -> str:
@@ -88,16 +87,15 @@ class Lake:
         if log is None:  # a plain table
             return self.spark.read.parquet(self.path(layer, table))
         schema, bucketed, there = log
-        if batch_ids is None and buckets is None and parts is None:
-            found = self.spark.read.schema(schema).parquet(self.path(layer, table))
-            return found.drop(BUCKET) if bucketed else found
         wanted = set(there if parts is None else parts)
         if batch_ids is not None:
             wanted = {p for p in wanted if p.batch in set(batch_ids)}
         if buckets is not None:
             wanted = {p for p in wanted if p.bucket in set(buckets)}
         folders = [self.folder(layer, table, p) for p in ordered_parts(wanted & set(there))]
-        if not folders:
+        if there and len(folders) == len(there):  # one listing of the whole table
+            found = self.spark.read.schema(schema).parquet(self.path(layer, table))
+        elif not folders:
             found = self.spark.createDataFrame([], schema)
         else:
             found = self.spark.read.schema(schema).option("basePath", self.path(layer, table)).parquet(*folders)
@@ -117,19 +115,24 @@ class Lake:
     def log(self, layer: str, table: str) -> tuple[StructType, bool, list[Part]] | None:
         """Schema, whether buckets are used, and partitions as of the last entry; None for a table without a log.
 
-        One short row per write is fetched, nothing of the table itself. A table that was written
-        without a log, in batch folders, gets its first entry here.
+        An entry is a small file that never changes, so each is opened once; nothing of the table
+        itself is touched. A table that was written without a log, in batch folders, gets its first
+        entry here.
         """
         path = self.log_path(layer, table)
-        if not path_exists(self.spark, path):
+        names = [n for n in list_names(self.spark, path) if n.endswith(".json")]
+        if not names:
             return self.adopt(layer, table) if self.exists(layer, table) else None
-        entries = sorted(self.spark.read.schema(LOG_SCHEMA).parquet(path).collect(), key=lambda e: e["commit"])
+        known = self.entries.setdefault(path, {})
+        for n in names:
+            if n not in known:
+                known[n] = json.loads(read_text(self.spark, f"{path}/{n}"))
         there: set[Part] = set()
-        for e in entries:
-            there |= {Part(*p) for p in e["added"]}
-            there -= {Part(*p) for p in e["removed"]}
-        last = entries[-1]
-        return StructType.fromJson(json.loads(last["schema"])), last["bucketed"], ordered_parts(there)
+        for n in names:
+            there |= {Part(*p) for p in known[n]["added"]}
+            there -= {Part(*p) for p in known[n]["removed"]}
+        last = known[names[-1]]
+        return StructType.fromJson(last["schema"]), last["bucketed"], ordered_parts(there)
 
     def adopt(self, layer: str, table: str) -> tuple[StructType, bool, list[Part]] | None:
         found = self.spark.read.parquet(self.path(layer, table))
@@ -144,8 +147,8 @@ class Lake:
         return schema, False, parts
 
     def commit(self, layer: str, table: str, schema: StructType, bucketed: bool, added: Iterable[Part], removed: Iterable[Part]) -> None:
-        entry = (f"{time.time_ns():020d}-{uuid.uuid4().hex}", schema.json(), bucketed, list(added), list(removed))
-        self.spark.createDataFrame([entry], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.log_path(layer, table))
+        entry = {"schema": json.loads(schema.json()), "bucketed": bucketed, "added": list(added), "removed": list(removed)}
+        write_text(self.spark, f"{self.log_path(layer, table)}/{time.time_ns():020d}-{uuid.uuid4().hex}.json", json.dumps(entry))
 
     def parts(self, layer: str, table: str) -> list[Part]:
         log = self.log(layer, table)
@@ -179,6 +182,7 @@ class Lake:
         seen = Observation()
         part = F.struct(BATCH, F.col(BUCKET) if keys else F.lit(None).cast("int").alias(BUCKET))
         rows = df.withColumn(BATCH, F.col(BATCH).cast("string")).observe(seen, F.collect_set(part).alias("parts"))
+        schema = merged_schema(log[0] if log else None, rows.schema, names)
         (
             rows.hint("rebalance", *names)
             .write.mode("overwrite")
@@ -190,7 +194,6 @@ class Lake:
         written = observed(seen)
         stale = set(replace) - set(written)
         if written or stale:
-            schema = merged_schema(log[0] if log else None, rows.schema, names)
             self.commit(layer, table, schema, bool(keys), ordered_parts(written), ordered_parts(stale))
             for p in ordered_parts(stale):
                 remove_path(self.spark, self.folder(layer, table, p))

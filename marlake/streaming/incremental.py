@@ -6,13 +6,13 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from marlake.operators.dedup import merge_latest
 from marlake.plans import gold, silver
-from marlake.session import stage
-from marlake.sources.lake import BATCH, BUCKET, Lake, Part, bucket_of, in_batches, ordered_parts
+from marlake.session import stage, together
+from marlake.sources.lake import BATCH, BUCKET, Lake, Part, bucket_of, in_batches, observed, ordered_parts
 from marlake.sources.schemas import TABLE_KEYS
 from marlake.streaming import revenue
 from marlake.streaming.windows import windows_between
@@ -69,8 +69,10 @@ def upsert_batches(lake: Lake, table: str, incoming: DataFrame, extend: bool = F
     these batches stay. Without it, incoming rows are the whole batches.
     """
     name, keys = f"silver_{table}", TABLE_KEYS[table]
-    incoming = stage(incoming, f"incoming-{table}")
-    fresh = parts_of(lake, incoming, keys)
+    seen = Observation()
+    part = F.struct(F.col(BATCH).cast("string").alias(BATCH), bucket_of(keys, lake.buckets).alias(BUCKET))
+    incoming = stage(incoming.observe(seen, F.collect_set(part).alias("parts")), f"incoming-{table}")
+    fresh = set(observed(seen))
     if not fresh:
         return Touched([], [], [])
     there = set(lake.parts("silver", name))
@@ -79,11 +81,11 @@ def upsert_batches(lake: Lake, table: str, incoming: DataFrame, extend: bool = F
     affected = holding(lake, "silver", name, keys, incoming, (p for p in looked if p not in fresh))
     affected |= fresh & there if extend else set()
     merged = incoming
-    if affected:
-        merged = merge_latest(lake.read("silver", name, parts=affected), incoming, keys)
+    if affected:  # written first, as it is read from what it replaces
+        merged = stage(merge_latest(lake.read("silver", name, parts=affected), incoming, keys), f"merged-{table}")
     old = affected if extend else affected | {p for p in there if p.batch in batches}
     # A partition whose rows were all replaced has nothing to overwrite it with.
-    kept = lake.write_batches("silver", name, stage(merged, f"merged-{table}"), keys, replace=old)
+    kept = lake.write_batches("silver", name, merged, keys, replace=old)
     return Touched(looked, kept, ordered_parts(old - set(kept)))
 
 
@@ -135,15 +137,16 @@ def process_batches(lake: Lake, batch_ids: list[str]) -> dict[str, Touched]:
     """
     loaded = [t for t in SILVER_STEPS if lake.exists("bronze", f"bronze_{t}")]
     bronze = {t: lake.read("bronze", f"bronze_{t}", batch_ids) for t in loaded}
-    run = revenue.begin(lake, [bronze[t].select("order_id") for t in ("orders", "order_items") if t in loaded], batch_ids)
-    touched = {}
-    for table in loaded:
-        touched[table] = upsert_batches(lake, table, SILVER_STEPS[table](bronze[table]))
-    for table in FACT_STEPS:
-        if table in loaded and lake.parts("silver", f"silver_{table}"):
-            touched[FACT_STEPS[table]] = refresh_facts(lake, table, batch_ids)
+    concerned = [bronze[t].select("order_id") for t in ("orders", "order_items") if t in loaded]
+    # The tables do not depend on each other within a layer.
+    run, *silver_done = together(
+        lambda: revenue.begin(lake, concerned),
+        *[lambda t=t: upsert_batches(lake, t, SILVER_STEPS[t](bronze[t])) for t in loaded],
+    )
+    facts = [t for t in FACT_STEPS if t in loaded and lake.parts("silver", f"silver_{t}")]
+    facts_done = together(*[lambda t=t: refresh_facts(lake, t, batch_ids) for t in facts]) if facts else []
     revenue.finish(lake, run)
-    return touched
+    return dict(zip([*loaded, *[FACT_STEPS[t] for t in facts]], [*silver_done, *facts_done]))
 
 
 def run_pending(lake: Lake, hours: int = 6) -> list[str]:

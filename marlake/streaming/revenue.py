@@ -61,7 +61,7 @@ def add_entry(lake: Lake, name: str, found: DataFrame, sign: int) -> None:
     lake.write_batches("gold", STATE, rows.unionByName(mark).withColumn(BATCH, F.lit(name)))
 
 
-def begin(lake: Lake, order_ids: list[DataFrame], batch_ids: list[str]) -> Run:
+def begin(lake: Lake, order_ids: list[DataFrame]) -> Run:
     """Note the orders of a run and take what they count for out of the state."""
     if not lake.parts("gold", "fct_order_items") and len(order_ids) < 2:
         return Run([])  # without items nothing counts; the state starts with the first ones

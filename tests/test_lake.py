@@ -1,15 +1,16 @@
 """CSV scans, layered tables, state, incremental runs and streams."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from marlake.operators.dedup import differences
-from marlake.plans import gold, silver
+from marlake.plans import gold, marts, silver
 from marlake.sources import files
-from marlake.sources.lake import Lake, add_columns_union, synthetic_pool
-from marlake.streaming import incremental, live, windows
+from marlake.sources.lake import Lake, Part, add_columns_union, bucket_of, synthetic_pool
+from marlake.streaming import incremental, live, revenue, windows
 
 
 def ts(text):
@@ -267,6 +268,76 @@ def test_an_interrupted_run_leaves_no_outdated_facts(spark, lake):
     assert same(lake)
 
 
+def test_a_batch_looks_into_the_buckets_of_its_keys_only(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=8)
+    lake.write_batches("bronze", "bronze_customers", bronze_customers(spark, [(f"c{i}", f"p{i}", B[0]) for i in range(40)]))
+    lake.write_batches("bronze", "bronze_orders", bronze_orders(spark, [(f"o{i}", f"c{i}", "created", 5, B[0]) for i in range(40)]))
+    incremental.process_batches(lake, [B[0]])
+    lake.write_batches("bronze", "bronze_orders", bronze_orders(spark, [("o3", "c3", "delivered", 9, B[1])]))
+    own = spark.createDataFrame([("o3",)], "order_id string").select(bucket_of(["order_id"], 8)).first()[0]
+    files = {f: f for f in lake.read("silver", "silver_orders").inputFiles()}
+    touched = incremental.process_batches(lake, [B[1]])
+    for table in ("orders", "fct_orders"):
+        assert touched[table].read == [Part(B[0], own)] and touched[table].rewritten == [Part(B[0], own), Part(B[1], own)]
+    # Files of the other buckets are the same ones as before.
+    after = set(lake.read("silver", "silver_orders").inputFiles())
+    assert {f for f in files if f"key_bucket={own}/" not in f} <= after
+    scan = lake.read("gold", "fct_orders", parts=[Part(B[0], own)])
+    assert all(f"key_bucket={own}/" in f for f in scan.inputFiles()) and len(scan.inputFiles()) == 1
+    assert {r.order_status for r in lake.read("gold", "fct_orders").where("order_id = 'o3'").collect()} == {"delivered"}
+    assert same(lake)
+
+
+def test_the_log_tells_schema_and_partitions(spark, lake, monkeypatch):
+    lake.write_batches("bronze", "t", spark.createDataFrame([("a", "x/1"), ("b", None)], "k string, batch_id string"))
+    lake.write_batches("bronze", "t", spark.createDataFrame([("c", 5, "007")], "k string, extra int, batch_id string"))
+    assert [p.batch for p in lake.parts("bronze", "t")] == [None, "007", "x/1"]
+    one = lake.read("bronze", "t", ["x/1"])
+    assert one.columns == ["k", "extra", "batch_id"] and [tuple(r) for r in one.collect()] == [("a", None, "x/1")]
+    assert len(one.inputFiles()) == 1
+    with pytest.raises(TypeError):
+        lake.write_batches("bronze", "t", spark.createDataFrame([(1, "z")], "k int, batch_id string"))
+    other = Lake(spark, lake.root)  # another session sees the same log
+    other.remove_batches("bronze", "t", [None, "x/1"])
+    assert [tuple(r) for r in lake.read("bronze", "t").collect()] == [("c", 5, "007")]
+
+
+def items(spark, rows):
+    return spark.createDataFrame(
+        [(o, i, "p", "s", ts("2024-01-01 00:00:00"), Decimal(price), Decimal(1), True, b) for o, i, price, b in rows],
+        "order_id string, order_item_id long, product_id string, seller_id string, shipping_limit_date timestamp, price decimal(18,2),"
+        " freight_value decimal(18,2), is_synthetic boolean, batch_id string",
+    )
+
+
+def test_revenue_state_follows_returns_repeats_and_interruptions(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=2)
+    lake.write_batches("bronze", "bronze_customers", bronze_customers(spark, [("c1", "p1", B[0])]))
+    lake.write_batches("bronze", "bronze_orders", bronze_orders(spark, [("o1", "c1", "created", 5, B[0]), ("o2", "c1", "created", 5, B[0])]))
+    lake.write_batches("bronze", "bronze_order_items", items(spark, [("o1", 1, 10, B[0]), ("o1", 2, 5, B[0]), ("o2", 1, 7, B[0])]))
+
+    def counted():
+        rows = revenue.current(lake).collect()
+        whole = marts.daily_revenue(lake.read("gold", "fct_orders"), lake.read("gold", "fct_order_items")).collect()
+        key = lambda r: (r.date_day, r.is_synthetic, r.order_count, float(r.total_product_revenue), float(r.total_revenue))
+        assert sorted(map(key, rows)) == sorted(map(key, whole))
+        return [(r.order_count, float(r.total_product_revenue)) for r in rows]
+
+    incremental.process_batches(lake, [B[0]])
+    assert counted() == [(2, 22.0)]
+    lake.write_batches("bronze", "bronze_order_items", items(spark, [("o1", 1, 4, B[1]), ("o3", 1, 9, B[1])]))
+    lake.write_batches("bronze", "bronze_orders", bronze_orders(spark, [("o3", "c1", "created", 5, B[1])]))
+    finish = revenue.finish
+    monkeypatch.setattr(revenue, "finish", lambda lake, run: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(RuntimeError, match="stopped"):
+        incremental.process_batches(lake, [B[1]])
+    monkeypatch.setattr(revenue, "finish", finish)
+    incremental.process_batches(lake, [B[1]])
+    assert counted() == [(3, 25.0)]
+    revenue.compact(lake)
+    assert counted() == [(3, 25.0)] and len(revenue.entries(lake)) == 1
+
+
 def test_cursors_are_required(lake):
     with pytest.raises(RuntimeError):
         incremental.run_pending(lake)
