@@ -8,7 +8,7 @@ from marlake.plans import gold, silver
 from marlake.queries.layers import DAILY_SQL
 from marlake.queries.registry import query
 from marlake.queries.views import hashed, six_hours
-from marlake.session import scratch_path
+from marlake.session import scratch_path, stage
 from marlake.sources.lake import Lake
 from marlake.streaming import live, revenue, windows
 from marlake.streaming.incremental import SILVER_STEPS, process_batches, silver_increment, upsert_batches
@@ -250,3 +250,74 @@ def stream_6h_counts(m):
         source, "ts", ["event_type"], target, scratch_path(spark, "stream-state")
     ).awaitTermination()
     return live.window_totals(spark.read.parquet(target), ["event_type"])
+
+
+# --- a stream with repeated and late deliveries ----------------------------------------------
+# Every event is delivered in the part of its five days; one in ten a second time in the next part, one in
+# seven only two parts later. Six parts arrive one after the other, three before the stream is started again.
+PARTS = 6
+DELIVERED = f"""
+e as (select event_id, ts, event_type, least(cast(floor(date_diff('day', date '2024-01-01', cast(ts as date)) / 5) as int), {PARTS - 1}) p from events),
+d as (select event_id, ts, event_type, least(p + case when event_id % 7 = 3 then 2 else 0 end, {PARTS - 1}) p from e
+  union all select event_id, ts, event_type, least(p + 1, {PARTS - 1}) p from e where event_id % 10 = 0),
+high as (select p, max(ts) h from d group by p),
+marks as (select p, max(h) over (order by p rows between unbounded preceding and 1 preceding) - interval 6 hour w from high),
+a as (select d.*, w, w is not null and ts < w late from d join marks m on m.p = d.p)"""
+# A stateful operator judges lateness by the watermark that the micro-batch before it worked with. Before a run ends, a
+# micro-batch without rows brings that up to date, so only the first part after the restart meets the latest one.
+SEEN = """dropping as (select x.p, (select max(h) from high y where y.p <= x.p - case when x.p = 3 then 1 else 2 end) - interval 6 hour w from high x),
+c as (select distinct event_id, ts, event_type from d join dropping g on g.p = d.p where g.w is null or ts >= g.w)"""
+
+
+def delivered(m) -> list:
+    """The deliveries of the events, part by part."""
+    block = F.least(F.floor(F.datediff(F.col("ts"), F.lit("2024-01-01").cast("date")) / 5), F.lit(PARTS - 1))
+    rows = m.events.select("event_id", "ts", "event_type", block.cast("int").alias("p"))
+    late = F.when(F.col("event_id") % 7 == 3, 2).otherwise(0)
+    again = rows.where("event_id % 10 = 0").withColumn("p", F.col("p") + 1)
+    every = stage(rows.withColumn("p", F.col("p") + late).unionByName(again).withColumn("p", F.least("p", F.lit(PARTS - 1))), "deliveries")
+    return [every.where(F.col("p") == k).drop("p") for k in range(PARTS)]
+
+
+def streamed(m, start) -> None:
+    """Run ``start(source, checkpoint)`` over the first three parts, and again with its checkpoint after the others have come."""
+    folder, checkpoint = scratch_path(m.spark, "arrivals"), scratch_path(m.spark, "stream-state")
+    for k, part in enumerate(delivered(m)):
+        part.coalesce(1).write.parquet(f"{folder}/part={k}")
+        if k in (2, PARTS - 1):
+            source = live.read_files(m.spark, f"{folder}/*", part.schema, files_per_batch=1)
+            start(source, checkpoint).awaitTermination()
+
+
+@query("stream_first_deliveries", f"with {DELIVERED}, {SEEN} select event_id, ts, event_type from c")
+def stream_first_deliveries(m):
+    """Repeated deliveries are dropped by stateful deduplication, over several micro-batches and a restart."""
+    target = scratch_path(m.spark, "first")
+    streamed(m, lambda source, checkpoint: live.append_to(live.first_deliveries(source, "ts", "event_id"), target, checkpoint))
+    return m.spark.read.parquet(target).select("event_id", "ts", "event_type")
+
+
+@query("stream_late_rows", f"with {DELIVERED} select event_id, ts, w watermark from a where late")
+def stream_late_rows(m):
+    """What came behind the watermark, with the watermark it met."""
+    target, marks = scratch_path(m.spark, "late"), scratch_path(m.spark, "marks")
+    streamed(m, lambda source, checkpoint: live.write_late_rows(source, "ts", target, marks, checkpoint))
+    return m.spark.read.parquet(target).select("event_id", "ts", "watermark")
+
+
+@query(
+    "stream_closed_windows",
+    f"""
+with {DELIVERED}, {SEEN}, t as (select time_bucket(interval 6 hour, ts, timestamp '2000-01-01') window_start, event_type, count(*) n from c group by 1, 2)
+select {six_hours('window_start')} batch_id, window_start, window_start + interval 6 hour window_end, event_type, n
+from t where window_start + interval 6 hour <= (select max(h) from high) - interval 6 hour""",
+)
+def stream_closed_windows(m):
+    """Windows of the deduplicated stream, handed on once when they can no longer change."""
+    target = scratch_path(m.spark, "closed")
+
+    def start(source, checkpoint):
+        return live.append_to(live.closed_window_counts(live.first_deliveries(source, "ts", "event_id"), "ts", ["event_type"], watermarked=True), target, checkpoint)
+
+    streamed(m, start)
+    return m.spark.read.parquet(target).select("batch_id", "window_start", "window_end", "event_type", "n")
