@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -63,6 +64,28 @@ def relationships(
     return _result(counts.withColumn("checked", F.coalesce("checked", F.lit(0))), table, column, "relationships")
 
 
+def all_relationships(frames: Mapping[str, DataFrame], relations: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """Like :func:`relationships` for many (table, column, parent table, parent column), reading every table once.
+
+    Each row gives its value to every check it takes part in, as child or as parent; values are counted
+    per check before and after one shuffle, and a second, tiny one adds up the checks.
+    """
+    roles: dict[str, list[Column]] = {}
+    for k, (table, column, parent, parent_column) in enumerate(relations):
+        for name, col, child in ((table, column, 1), (parent, parent_column, 0)):
+            value = F.col(col).cast("string").alias("v")
+            roles.setdefault(name, []).append(F.struct(F.lit(k).alias("k"), value, F.lit(child).alias("child"), F.lit(1 - child).alias("parent")))
+    each = [frames[name].select(F.explode(F.array(*own)).alias("r")).select("r.*") for name, own in roles.items()]
+    per_value = reduce(lambda a, b: a.unionByName(b), each).groupBy("k", "v").agg(F.sum("child").alias("n"), F.max("parent").alias("known"))
+    lost = F.when(F.col("v").isNotNull() & (F.col("known") == 0), F.col("n")).otherwise(0)
+    none = frames[relations[0][0]].sparkSession.range(len(relations)).select(F.col("id").cast("int").alias("k"), F.lit(0).alias("lost"), F.lit(0).alias("n"))
+    sums = per_value.select("k", lost.alias("lost"), "n").unionByName(none).groupBy("k").agg(F.sum("lost").alias("failures"), F.sum("n").alias("checked"))
+    of = lambda i: F.element_at(F.array(*[F.lit(r[i]) for r in relations]), F.col("k") + 1)
+    return sums.select(
+        of(0).alias("table_name"), of(1).alias("column_name"), F.lit("relationships").alias("check_name"), F.col("failures").cast("bigint"), F.col("checked").cast("bigint")
+    )
+
+
 def report(checks: list[DataFrame]) -> DataFrame:
     """All checks in one frame, run as one job."""
     return reduce(lambda a, b: a.unionByName(b), checks)

@@ -198,13 +198,18 @@ def checks(lake: Lake) -> DataFrame:
             q.unique(g["profiles"], "dim_customers", "customer_unique_id"),
             q.not_null(g["orders"], "fct_orders", ["order_id"]),
             q.unique(g["orders"], "fct_orders", "order_id"),
-            q.relationships(g["orders"], "fct_orders", "customer_unique_id", g["profiles"], "customer_unique_id"),
-            q.relationships(g["items"], "fct_order_items", "order_id", g["orders"], "order_id"),
-            q.relationships(g["items"], "fct_order_items", "product_id", g["products"], "product_id"),
-            q.relationships(g["payments"], "fct_payments", "order_id", g["orders"], "order_id"),
             q.not_null(g["reviews"], "fct_reviews", ["review_id"]),
             q.unique(g["reviews"], "fct_reviews", "review_id"),
-            q.relationships(g["reviews"], "fct_reviews", "order_id", g["orders"], "order_id"),
+            q.all_relationships(
+                {"fct_orders": g["orders"], "fct_order_items": g["items"], "fct_payments": g["payments"], "fct_reviews": g["reviews"], "dim_customers": g["profiles"], "dim_products": g["products"]},
+                [
+                    ("fct_orders", "customer_unique_id", "dim_customers", "customer_unique_id"),
+                    ("fct_order_items", "order_id", "fct_orders", "order_id"),
+                    ("fct_order_items", "product_id", "dim_products", "product_id"),
+                    ("fct_payments", "order_id", "fct_orders", "order_id"),
+                    ("fct_reviews", "order_id", "fct_orders", "order_id"),
+                ],
+            ),
             q.not_null(lake.current("gold", "mart_daily_revenue"), "mart_daily_revenue", ["date_day"]),
             q.not_null(lake.current("gold", "mart_customer_rfm"), "mart_customer_rfm", ["customer_unique_id"]),
             q.unique(lake.current("gold", "mart_customer_rfm"), "mart_customer_rfm", "customer_unique_id"),

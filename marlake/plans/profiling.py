@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ from marlake.session import stage
 TS = "order_purchase_timestamp"
 # Weekday labels Monday first, quantiles of the summary pack.
 DOW_LABELS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
+# Items a sketch keeps, and the error in rank that it stays within.
+SKETCH_SIZE = 800
+SKETCH_ERROR = 0.01
 PACK = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
 CLAIMED_ONE_TIME_SHARE = 0.9688
 HISTOGRAM_BINS = 60
@@ -129,6 +134,23 @@ def approx_quantile_pack(df: DataFrame, column: str, accuracy: int = 10_000) ->
     return df.agg(quantiles.alias("q")).select(*[F.col("q")[i].alias(n) for i, n in enumerate(PACK)])
 
 
+def sketches_by(df: DataFrame, key: str, column: str, k: int = SKETCH_SIZE) -> DataFrame:
+    """One mergeable quantile sketch of ``column`` per key (a day, a batch), of bounded size, to be stored."""
+    return df.where(F.col(column).isNotNull()).groupBy(key).agg(
+        F.kll_sketch_agg_double(F.col(column).cast("double"), F.lit(k)).alias("sketch"), F.count(F.lit(1)).alias("n")
+    )
+
+
+def merged_quantiles(sketches: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Quantiles over all given sketches (``prob``, ``quantile``, ``n`` values, number of ``sketches``).
+
+    With the default size a quantile's rank is off by ``SKETCH_ERROR`` of all values at most, but for a chance of about one in a hundred thousand.
+    """
+    whole = sketches.agg(F.kll_merge_agg_double("sketch").alias("sketch"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("sketches"))
+    at = [F.struct(F.lit(float(p)).alias("prob"), F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias("quantile")) for p in probs]
+    return whole.where("n > 0").select(F.explode(F.array(*at)).alias("q"), "n", "sketches").select("q.*", "n", "sketches")
+
+
 def items_with_category(items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
     named = products.select("product_id", "product_category_name")
     return (

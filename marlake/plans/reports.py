@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marlake.functions.expr import mean_of, ratio, sunday_week_start
 from marlake.plans.marts import order_sums
 from marlake.plans.scoring import tier_rank
+from marlake.sources.lake import Lake
 
 TREND_DAYS = 90
 
@@ -165,6 +166,18 @@ def top_list(
     return chosen.orderBy(F.col(by).desc(), key).limit(limit)
 
 
+def stored_list(lake: Lake, table: str, by: str, key: str, label: str | None = None, value: str | None = None, limit: int = 200) -> DataFrame | None:
+    """First rows of the latest run of a scoring table, without its time stamp; None where there has been no run."""
+    scores = lake.current("predictions", table)
+    return None if scores is None else top_list(scores.drop("scored_at"), by, key, label, value, limit)
+
+
+def stored_counts(lake: Lake, table: str, label: str) -> DataFrame | None:
+    """Rows per label in the latest run of a scoring table."""
+    scores = lake.current("predictions", table)
+    return None if scores is None else label_counts(scores, label)
+
+
 def label_counts(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 

@@ -1,8 +1,11 @@
 """Profiles."""
 
 
+from pyspark.sql import functions as F
+
 from marlake.plans import profiling
 from marlake.queries.registry import query
+from marlake.session import stage
 
 DAYS_SQL = """(with n as (select cast(order_purchase_timestamp as date) d, count(*) c from v_orders group by 1)
   select s.d, coalesce(n.c, 0) c from (select cast(unnest(generate_series(min(d), max(d), interval 1 day)) as date) d from n) s left join n on n.d = s.d)"""
@@ -51,6 +54,37 @@ def spike_months(m):
     return profiling.spike_months(profiling.monthly_volume(m.orders), threshold=0.5)
 
 
+@query(
+    "spike_months_default",
+    f"""
+select cast(d as varchar) "month", c orders, round((c - a) / s, 6) z
+from {MONTHS_SQL} t cross join (select avg(c) a, stddev_pop(c) s from {MONTHS_SQL} u) k where (c - a) / s >= 1.5""",
+)
+def spike_months_default(m):
+    """At the limit that the reports use; the months of these tables may all lie below it."""
+    return profiling.spike_months(profiling.monthly_volume(m.orders))
+
+
+@query(
+    "price_sketch_by_day",
+    """
+select p prob, (select count(*) from v_items) n, (select count(distinct batch_id) from v_items) sketches, 1 within_bound
+from (values (0.05), (0.25), (0.5), (0.75), (0.95)) t(p)""",
+)
+def price_sketch_by_day(m):
+    """One stored sketch per day, merged on demand; the exact rank of each quantile is counted and held against the stated error."""
+    items = m.items.select("batch_id", F.col("price").cast("double").alias("price"))
+    sketches = stage(profiling.sketches_by(items, "batch_id", "price"), "sketches")
+    found = stage(profiling.merged_quantiles(sketches, [0.05, 0.25, 0.5, 0.75, 0.95]), "quantiles")
+    limits = found.agg(F.collect_list(F.struct("prob", "quantile"))).scalar()
+    each = items.select("price").withColumn("q", F.explode(limits)).select("price", "q.*")
+    ranks = each.groupBy("prob").agg(
+        F.avg((F.col("price") < F.col("quantile")).cast("double")).alias("low"), F.avg((F.col("price") <= F.col("quantile")).cast("double")).alias("high")
+    )
+    off = F.greatest(F.col("low") - F.col("prob"), F.col("prob") - F.col("high"), F.lit(0.0))
+    return found.join(ranks, "prob").select("prob", "n", "sketches", (off <= profiling.SKETCH_ERROR).cast("int").alias("within_bound"))
+
+
 @query(
     "profile_summary",
     """

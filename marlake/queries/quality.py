@@ -115,6 +115,5 @@ RELATIONS = [
 )
 def dq_relationships(m):
     m = m.written()
-    return quality.report(
-        [quality.relationships(frame(m, t), t, c, frame(m, p), pc) for t, c, p, pc in RELATIONS]
-    )
+    tables = {t for r in RELATIONS for t in (r[0], r[2])}
+    return quality.all_relationships({t: frame(m, t) for t in sorted(tables)}, RELATIONS)

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from marlake.plans import features, gold, reports, scoring
 from marlake.queries.registry import query
+from marlake.session import scratch_path, stage
+from marlake.sources.lake import Lake
 
 AS_OF = "2001-08-01"
 
@@ -276,6 +278,41 @@ def seller_list(m):
     return reports.top_list(features.seller_window_metrics(sold(m), AS_OF), "revenue_this_week", "seller_id")
 
 
+def scored_lake(m) -> Lake:
+    """A lake with two runs of the scoring tables; the first one scored everything the other way round."""
+    lake = Lake(m.spark, scratch_path(m.spark, "lake"))
+    risk, acts = stage(tiered(m), "tiers"), stage(actions(m), "actions")
+    sellers = stage(features.seller_window_metrics(sold(m), AS_OF), "sellers")
+    wrong = risk.withColumns({"risk_score": -F.col("risk_score"), "risk_tier": F.lit("Critical")})
+    for tiers, chosen in ((wrong, acts.withColumn("suggested_action", F.lit(scoring.ACTION_VOUCHER))), (risk, acts)):
+        lake.publish_scores("predictions_delivery_risk", tiers)
+        lake.publish_scores("predictions_customer_actions", chosen)
+        lake.publish_scores("predictions_seller_segments", sellers)
+    return lake
+
+
+@query("stored_risk_list", f"select * from {TIERS_SQL} t where risk_tier = 'Critical' order by risk_score desc, order_id limit 200")
+def stored_risk_list(m):
+    return reports.stored_list(scored_lake(m), "predictions_delivery_risk", "risk_score", "order_id", "risk_tier", "Critical")
+
+
+@query("stored_actions_summary", f"select suggested_action, count(*) n from {ACTIONS_SQL} t group by 1")
+def stored_actions_summary(m):
+    return reports.stored_counts(scored_lake(m), "predictions_customer_actions", "suggested_action")
+
+
+@query("stored_seller_list", f"select * from ({WINDOWS_SQL}) w order by revenue_this_week desc, seller_id limit 200")
+def stored_seller_list(m):
+    return reports.stored_list(scored_lake(m), "predictions_seller_segments", "revenue_this_week", "seller_id")
+
+
+@query("trend_without_forecast", TREND_SQL.format(", cast(null as double) yhat, cast(null as double) yhat_lower, cast(null as double) yhat_upper"))
+def trend_without_forecast(m):
+    """Where no forecast has been published, the trend stands alone."""
+    lake = Lake(m.spark, scratch_path(m.spark, "lake"))
+    return reports.trend_with_forecast(reports.trend(m.mart_daily_revenue, AS_OF), lake.current("predictions", "mart_revenue_forecast"))
+
+
 @query(
     "seller_on_time",
     f"""
