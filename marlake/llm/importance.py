@@ -2,13 +2,14 @@
 
 Texts are cut into words and runs of marks; hashed unigrams and bigrams are counted over all
 documents (the raw model) and over documents labelled as good (the target model). A document's
-weight is the mean log ratio of the two models over its n-grams. Adding Gumbel noise to the
-scaled weights and taking the k largest draws k documents without replacement, in proportion to
-the exponential of the scaled weights.
+weight is the log ratio of its probabilities under the two models, the sum over its n-grams. Adding
+Gumbel noise to the weights and taking the k largest draws k documents without replacement, in
+proportion to the exponential of the weights, the ratio of the models.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from marlake.session import stage
 
 BUCKETS = 1 << 16
 PSEUDO = 8.0
-SCALE = 200.0
+TEMPERATURE = 1.0
 MOST_TARGET = 20_000
 GOOD_WEIGHT = 4
 MARKS = r"([^\p{L}\p{N}\s]+)"
@@ -93,7 +94,7 @@ def count_models(rows: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]
 
 
 def cut_of(good: np.ndarray, bad: np.ndarray) -> float:
-    """The weight that parts labelled good from labelled bad documents best: a share of good ones lost counts ``GOOD_WEIGHT`` times a share of bad ones kept."""
+    """The mean log ratio that parts labelled good from labelled bad documents best: a share of good ones lost counts ``GOOD_WEIGHT`` times a share of bad ones kept."""
     if not len(good) or not len(bad):
         return -np.inf
     values = np.sort(np.concatenate([good, bad]))
@@ -109,23 +110,29 @@ def resample(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
-    keep: int | None = None,
+    keep: int | float | None = None,
+    floor: bool = True,
     seed: int = 11,
     buckets: int = BUCKETS,
-    scale: float = SCALE,
+    temperature: float = TEMPERATURE,
     most_target: int = MOST_TARGET,
 ) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``n_grams``, ``weight``, ``noisy`` and ``kept`` of every document row.
+    """``doc_id``, ``text_hash``, ``n_grams``, ``weight``, ``noisy``, ``above_floor`` and ``kept`` of every document row.
 
-    ``keep`` is the k of the top-k. Left out, it is the number of documents whose weight is above
-    the cut that best parts labelled good from labelled bad documents that the target model has not seen. ``weight`` is the mean log
-    ratio (0 for a text without an n-gram), ``noisy`` is ``scale`` * weight plus Gumbel noise drawn from a hash
-    of (id, text, seed). The raw counts, weights and the top-k cover all documents; the target
-    model is fit on about ``most_target`` documents of each label at most.
+    ``weight`` is the document's log ratio (0 for a text without an n-gram), ``noisy`` is weight / ``temperature`` plus
+    Gumbel noise drawn from a hash of (id, text, seed). The k rows of largest ``noisy`` are kept: at the temperature of 1
+    they are drawn by the ratio of the models itself; a higher one draws more evenly, a lower one comes closer to the
+    largest weights. A long text is weighed whole, so its weight lies further from 0 than that of a short one.
+
+    ``floor`` lets only documents be drawn whose mean log ratio per n-gram, which does not depend on their length, is
+    above the cut that best parts labelled good from labelled bad documents that the target model has not seen.
+    ``keep`` is k, or as a fraction the share of the rows above the floor; left out, all of these are drawn.
+    The raw counts, weights and the top-k cover all documents; the target model is fit on about ``most_target``
+    documents of each label at most.
 
     Null text counts as empty. Repeated rows share weight and noise, so they are kept or dropped
     together but for a tie at the last place, which goes by id (null first). Without any
-    label all documents are kept. An empty table gives no rows; other columns are ignored.
+    label all documents are above the floor. A very long text is cut into n-grams whole. An empty table gives no rows; other columns are ignored.
     ``text_hash`` tells rows of one id apart.
     """
     with_package(docs.sparkSession)
@@ -139,19 +146,23 @@ def resample(
             for first, texts in text_slices(batch.column(1), SLICE):
                 owner, bucket = grams(texts, buckets)
                 n = np.bincount(owner, minlength=len(texts))
-                weight = np.bincount(owner, ratio[bucket], len(texts)) / np.maximum(n, 1)
+                weight = np.bincount(owner, ratio[bucket], len(texts))
                 own = [batch.column(i).slice(first, len(texts)) for i in (0, 2, 3)]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(n.astype(np.int64)), pa.array(weight)], names=["doc_id", "text_hash", "_draw", "n_grams", "weight"])
 
     drawn = rows.select("_id", "_text", F.xxhash64("_text").alias("_th"), F.xxhash64("_id", "_text", F.lit(seed)).alias("_draw"))
     weighed = drawn.mapInArrow(frugal(weigh), "doc_id long, text_hash long, _draw long, n_grams long, weight double")
     uniform = (F.pmod(F.col("_draw"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    noisy = F.col("weight") * scale - F.log(-F.log(uniform))
-    weighed = stage(weighed.select("doc_id", "text_hash", "n_grams", "weight", noisy.alias("noisy"), F.lit(1).cast("long").alias("_one")), "weights")
-    if keep is None:
-        marked = weighed.join(F.broadcast(known), weighed["doc_id"] == known["_id"]).where("not _fit").groupBy("_good", "doc_id").agg(F.min("weight").alias("weight")).toArrow()
-        good, weight = marked["_good"].to_numpy(), marked["weight"].to_numpy()
-        cut = cut_of(weight[good == 1], weight[good == 0])
-        keep = weighed.where(F.col("weight") >= cut).count() if np.isfinite(cut) else weighed.count()
-    ranked = positions(weighed, [F.col("noisy").desc(), F.col("doc_id").asc_nulls_first()], "_one")
-    return ranked.select("doc_id", "text_hash", "n_grams", "weight", "noisy", (F.col("_rank") < keep).alias("kept"))
+    noisy = F.col("weight") / temperature - F.log(-F.log(uniform))
+    weighed = stage(weighed.select("doc_id", "text_hash", "n_grams", "weight", noisy.alias("noisy"), F.lit(1).cast("long").alias("_one"), F.monotonically_increasing_id().alias("_place")), "weights")
+    mean = F.col("weight") / F.greatest(F.col("n_grams"), F.lit(1))
+    cut = -np.inf
+    if floor:
+        judged = weighed.join(F.broadcast(known), weighed["doc_id"] == known["_id"]).where("not _fit").groupBy("_good", "doc_id").agg(F.min(mean).alias("mean")).toArrow()
+        good, means = judged["_good"].to_numpy(), judged["mean"].to_numpy()
+        cut = cut_of(means[good == 1], means[good == 0])
+    weighed = weighed.withColumn("above_floor", mean >= cut)
+    above = weighed.where("above_floor").count()
+    most = above if keep is None else math.ceil(keep * above) if isinstance(keep, float) else min(keep, above)
+    ranked = positions(weighed, [F.col("above_floor").desc(), F.col("noisy").desc(), F.col("doc_id").asc_nulls_first(), F.col("_place")], "_one")  # the place parts equal rows
+    return ranked.select("doc_id", "text_hash", "n_grams", "weight", "noisy", "above_floor", (F.col("_rank") < most).alias("kept"))

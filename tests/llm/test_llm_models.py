@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -54,10 +56,54 @@ def test_top_k_takes_exactly_k(real):
     assert out[out.kept].noisy.min() >= out[~out.kept].noisy.max()
     again = importance.resample(docs.repartition(5), labels, keep=300).toPandas()
     assert set(again[again.kept].doc_id) == set(out[out.kept].doc_id)
-    noise = out.noisy - importance.SCALE * out.weight
+    noise = out.noisy - out.weight
     assert abs(noise.mean() - 0.5772) < 0.2  # the mean of the Gumbel distribution
 
 
+def test_a_share_is_drawn_above_the_floor(real):
+    docs, labels = real
+    out = importance.resample(docs, labels, keep=0.5).toPandas()
+    assert out.kept.sum() == math.ceil(out.above_floor.sum() / 2) and out[out.kept].above_floor.all()
+    rest = out[out.above_floor & ~out.kept]
+    assert out[out.kept].noisy.min() >= rest.noisy.max()
+
+
+def test_weights_equal_plain_counts(spark):
+    rng = random.Random(3)
+    rows = [(i, prose(rng, 5 + i % 40, 30) + (" !! ok" if i % 3 else " zz %")) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(0, 90, 2)], "doc_id long, quality int")
+    raw, target = Counter(), Counter()
+    fit = {r["_id"] for r in importance.target_ids(labels, "doc_id", "quality", 1000).collect() if r["_fit"] and r["_good"]}
+    for i, text in rows:
+        for part in plain_grams(text):
+            raw.update(part)
+            target.update(part if i in fit else [])
+    share, pseudo = sum(target.values()) / sum(raw.values()), importance.PSEUDO
+    ratio = {g: math.log((target[g] + pseudo) / (share * n + pseudo)) for g, n in raw.items()}
+    want = {i: sum(ratio[g] for part in plain_grams(text) for g in part) for i, text in rows}
+    got = importance.resample(docs, labels, buckets=1 << 22).collect()
+    assert len(got) == 90 and all(abs(r["weight"] - want[r["doc_id"]]) < 1e-4 for r in got)
+
+
+def test_inclusion_follows_the_ratio_of_the_models(spark):
+    texts = ["good words here", "good words other", "plain stuff here", "bad bad junk", "bad junk"]
+    docs = spark.createDataFrame([(i, texts[i % 5]) for i in range(10_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 < 2)) for i in range(400)], "doc_id long, quality int")
+    for seed, temperature in ((1, 1.0), (2, 1.0), (3, 4.0)):
+        out = importance.resample(docs, labels, keep=3000, floor=False, seed=seed, temperature=temperature).toPandas()
+        assert out.kept.sum() == 3000
+        rate = np.exp(out.weight / temperature)  # kept if an exponential time of this rate comes before a common one
+        low, high = -60.0, 60.0
+        for _ in range(200):
+            middle = (low + high) / 2
+            low, high = (middle, high) if (1 - np.exp(-rate * np.exp(middle))).sum() < 3000 else (low, middle)
+        out["expected"] = 1 - np.exp(-rate * np.exp(low))
+        seen = out.groupby(out.doc_id % 5)[["kept", "expected"]].mean()
+        assert (seen.kept - seen.expected).abs().max() < 0.04
+        assert ((seen.expected > 0.05) & (seen.expected < 0.95)).sum() >= 2  # the draw decides, not the rank
+
+
 def test_resampling_of_awkward_tables(spark, awkward, awkward_rows, empty):
     labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (None, 1), (3, None), (4, 7)], "doc_id long, quality int")
     out = importance.resample(awkward, labels).collect()
