@@ -64,8 +64,9 @@ def op4_bottom_k_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op5_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
-    """Weight of every document, whether it is above the floor, and whether it is in the half drawn from those."""
-    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "labels"), keep=0.5)
+    """Weight of every document, whether it is above the floor (``kept``), and whether the draw of half of those takes it (``drawn``)."""
+    found = importance.resample(table(spark, folder, "documents"), table(spark, folder, "labels"), keep=0.5)
+    return found.withColumnsRenamed({"kept": "drawn", "above_floor": "kept"})
 
 
 @query
