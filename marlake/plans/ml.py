@@ -300,30 +300,38 @@ def holiday_days(calendar: DataFrame) -> DataFrame:
     ).select("holiday", F.date_add("ds", F.col("offset")).alias("ds"), "offset")
 
 
+def forecast_days(orders: DataFrame, historical_end: str, *more: str) -> DataFrame:
+    """Orders of the historical cohort up to a day and of the synthetic cohort, with their day ``ds``."""
+    day = F.to_date("order_purchase_timestamp")
+    chosen = (~F.col("is_synthetic") & (day <= F.lit(historical_end).cast("date"))) | F.col("is_synthetic")
+    return orders.where(chosen).select("order_id", day.alias("ds"), *more)
+
+
 def forecast_input(orders: DataFrame, items: DataFrame, historical_end: str, target: str = "price") -> DataFrame:
     """Daily revenue of the historical cohort up to a day, and of the synthetic cohort."""
-    day = F.to_date("order_purchase_timestamp")
-    chosen = orders.where(
-        (~F.col("is_synthetic") & (day <= F.lit(historical_end).cast("date"))) | F.col("is_synthetic")
-    ).select("order_id", day.alias("ds"))
+    chosen = forecast_days(orders, historical_end)
     amount = F.col("price") if target == "price" else F.col("price") + F.col("freight_value")
     per_order = items.groupBy("order_id").agg(F.sum(amount).alias("y"))
     return chosen.join(per_order, "order_id").groupBy("ds").agg(F.sum("y").alias("y"))
 
 
-def seasonal_features(days: DataFrame, holidays: DataFrame, origin: Column, yearly: int = 10, weekly: int = 3) -> DataFrame:
-    """Trend, weekly and yearly Fourier terms and holiday flags of the days in ``ds``."""
+def seasonal_features(
+    days: DataFrame, holidays: DataFrame | None, origin: Column, yearly: int = 10, weekly: int = 3
+) -> DataFrame:
+    """Trend, weekly and yearly Fourier terms and holiday flags of the days in ``ds``; no flags without holidays."""
     t = F.datediff("ds", origin).cast("double")
-    names = sorted(HOLIDAYS)
-    flags = (
-        holidays.groupBy("ds")
-        .agg(*[F.max((F.col("holiday") == n).cast("double")).alias(f"h_{n}") for n in names])
-    )
     terms = {"t": t / 365.25}
     for period, order, tag in ((365.25, yearly, "y"), (7.0, weekly, "w")):
         for k in range(1, order + 1):
             angle = t * F.lit(2 * 3.141592653589793 * k / period)
             terms[f"{tag}_sin{k}"], terms[f"{tag}_cos{k}"] = F.sin(angle), F.cos(angle)
+    if holidays is None:
+        return days.withColumns(terms)
+    names = sorted(HOLIDAYS)
+    flags = (
+        holidays.groupBy("ds")
+        .agg(*[F.max((F.col("holiday") == n).cast("double")).alias(f"h_{n}") for n in names])
+    )
     return (
         days.join(F.broadcast(flags), "ds", "left")
         .withColumns({f"h_{n}": F.coalesce(F.col(f"h_{n}"), F.lit(0.0)) for n in names})

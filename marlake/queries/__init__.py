@@ -9,6 +9,7 @@ from marlake.queries import (  # noqa: F401
     quality,
     replay,
     reports,
+    series,
     storage,
 )
 from marlake.queries.registry import QUERIES, REFERENCE_SQL  # noqa: F401
