@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlake.operators import quality
-from marlake.plans import features, gold, marts, ml, replay, scoring, silver
+from marlake.plans import features, gold, marts, ml, replay, scoring, series, silver
 from marlake.session import stage
 from marlake.sources import files
 from marlake.sources.lake import BATCH, Lake
@@ -320,3 +320,15 @@ def refresh_forecast(lake: Lake, historical_end: str = replay.STABLE_END) -> boo
         return False
     holidays = ml.holiday_days(ml.holiday_calendar(lake.spark, years))
     return lake.publish_scores("mart_revenue_forecast", ml.forecast(daily, holidays))
+
+
+def refresh_category_forecasts(lake: Lake, historical_end: str = replay.STABLE_END) -> bool:
+    """Forecast of every category, all in one job."""
+    g = gold_frames(lake)
+    daily = stage(series.daily_by_category(g["orders"], g["items"], g["products"], historical_end), "daily")
+    years = ml.years_of(daily)
+    if not years:
+        return False
+    holidays = ml.holiday_days(ml.holiday_calendar(lake.spark, years))
+    ahead = series.forecast_many(daily, holidays).withColumnRenamed("key", "category")
+    return lake.publish_scores("mart_category_forecast", ahead)

@@ -7,9 +7,18 @@ from datetime import date, timedelta
 from functools import partial
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    Imputer,
+    ImputerModel,
+    OneHotEncoder,
+    StandardScaler,
+    StandardScalerModel,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
@@ -89,6 +98,79 @@ def positive_probability(col: str = "probability") -> Column:
     return vector_to_array(F.col(col))[1]
 
 
+# --- fitted models as tables ----------------------------------------------------------------
+def parameter_rows(model: PipelineModel, numeric: Sequence[str], categorical: Sequence[str]) -> list[tuple]:
+    """(part, input, position, level, value) of everything a pipeline has learned; as many as levels and columns, never rows.
+
+    Parts are median, mean, deviation, level (position by frequency), center (position is the cluster),
+    intercept and coefficient (position in the feature vector).
+    """
+    rows, levels = [], [(c, None) for c in numeric]
+    for part in model.stages:
+        if isinstance(part, ImputerModel):
+            found = part.surrogateDF.head()
+            rows += [("median", c, 0, None, float(found[c])) for c in numeric]
+        elif isinstance(part, StandardScalerModel):
+            rows += [("mean", c, 0, None, float(v)) for c, v in zip(numeric, part.mean)]
+            rows += [("deviation", c, 0, None, float(v)) for c, v in zip(numeric, part.std)]
+        elif isinstance(part, StringIndexerModel):
+            own = [(c, i, level) for c, names in zip(categorical, part.labelsArray) for i, level in enumerate(names)]
+            rows += [("level", c, i, level, None) for c, i, level in own]
+            levels += [(c, level) for c, _, level in own]
+        elif isinstance(part, KMeansModel):
+            centers = part.clusterCenters()
+            rows += [("center", c, k, None, float(v)) for k, at in enumerate(centers) for c, v in zip(numeric, at)]
+        elif isinstance(part, LogisticRegressionModel):
+            rows.append(("intercept", "", 0, None, float(part.intercept)))
+            weights = part.coefficients.toArray()
+            rows += [("coefficient", c, i, level, float(v)) for i, ((c, level), v) in enumerate(zip(levels, weights))]
+    return rows
+
+
+def parameters(spark, rows: Sequence[tuple]) -> DataFrame:
+    """``parameter_rows`` as a table, to be stored beside the scores."""
+    return spark.createDataFrame(list(rows), "part string, input string, position int, level string, value double")
+
+
+def _scaled(rows: Sequence[tuple], numeric: Sequence[str]) -> dict[str, Column]:
+    """The scaled numbers as expressions over the raw columns."""
+    at = {(part, c): v for part, c, _, _, v in rows if part in ("median", "mean", "deviation")}
+    out = {}
+    for c in numeric:
+        x = F.col(c).cast("double")
+        x = F.when(x.isNull() | F.isnan(x), F.lit(at[("median", c)])).otherwise(x)
+        spread = at[("deviation", c)]
+        out[c] = (x - at[("mean", c)]) / spread if spread else F.lit(0.0)
+    return out
+
+
+def probability_from(rows: Sequence[tuple], numeric: Sequence[str], categorical: Sequence[str]) -> Column:
+    """Logistic probability as an expression over raw columns, from the stored parameters alone; unknown levels count 0."""
+    weight = {(c, level): v for part, c, _, level, v in rows if part == "coefficient"}
+    total = F.lit(next(v for part, _, _, _, v in rows if part == "intercept"))
+    for c, x in _scaled(rows, numeric).items():
+        total = total + x * weight[(c, None)]
+    for c in categorical:
+        known = [F.lit(v) for (own, level), w in weight.items() if own == c and level is not None for v in (level, w)]
+        if known:
+            total = total + F.coalesce(F.create_map(*known)[F.coalesce(F.col(c), F.lit(MISSING))], F.lit(0.0))
+    return 1 / (1 + F.exp(-total))
+
+
+def distance_to(rows: Sequence[tuple], numeric: Sequence[str], cluster: int) -> Column:
+    """Squared distance to a center as an expression over raw columns, from the stored parameters alone."""
+    center = {c: v for part, c, k, _, v in rows if part == "center" and k == cluster}
+    return sum([(x - center[c]) * (x - center[c]) for c, x in _scaled(rows, numeric).items()], F.lit(0.0))
+
+
+def is_nearest(rows: Sequence[tuple], numeric: Sequence[str], col: str = "cluster") -> Column:
+    """Whether no center is nearer than that of the row's cluster."""
+    ids = sorted({k for part, _, k, _, _ in rows if part == "center"})
+    far = {k: distance_to(rows, numeric, k) for k in ids}
+    own = F.coalesce(*[F.when(F.col(col) == k, far[k]) for k in ids])
+    return own <= F.least(*far.values(), F.lit(float("inf"))) + 1e-9
+
+
 # --- classifiers and regressors -------------------------------------------------------------
 def fit_classifier(
     df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str], seed: int = 42, **trees

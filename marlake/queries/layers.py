@@ -394,9 +394,7 @@ MAIN_PAYMENT = """(select order_id, max(case when rn = 1 then payment_type end)
   from (select *, row_number() over (partition by order_id order by payment_value desc, payment_sequential desc) rn from v_payments) x group by 1)"""
 
 
-@query(
-    "mart_repeat_purchase",
-    f"""
+REPEAT_SQL = f"""
 with first_order as (
   select * from (select customer_unique_id, order_id, coalesce(order_approved_at, order_purchase_timestamp) t, is_synthetic,
     row_number() over (partition by customer_unique_id order by order_purchase_timestamp, order_id) rn
@@ -414,16 +412,16 @@ select f.customer_unique_id, f.is_synthetic, cast(i.price as double) first_order
   i.n first_order_n_items, i.cat first_order_main_category, p.payment_type, p.payment_installments,
   dayofweek(f.t) + 1 purchase_day_of_week, month(f.t) purchase_month, l.y repeat_purchase
 from first_order f join items i on i.customer_unique_id = f.customer_unique_id join {MAIN_PAYMENT} p on p.order_id = f.order_id
-join label l on l.customer_unique_id = f.customer_unique_id""",
-)
+join label l on l.customer_unique_id = f.customer_unique_id"""
+
+
+@query("mart_repeat_purchase", REPEAT_SQL)
 def mart_repeat_purchase(m):
     m = m.written()
     return marts.repeat_purchase(m.fct_orders, m.fct_items, m.dim_products, m.fct_payments)
 
 
-@query(
-    "mart_delivery_delay",
-    f"""
+DELAY_SQL = f"""
 with items as (
   select order_id, seller_id, sum(price) price, sum(freight_value) freight_value, count(*) n_items, max(case when rk = 1 then cat end) main_category
   from (select i.*, p.product_category_name_english cat,
@@ -436,8 +434,10 @@ select o.order_id, i.seller_id, o.is_synthetic, cast(i.price as double) price, c
   s.seller_state, o.is_delayed
 from g_orders o join items i on i.order_id = o.order_id join {MAIN_PAYMENT} p on p.order_id = o.order_id
 left join g_sellers s on s.seller_id = i.seller_id
-where o.order_status = 'delivered' and o.order_delivered_customer_date is not null""",
-)
+where o.order_status = 'delivered' and o.order_delivered_customer_date is not null"""
+
+
+@query("mart_delivery_delay", DELAY_SQL)
 def mart_delivery_delay(m):
     m = m.written()
     return marts.delivery_delay(m.order_facts, m.fct_items, m.dim_products, m.fct_payments, m.dim_sellers)

@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from marlake.plans import features, ml, scoring
 from marlake.queries.features import frames
+from marlake.queries.layers import REPEAT_SQL, DELAY_SQL
 from marlake.queries.registry import query
-from marlake.queries.reports import AS_OF, sold
+from marlake.queries.reports import AS_OF, STATS_SQL, WINDOWS_SQL, sold
 from marlake.queries.views import hashed
 from marlake.session import stage
 
@@ -15,6 +16,9 @@ HISTORICAL_END = "2000-12-31"
 # --- clusters -------------------------------------------------------------------------------
 # Scores and clusters depend on the solver; the queries return the rows they are for, the columns that SQL can
 # state, and whether the model's own columns are what they must be. The jobs store the scores themselves.
+SELLER_SEGMENTS = ["At-Risk Seller", "Top Seller", "Small/Low-Volume Seller"]
+
+
 def known(column, names):
     return F.col(column).isin(list(names))
 
@@ -31,7 +35,13 @@ def ml_customer_segments(m):
     return named.select("customer_unique_id", "recency", "monetary", known("segment", scoring.CUSTOMER_SEGMENTS).alias("segment_known"))
 
 
-@query("ml_seller_segments")
+@query(
+    "ml_seller_segments",
+    f"""
+select s.seller_id, s.n_orders lifetime_orders, s.revenue lifetime_revenue, s.delay_rate lifetime_delay_rate, s.review_score lifetime_review_score,
+  true nearest, true segment_known, w.* exclude (seller_id)
+from ({STATS_SQL}) s left join ({WINDOWS_SQL}) w on w.seller_id = s.seller_id""",
+)
 def ml_seller_segments(m):
     m = m.written()
 
@@ -42,13 +52,16 @@ def ml_seller_segments(m):
     train = stats(~F.col("is_synthetic"))
     model = ml.fit_clusters(train, features.SELLER_CLUSTERS)
     labels = scoring.seller_cluster_labels(ml.assign_clusters(model, train))
+    learned = ml.parameter_rows(model, features.SELLER_CLUSTERS, [])
     live = ml.assign_clusters(model, stats(F.col("is_synthetic")))
+    live = live.withColumn("nearest", ml.is_nearest(learned, features.SELLER_CLUSTERS))
     windows = features.seller_window_metrics(sold(m), AS_OF)
     return (
         scoring.name_clusters(live, labels)
         .select(
             "seller_id",
-            "segment",
+            "nearest",
+            known("segment", SELLER_SEGMENTS).alias("segment_known"),
             F.col("n_orders").alias("lifetime_orders"),
             F.col("revenue").alias("lifetime_revenue"),
             F.col("delay_rate").alias("lifetime_delay_rate"),
@@ -144,27 +157,54 @@ def ml_incremental_value(m):
     )
 
 
-@query("ml_repeat_purchase")
+def held_out(rows, label, key, columns):
+    """SQL: test rows of the stratified split with the weight that their class has in training, and how the score must be."""
+    return f"""
+with r as (select *, row_number() over (partition by {label} order by {hashed("'split'", key)}, {key}) - 1 k, count(*) over (partition by {label}) n from ({rows}) z),
+s as (select *, k < round(n * 0.2e0) is_test from r),
+c as (select {label}, (select count(*) from s where not is_test) / (2e0 * count(*)) class_weight from s where not is_test group by 1)
+select {columns}, {label}, round(class_weight, 6) class_weight, true probability_holds from s left join c using ({label}) where is_test"""
+
+
+def scored_by_table(split, label, numeric, categorical, columns):
+    """Test rows with their class weight, and whether the model's probability is that of its stored parameters."""
+    train = stage(split.where(~F.col("is_test")), "train")
+    model = ml.fit_logistic(train, label, numeric, categorical)
+    learned = ml.parameter_rows(model, numeric, categorical)
+    scored = ml.score(model, split.where("is_test"), numeric, categorical, "probability")
+    weights = ml.balanced_weight(train, label, False).groupBy(F.col(label).alias("_label")).agg(F.max("weight").alias("class_weight"))
+    same = F.abs(F.col("probability") - ml.probability_from(learned, numeric, categorical)) < 1e-9
+    joined = scored.withColumn("probability_holds", same).join(F.broadcast(weights), F.col(label) == F.col("_label"), "left")
+    return joined.select(*columns, label, "class_weight", "probability_holds")
+
+
+REPEAT_NUMERIC = [
+    "first_order_price", "first_order_freight", "first_order_n_items", "payment_installments",
+    "purchase_day_of_week", "purchase_month",
+]
+REPEAT_CATEGORICAL = ["first_order_main_category", "payment_type"]
+
+
+@query("ml_repeat_purchase", held_out(f"select * from ({REPEAT_SQL}) t where not is_synthetic", "repeat_purchase", "customer_unique_id", "customer_unique_id"))
 def ml_repeat_purchase(m):
     """Balanced logistic regression on the first order, scored on the held-out fifth."""
     from marlake.plans.marts import repeat_purchase
 
-    numeric = [
-        "first_order_price", "first_order_freight", "first_order_n_items", "payment_installments",
-        "purchase_day_of_week", "purchase_month",
-    ]
-    categorical = ["first_order_main_category", "payment_type"]
     m = m.written()
     mart = repeat_purchase(m.fct_orders, m.fct_items, m.dim_products, m.fct_payments)
     split = stage(
         ml.stratified_split(mart.where(~F.col("is_synthetic")), "repeat_purchase", "customer_unique_id"), "split"
     )
-    model = ml.fit_logistic(split.where(~F.col("is_test")), "repeat_purchase", numeric, categorical)
-    scored = ml.score(model, split.where("is_test"), numeric, categorical, "probability_repeat")
-    return scored.select("customer_unique_id", "repeat_purchase", "probability_repeat")
+    return scored_by_table(split, "repeat_purchase", REPEAT_NUMERIC, REPEAT_CATEGORICAL, ["customer_unique_id"])
 
 
-@query("ml_delivery_delay")
+@query(
+    "ml_delivery_delay",
+    held_out(
+        f"select order_id, seller_id, cast(is_delayed as int) label_delayed, concat_ws('|', order_id, seller_id) row_key from ({DELAY_SQL}) t where not is_synthetic and is_delayed is not null",
+        "label_delayed", "row_key", "order_id, seller_id",
+    ),
+)
 def ml_delivery_delay(m):
     """Balanced logistic regression on the delay mart, scored on the held-out fifth."""
     from marlake.plans.marts import delivery_delay
@@ -180,9 +220,49 @@ def ml_delivery_delay(m):
         {"label_delayed": F.col("is_delayed").cast("int"), "row_key": F.concat_ws("|", "order_id", "seller_id")}
     )
     split = stage(ml.stratified_split(rows, "label_delayed", "row_key"), "split")
-    model = ml.fit_logistic(split.where(~F.col("is_test")), "label_delayed", numeric, categorical)
-    scored = ml.score(model, split.where("is_test"), numeric, categorical, "probability_delayed")
-    return scored.select("order_id", "seller_id", "label_delayed", "probability_delayed")
+    return scored_by_table(split, "label_delayed", numeric, categorical, ["order_id", "seller_id"])
+
+
+def _spread(column):
+    x = f"cast({column} as double)"
+    return (
+        f"select 'mean' part, '{column}' input, 0 position, null level, round(avg({x}), 4) v, null::boolean rank_holds from t\n"
+        f"union all select 'deviation', '{column}', 0, null, round(stddev_samp({x}), 4), null from t\n"
+        f"union all select 'median', '{column}', 0, null, null, true"
+    )
+
+
+def _levels(column):
+    return f"""select 'level' part, '{column}' input, cast(row_number() over (order by count(*) desc, coalesce({column}, 'missing')) - 1 as int) position,
+  coalesce({column}, 'missing') level, null::double v, null::boolean rank_holds from t group by coalesce({column}, 'missing')"""
+
+
+PARAMETER_SQL = "\nunion all ".join([*[_spread(c) for c in REPEAT_NUMERIC], *[f"select * from ({_levels(c)}) x" for c in REPEAT_CATEGORICAL]])
+
+
+@query("ml_preprocessing_parameters", f"with t as (select * from ({REPEAT_SQL}) z where not is_synthetic)\nselect part, input, position, level, v \"value\", rank_holds from ({PARAMETER_SQL}) p")
+def ml_preprocessing_parameters(m):
+    """What the preprocessing learns from the first orders: means, deviations, levels by frequency; medians by their rank, which is off by a thousandth at most."""
+    from marlake.plans.marts import repeat_purchase
+
+    m = m.written()
+    mart = stage(repeat_purchase(m.fct_orders, m.fct_items, m.dim_products, m.fct_payments).where(~F.col("is_synthetic")), "mart")
+    frame = ml.prepared(mart, REPEAT_NUMERIC, REPEAT_CATEGORICAL)
+    model = ml.Pipeline(stages=ml.preprocessing(REPEAT_NUMERIC, REPEAT_CATEGORICAL)).fit(frame)
+    learned = ml.parameter_rows(model, REPEAT_NUMERIC, REPEAT_CATEGORICAL)
+    medians = {c: v for part, c, _, _, v in learned if part == "median"}
+    around = [(F.avg((F.col(c) < v).cast("int")) <= 0.501) & (F.avg((F.col(c) <= v).cast("int")) >= 0.499) for c, v in medians.items()]
+    ranks = frame.agg(F.map_from_arrays(F.array(*[F.lit(c) for c in medians]), F.array(*around)).alias("m")).scalar()
+    median = F.col("part") == "median"
+    return (
+        ml.parameters(m.spark, learned)
+        .withColumn("_ranks", ranks)
+        .select(
+            "part", "input", "position", "level",
+            F.when(~median, F.round("value", 4)).alias("value"),
+            F.when(median, F.col("_ranks")[F.col("input")]).alias("rank_holds"),
+        )
+    )
 
 
 # --- split and evaluation -------------------------------------------------------------------

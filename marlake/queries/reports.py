@@ -226,13 +226,13 @@ def sold(m):
     return features.seller_orders(m.order_facts.where("is_synthetic"), m.fct_items, m.fct_reviews)
 
 
-@query(
-    "seller_lifetime_stats",
-    _stats(
-        "select seller_id, count(*) n_orders, sum(price) revenue, avg(late) delay_rate_raw, sum(score_sum) / cast(sum(score_n) as double) review_raw"
-        f" from {SELLER_CORRECT} t group by 1"
-    ),
+STATS_SQL = _stats(
+    "select seller_id, count(*) n_orders, sum(price) revenue, avg(late) delay_rate_raw, sum(score_sum) / cast(sum(score_n) as double) review_raw"
+    f" from {SELLER_CORRECT} t group by 1"
 )
+
+
+@query("seller_lifetime_stats", STATS_SQL)
 def seller_lifetime_stats(m):
     return features.seller_lifetime_stats(sold(m))
 

@@ -126,3 +126,8 @@ def test_scoring_tables(lake):
     assert sellers.count() == 6 and sellers.agg(F.sum("orders_this_week")).head()[0] > 0
     assert jobs.refresh_forecast(lake)
     assert lake.current("predictions", "mart_revenue_forecast").count() == 90
+    assert jobs.refresh_category_forecasts(lake)
+    ahead = lake.current("predictions", "mart_category_forecast")
+    sold = lake.read("gold", "fct_order_items").join(lake.current("gold", "dim_products"), "product_id")
+    assert ahead.count() == 90 * ahead.select("category").distinct().count() > 0
+    assert ahead.select("category").distinct().count() <= sold.select("product_category_name_english", "product_category_name").distinct().count()

@@ -191,3 +191,25 @@ def test_forecast_follows_trend_and_week(spark):
     assert all(0 <= r.yhat_lower <= r.yhat <= r.yhat_upper for r in out)
     want = [100 + (730 + i) * 0.5 + (40 if (736 + i) % 7 < 2 else 0) for i in range(90)]
     assert np.mean(np.abs(np.array([r.yhat for r in out]) - want)) < 15
+
+
+def test_stored_parameters_give_the_models_results(spark):
+    rows = [(i, float(i % 7) if i % 11 else None, float(i * i % 13), ["x", "y", None][i % 3], int(i % 5 < 2)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c string, y int")
+    model = ml.fit_logistic(df, "y", ["a", "b"], ["c"])
+    learned = ml.parameter_rows(model, ["a", "b"], ["c"])
+    new = df.union(spark.createDataFrame([(900, None, None, "never seen", 0), (901, float("nan"), 1e6, None, 1)], df.schema))
+    both = ml.score(model, new, ["a", "b"], ["c"], "p").withColumn("q", ml.probability_from(learned, ["a", "b"], ["c"])).collect()
+    assert len(both) == 202 and all(abs(r.p - r.q) < 1e-9 for r in both)
+    levels = {(i, level) for part, c, i, level, _ in learned if part == "level"}
+    assert levels == {(0, "x"), (1, "y"), (2, "missing")}
+    assert sum(part == "coefficient" for part, *_ in learned) == 5
+    back = ml.parameters(spark, learned)
+    assert back.where("part = 'mean' and input = 'b'").head().value == pytest.approx(np.mean([r[2] for r in rows]))
+
+    model = ml.fit_clusters(df, ["a", "b"])
+    learned = ml.parameter_rows(model, ["a", "b"], [])
+    near = ml.assign_clusters(model, df).withColumn("near", ml.is_nearest(learned, ["a", "b"]))
+    assert near.where("not near").count() == 0
+    wrong = near.withColumn("cluster", (F.col("cluster") + 1) % ml.CLUSTERS).withColumn("near", ml.is_nearest(learned, ["a", "b"]))
+    assert wrong.where("near").count() == 0
