@@ -18,7 +18,7 @@ from marlake.plans import ml
 from marlake.session import stage
 
 RIDGE = 0.01
-# Days past which a series has a yearly season worth fitting are up to the caller; the trend is never shrunk.
+# The trend is never shrunk.
 FREE = ("t",)
 Z80 = 1.2815515655446004
 
