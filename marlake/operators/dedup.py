@@ -45,9 +45,15 @@ def merge_latest(
     return latest_per_key(both, keys, version, tiebreak)
 
 
-def differences(left: DataFrame, right: DataFrame) -> DataFrame:
-    """One row: row counts of both frames and of the rows only one of them has (multiset)."""
+def differences(left: DataFrame, right: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """One row: row counts of both frames and of the rows only one of them has (multiset).
+
+    keys -- columns that the rows of ``right`` are dealt out by, as those of a deduplicated frame are
+    by its keys: ``left`` is dealt out alike, and rows are compared where they lie. Equal rows have
+    equal keys, so the outcome does not depend on it.
+    """
     cols = left.columns
+    left = left.repartition(*keys) if keys else left
     tagged = left.select(*cols, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
         right.select(*cols, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
     )

@@ -162,16 +162,20 @@ class Lake:
         found = {p.batch for p in self.parts(layer, table)} & set(batch_ids)
         return sorted(found, key=lambda b: (b is not None, b or ""))
 
-    def write_batches(self, layer: str, table: str, df: DataFrame, keys: list[str] | None = None, replace: Iterable[Part] = ()) -> list[Part]:
+    def write_batches(
+        self, layer: str, table: str, df: DataFrame, keys: list[str] | None = None, replace: Iterable[Part] = (), settled: bool = False
+    ) -> list[Part]:
         """Write whole batches; a batch written again replaces its own partition. Returns the partitions written.
 
         keys    -- of a keyed table: batches are cut into buckets, and what is replaced is one bucket of a batch
         replace -- partitions that this write stands for as well; those without new rows are removed
+        settled -- each task has enough rows for every partition it holds: they are written as they lie
 
         Columns new to the table are added to it, older files read them as null; a column that
         changes its type is an error. An empty frame leaves the table as it is. Rebalancing puts
-        small batches into one file each and splits a large batch over several writers. The
-        partitions are observed on the way, without another pass over the rows.
+        small batches into one file each and splits a large batch over several writers; settled rows
+        do not cross the wire again for it. The partitions are observed on the way, without another
+        pass over the rows. The frame may read the partitions it replaces: they go when all is written.
         """
         log = self.log(layer, table)
         if log and log[2] and log[1] != bool(keys):
@@ -184,10 +188,11 @@ class Lake:
         rows = df.withColumn(BATCH, F.col(BATCH).cast("string")).observe(seen, F.collect_set(part).alias("parts"))
         schema = merged_schema(log[0] if log else None, rows.schema, names)
         (
-            rows.hint("rebalance", *names)
+            (rows if settled else rows.hint("rebalance", *names))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("maxRecordsPerFile", self.file_rows)
+            .option("compression", "zstd")
             .partitionBy(*names)
             .parquet(self.path(layer, table))
         )

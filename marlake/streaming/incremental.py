@@ -6,13 +6,13 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlake.operators.dedup import merge_latest
 from marlake.plans import gold, silver
 from marlake.session import stage, together
-from marlake.sources.lake import BATCH, BUCKET, Lake, Part, bucket_of, in_batches, observed, ordered_parts
+from marlake.sources.lake import BATCH, BUCKET, Lake, Part, bucket_of, in_batches, ordered_parts
 from marlake.sources.schemas import TABLE_KEYS
 from marlake.streaming import revenue
 from marlake.streaming.windows import windows_between
@@ -32,6 +32,8 @@ FACT_STEPS = {
 }
 FACT_KEYS = {fact: TABLE_KEYS[table] for table, fact in FACT_STEPS.items()}
 INGEST, TRANSFORM = "replay_cursor", "live_transform_cursor"
+# Rows of a file, below which rows are brought together by partition before they are written.
+FILE_LEAST = 10_000
 
 
 @dataclass
@@ -43,10 +45,15 @@ class Touched:
     emptied: list[Part]
 
 
+def part_counts(lake: Lake, df: DataFrame, keys: list[str]) -> dict[Part, int]:
+    """Partitions that the rows of a frame belong to, with their rows; at most batches times buckets of them are fetched."""
+    found = df.groupBy(F.col(BATCH).cast("string").alias(BATCH), bucket_of(keys, lake.buckets).alias(BUCKET)).count()
+    return {Part(batch, bucket): n for batch, bucket, n in found.collect()}
+
+
 def parts_of(lake: Lake, df: DataFrame, keys: list[str]) -> set[Part]:
-    """Partitions that the rows of a frame belong to; at most batches times buckets of them are fetched."""
-    found = df.select(F.col(BATCH).cast("string").alias(BATCH), bucket_of(keys, lake.buckets).alias(BUCKET)).distinct()
-    return {Part(*r) for r in found.collect()}
+    """Partitions that the rows of a frame belong to."""
+    return set(part_counts(lake, df, keys))
 
 
 def holding(lake: Lake, layer: str, table: str, keys: list[str], incoming: DataFrame, inside: Iterable[Part]) -> set[Part]:
@@ -58,34 +65,46 @@ def holding(lake: Lake, layer: str, table: str, keys: list[str], incoming: DataF
     return parts_of(lake, rows.join(incoming.select(*keys).distinct(), keys, "left_semi"), keys)
 
 
-def upsert_batches(lake: Lake, table: str, incoming: DataFrame, extend: bool = False) -> Touched:
+def is_settled(lake: Lake, rows: int, parts: int) -> bool:
+    """Whether tasks as they come out of a shuffle have rows enough for files of their own in every partition."""
+    return rows >= FILE_LEAST * parts * int(lake.spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def upsert_batches(lake: Lake, table: str, incoming: DataFrame, extend: bool = False, arrived: DataFrame | None = None) -> Touched:
     """Bring new batches into a silver table so that each key keeps its latest batch only.
 
     A key that arrives again can only be in its own bucket, so only the partitions of the incoming
     buckets are looked into, and only those that really hold such keys are rewritten, in the same
     dynamic overwrite as the new ones. A second run over the same batches changes nothing.
 
-    extend -- the incoming rows may be a part of their batches; rows the table already has for
+    extend  -- the incoming rows may be a part of their batches; rows the table already has for
     these batches stay. Without it, incoming rows are the whole batches.
+    arrived -- the stored rows that ``incoming`` is made of, with the same keys and batches. Partitions
+    are found from their key columns, and the incoming rows go straight into the table; without it
+    these are written to the scratch folder first.
+
+    Many rows cross the wire once for all of this: what the table has is dealt out by key like the
+    incoming rows, the two are merged where they lie, and the result is written from there.
     """
     name, keys = f"silver_{table}", TABLE_KEYS[table]
-    seen = Observation()
-    part = F.struct(F.col(BATCH).cast("string").alias(BATCH), bucket_of(keys, lake.buckets).alias(BUCKET))
-    incoming = stage(incoming.observe(seen, F.collect_set(part).alias("parts")), f"incoming-{table}")
-    fresh = set(observed(seen))
+    if arrived is None:
+        arrived = incoming = stage(incoming, f"incoming-{table}")
+    fresh = part_counts(lake, arrived, keys)
     if not fresh:
         return Touched([], [], [])
     there = set(lake.parts("silver", name))
     batches, buckets = {p.batch for p in fresh}, {p.bucket for p in fresh}
     looked = ordered_parts(p for p in there if p.bucket in buckets and (extend or p.batch not in batches))
-    affected = holding(lake, "silver", name, keys, incoming, (p for p in looked if p not in fresh))
-    affected |= fresh & there if extend else set()
+    affected = holding(lake, "silver", name, keys, arrived, (p for p in looked if p not in fresh))
+    affected |= set(fresh) & there if extend else set()
+    settled = is_settled(lake, sum(fresh.values()), len(affected | set(fresh)))
     merged = incoming
-    if affected:  # written first, as it is read from what it replaces
-        merged = stage(merge_latest(lake.read("silver", name, parts=affected), incoming, keys), f"merged-{table}")
+    if affected:
+        existing = lake.read("silver", name, parts=affected)
+        merged = merge_latest(existing.repartition(*keys) if settled else existing, incoming, keys)
     old = affected if extend else affected | {p for p in there if p.batch in batches}
     # A partition whose rows were all replaced has nothing to overwrite it with.
-    kept = lake.write_batches("silver", name, merged, keys, replace=old)
+    kept = lake.write_batches("silver", name, merged, keys, replace=old, settled=settled)
     return Touched(looked, kept, ordered_parts(old - set(kept)))
 
 
@@ -120,11 +139,13 @@ def refresh_facts(lake: Lake, table: str, batch_ids: list[str]) -> Touched:
     looked = ordered_parts(p for p in there if p.bucket in buckets and p.batch not in ids)
     wanted |= holding(lake, "gold", fact, keys, fresh, looked)
     rows = lake.read("silver", name, parts=wanted)
-    customers = None
+    # Rows lie in silver as they will in the fact table, one file for one; only orders are dealt out for their join.
+    customers, settled = None, True
     if table == "orders":
+        settled = is_settled(lake, rows.count(), len(wanted))
         own = rows.select(bucket_of(["customer_id"], lake.buckets).alias(BUCKET)).distinct().collect()
         customers = lake.read("silver", "silver_customers", buckets=[r[0] for r in own])
-    kept = lake.write_batches("gold", fact, fact_increment(table, rows, customers), keys, replace=wanted & there)
+    kept = lake.write_batches("gold", fact, fact_increment(table, rows, customers), keys, replace=wanted & there, settled=settled)
     return Touched(looked, kept, ordered_parts((wanted & there) - set(kept)))
 
 
@@ -141,7 +162,7 @@ def process_batches(lake: Lake, batch_ids: list[str]) -> dict[str, Touched]:
     # The tables do not depend on each other within a layer.
     run, *silver_done = together(
         lambda: revenue.begin(lake, concerned),
-        *[lambda t=t: upsert_batches(lake, t, SILVER_STEPS[t](bronze[t])) for t in loaded],
+        *[lambda t=t: upsert_batches(lake, t, SILVER_STEPS[t](bronze[t]), arrived=bronze[t]) for t in loaded],
     )
     facts = [t for t in FACT_STEPS if t in loaded and lake.parts("silver", f"silver_{t}")]
     facts_done = together(*[lambda t=t: refresh_facts(lake, t, batch_ids) for t in facts]) if facts else []

@@ -72,22 +72,22 @@ def begin(lake: Lake, order_ids: list[DataFrame]) -> Run:
     ids = reduce(DataFrame.union, order_ids).where("order_id is not null").distinct()
     if open_runs:  # their orders are already out
         ids = ids.join(lake.read("gold", ORDERS, open_runs), "order_id", "left_anti")
-    lake.write_batches("gold", ORDERS, ids.withColumn(BATCH, F.lit(name)))
-    noted = stage(orders_of(lake, [name]), "run-orders")
-    add_entry(lake, f"{name}-{OLD}", counted(lake, noted), -1)
+    lake.write_batches("gold", ORDERS, ids.withColumn(BATCH, F.lit(name)), settled=True)
+    add_entry(lake, f"{name}-{OLD}", counted(lake, orders_of(lake, name)), -1)
     return Run([*open_runs, name])
 
 
-def orders_of(lake: Lake, runs: list[str]) -> DataFrame:
-    if not any(p.batch in runs for p in lake.parts("gold", ORDERS)):
+def orders_of(lake: Lake, run: str) -> DataFrame:
+    """The noted orders of a run, each once."""
+    if not any(p.batch == run for p in lake.parts("gold", ORDERS)):
         return lake.spark.createDataFrame([], "order_id string")
-    return lake.read("gold", ORDERS, runs).select("order_id").distinct()
+    return lake.read("gold", ORDERS, [run]).select("order_id")
 
 
 def finish(lake: Lake, run: Run) -> None:
     """Put what the run's orders count for now into the state."""
     for name in run.names:
-        add_entry(lake, f"{name}-{NEW}", counted(lake, stage(orders_of(lake, [name]), "run-orders")), 1)
+        add_entry(lake, f"{name}-{NEW}", counted(lake, orders_of(lake, name)), 1)
     lake.remove_batches("gold", ORDERS, run.names)
     if len(entries(lake)) > MOST_ENTRIES:
         compact(lake)

@@ -1,12 +1,13 @@
 """CSV scans, layered tables, state, incremental runs and streams."""
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from marlake.operators.dedup import differences
+from marlake.operators.dedup import differences, latest_per_key
 from marlake.plans import gold, marts, silver
 from marlake.sources import files
 from marlake.sources.lake import Lake, Part, add_columns_union, bucket_of, synthetic_pool
@@ -338,6 +339,37 @@ def test_revenue_state_follows_returns_repeats_and_interruptions(spark, tmp_path
     assert counted() == [(3, 25.0)] and len(revenue.entries(lake)) == 1
 
 
+@pytest.mark.parametrize("least", [0, incremental.FILE_LEAST])
+def test_batches_go_into_the_lake_without_a_copy_beside_it(spark, tmp_path, monkeypatch, least):
+    """Rows that return are merged with what the table has in the write that replaces it, for many and for few rows."""
+    monkeypatch.setattr(incremental, "FILE_LEAST", least)
+    monkeypatch.setattr(incremental, "stage", lambda *a: (_ for _ in ()).throw(AssertionError("copied")))
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=2)
+    lake.write_batches("bronze", "bronze_customers", bronze_customers(spark, [(f"c{i}", f"p{i}", B[0]) for i in range(9)]), settled=True)
+    first = [(f"o{i}", f"c{i}", "created", 5, B[0]) for i in range(9)] + [("o1", "c1", "shipped", 5, B[1]), ("o1", "c1", "created", 5, B[1])]
+    lake.write_batches("bronze", "bronze_orders", bronze_orders(spark, first), settled=True)
+    incremental.process_batches(lake, B[:2])
+    again = [(f"o{i}", f"c{i}", "delivered", 9, B[2]) for i in range(0, 9, 2)] + [("o9", "c1", "created", 9, B[2])]
+    lake.write_batches("bronze", "bronze_orders", bronze_orders(spark, again))
+    for _ in range(2):
+        incremental.process_batches(lake, [B[2]])
+        assert same(lake) and lake.read("gold", "fct_orders").count() == 10
+    assert lake.read("silver", "silver_orders").where("order_status = 'delivered'").count() == 5
+    assert {r.order_status for r in lake.read("silver", "silver_orders").where("order_id = 'o1'").collect()} == {"created"}
+
+
+def test_rows_are_compared_where_their_keys_lie(spark):
+    raw = spark.range(500).selectExpr("cast(id % 300 as string) order_id", "id % 3 order_item_id", "cast(id % 7 as string) batch_id", "id v")
+    right = latest_per_key(raw, ["order_id", "order_item_id"])
+    left = right.where("v % 5 <> 0").unionByName(right.where("v % 5 = 1")).localCheckpoint()
+    plain, dealt = differences(left, right), differences(left, right, ["order_id", "order_item_id"])
+    assert dealt.head() == plain.head() and dealt.head().only_left > 0 and dealt.head().only_right > 0
+    plan = dealt._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[-1]
+    # Each side is dealt out once by key, and neither by whole rows.
+    assert plan.count("Exchange hashpartitioning(order_id") == 2 and plan.count("Exchange hashpartitioning") == 2
+    assert not re.search(r"hashpartitioning\([^)]*batch_id", plan)
+
+
 def test_cursors_are_required(lake):
     with pytest.raises(RuntimeError):
         incremental.run_pending(lake)
