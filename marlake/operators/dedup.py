@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +47,17 @@ def merge_latest(
     return latest_per_key(both, keys, version, tiebreak)
 
 
+def join_keys(df: DataFrame, other: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Semi or anti join on keys where null equals null, as it does in a grouping."""
+    named = other.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    return df.join(named, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), how)
+
+
+def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of more than one row; the key columns alone cross the wire for it."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+
+
 def differences(left: DataFrame, right: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """One row: row counts of both frames and of the rows only one of them has (multiset).
 

@@ -8,11 +8,11 @@ from marlake.plans import gold, silver
 from marlake.queries.layers import DAILY_SQL
 from marlake.queries.registry import query
 from marlake.queries.views import hashed, six_hours
-from marlake.session import scratch_path, stage
+from marlake.session import drop_shuffles, scratch_path, stage
 from marlake.sources.lake import Lake
 from marlake.sources.schemas import TABLE_KEYS
 from marlake.streaming import live, revenue, windows
-from marlake.streaming.incremental import SILVER_STEPS, process_batches, silver_increment, upsert_batches
+from marlake.streaming.incremental import process_batches, silver_increment, upsert_arrived, upsert_batches
 
 SIX_HOURS = 21_600_000_000
 
@@ -123,8 +123,7 @@ def returned(table: str, m) -> Lake:
     # The archive batch holds the rows as they are.
     rows = lake.read("bronze", f"bronze_{table}", ["archive-0"])
     lake.write_batches("bronze", f"bronze_{table}", rows.where(again).withColumn("batch_id", F.lit("delivery-1")), settled=True)
-    second = lake.read("bronze", f"bronze_{table}", ["delivery-1"])
-    upsert_batches(lake, table, SILVER_STEPS[table](second), arrived=second)
+    upsert_arrived(lake, table, lake.read("bronze", f"bronze_{table}", ["delivery-1"]))
     for _ in range(2):
         process_batches(lake, ["delivery-1"])
     return lake
@@ -216,7 +215,9 @@ def incr_equals_full(m):
     process_batches(lake, [b for b in batches if b >= cut])
     bronze = {t: lake.read("bronze", f"bronze_{t}") for t in ("customers", "orders", "order_items")}
     full = silver.order_items(bronze["order_items"])
-    items = differences(lake.read("silver", "silver_order_items").select(full.columns), full, TABLE_KEYS["order_items"])
+    # One table after the other: the files of the first comparison go before the second.
+    items = stage(differences(lake.read("silver", "silver_order_items").select(full.columns), full, TABLE_KEYS["order_items"]), "compared")
+    drop_shuffles(m.spark)
     whole = gold.fct_orders(silver.orders(bronze["orders"]), silver.customers(bronze["customers"]))
     facts = differences(lake.read("gold", "fct_orders").select(whole.columns), whole, ["customer_id"])  # the key of its join
     return items.withColumn("table_name", F.lit("silver_order_items")).unionByName(

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from marlake.session import list_names, path_exists, read_text, remove_path, stage, write_text
+from marlake.session import drop_shuffles, list_names, path_exists, read_text, remove_path, stage, write_text
 
 BATCH = "batch_id"
 BUCKET = "key_bucket"
@@ -196,6 +196,7 @@ class Lake:
             .partitionBy(*names)
             .parquet(self.path(layer, table))
         )
+        drop_shuffles(self.spark)
         written = observed(seen)
         stale = set(replace) - set(written)
         if written or stale:

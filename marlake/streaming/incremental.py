@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlake.operators.dedup import merge_latest
+from marlake.operators.dedup import join_keys, merge_latest, repeated_keys
 from marlake.plans import gold, silver
 from marlake.session import stage, together
 from marlake.sources.lake import BATCH, BUCKET, Lake, Part, bucket_of, in_batches, ordered_parts
@@ -34,6 +34,8 @@ FACT_KEYS = {fact: TABLE_KEYS[table] for table, fact in FACT_STEPS.items()}
 INGEST, TRANSFORM = "replay_cursor", "live_transform_cursor"
 # Rows of a file, below which rows are brought together by partition before they are written.
 FILE_LEAST = 10_000
+# So many keys are sent to every task.
+FEW_KEYS = 1_000_000
 
 
 @dataclass
@@ -70,25 +72,49 @@ def is_settled(lake: Lake, rows: int, parts: int) -> bool:
     return rows >= FILE_LEAST * parts * int(lake.spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def upsert_batches(lake: Lake, table: str, incoming: DataFrame, extend: bool = False, arrived: DataFrame | None = None) -> Touched:
+def rank(batch: str | None) -> tuple[bool, str]:
+    """Order of batch ids as versions of a key: as text, none at all first."""
+    return batch is not None, batch or ""
+
+
+def upsert_batches(lake: Lake, table: str, incoming: DataFrame, extend: bool = False) -> Touched:
     """Bring new batches into a silver table so that each key keeps its latest batch only.
 
     A key that arrives again can only be in its own bucket, so only the partitions of the incoming
     buckets are looked into, and only those that really hold such keys are rewritten, in the same
     dynamic overwrite as the new ones. A second run over the same batches changes nothing.
 
-    extend  -- the incoming rows may be a part of their batches; rows the table already has for
+    extend -- the incoming rows may be a part of their batches; rows the table already has for
     these batches stay. Without it, incoming rows are the whole batches.
-    arrived -- the stored rows that ``incoming`` is made of, with the same keys and batches. Partitions
-    are found from their key columns, and the incoming rows go straight into the table; without it
-    these are written to the scratch folder first.
+    """
+    incoming = stage(incoming, f"incoming-{table}")
+    return bring_in(lake, table, incoming, incoming, extend)
 
-    Many rows cross the wire once for all of this: what the table has is dealt out by key like the
-    incoming rows, the two are merged where they lie, and the result is written from there.
+
+def upsert_arrived(lake: Lake, table: str, bronze: DataFrame) -> Touched:
+    """Bring stored bronze batches into silver: like ``upsert_batches`` of their silver rows, without a copy of these.
+
+    Only rows whose key is there more than once are compared with others. The keys are counted
+    first; where most are single, the other rows go from bronze to silver without crossing the wire.
+    """
+    step, keys = SILVER_STEPS[table], TABLE_KEYS[table]
+    repeated = stage(repeated_keys(bronze, keys), f"repeated-{table}")
+    most = repeated.count()
+    if not most:
+        return bring_in(lake, table, step(bronze, deduplicated=True), bronze)
+    if most > FEW_KEYS:
+        return bring_in(lake, table, step(bronze), bronze, dealt=True)
+    several, single = (join_keys(bronze, F.broadcast(repeated), keys, how) for how in ("left_semi", "left_anti"))
+    return bring_in(lake, table, step(single, deduplicated=True).unionByName(step(several)), bronze)
+
+
+def bring_in(lake: Lake, table: str, incoming: DataFrame, arrived: DataFrame, extend: bool = False, dealt: bool = False) -> Touched:
+    """The silver rows of some batches into their table.
+
+    arrived -- stored rows that ``incoming`` is made of, with the same keys and batches; only these columns are read
+    dealt   -- incoming rows are dealt out by key; what the table has is dealt out alike, and both are merged where they lie
     """
     name, keys = f"silver_{table}", TABLE_KEYS[table]
-    if arrived is None:
-        arrived = incoming = stage(incoming, f"incoming-{table}")
     fresh = part_counts(lake, arrived, keys)
     if not fresh:
         return Touched([], [], [])
@@ -101,7 +127,12 @@ def upsert_batches(lake: Lake, table: str, incoming: DataFrame, extend: bool = F
     merged = incoming
     if affected:
         existing = lake.read("silver", name, parts=affected)
-        merged = merge_latest(existing.repartition(*keys) if settled else existing, incoming, keys)
+        if dealt:
+            merged = merge_latest(existing.repartition(*keys) if settled else existing, incoming, keys)
+        elif max(rank(p.batch) for p in affected) < min(map(rank, batches)):  # a later batch has the latest row of all its keys
+            merged = join_keys(existing, arrived, keys, "left_anti").unionByName(incoming, allowMissingColumns=True)
+        else:
+            merged = merge_latest(existing, incoming, keys)
     old = affected if extend else affected | {p for p in there if p.batch in batches}
     # A partition whose rows were all replaced has nothing to overwrite it with.
     kept = lake.write_batches("silver", name, merged, keys, replace=old, settled=settled)
@@ -162,7 +193,7 @@ def process_batches(lake: Lake, batch_ids: list[str]) -> dict[str, Touched]:
     # The tables do not depend on each other within a layer.
     run, *silver_done = together(
         lambda: revenue.begin(lake, concerned),
-        *[lambda t=t: upsert_batches(lake, t, SILVER_STEPS[t](bronze[t]), arrived=bronze[t]) for t in loaded],
+        *[lambda t=t: upsert_arrived(lake, t, bronze[t]) for t in loaded],
     )
     facts = [t for t in FACT_STEPS if t in loaded and lake.parts("silver", f"silver_{t}")]
     facts_done = together(*[lambda t=t: refresh_facts(lake, t, batch_ids) for t in facts]) if facts else []

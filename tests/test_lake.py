@@ -2,7 +2,9 @@
 
 import datetime as dt
 import re
+import time
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -343,7 +345,8 @@ def test_revenue_state_follows_returns_repeats_and_interruptions(spark, tmp_path
 def test_batches_go_into_the_lake_without_a_copy_beside_it(spark, tmp_path, monkeypatch, least):
     """Rows that return are merged with what the table has in the write that replaces it, for many and for few rows."""
     monkeypatch.setattr(incremental, "FILE_LEAST", least)
-    monkeypatch.setattr(incremental, "stage", lambda *a: (_ for _ in ()).throw(AssertionError("copied")))
+    copied, stage = [], incremental.stage
+    monkeypatch.setattr(incremental, "stage", lambda df, name: copied.append(name) or stage(df, name))
     lake = Lake(spark, str(tmp_path / "lake"), buckets=2)
     lake.write_batches("bronze", "bronze_customers", bronze_customers(spark, [(f"c{i}", f"p{i}", B[0]) for i in range(9)]), settled=True)
     first = [(f"o{i}", f"c{i}", "created", 5, B[0]) for i in range(9)] + [("o1", "c1", "shipped", 5, B[1]), ("o1", "c1", "created", 5, B[1])]
@@ -356,6 +359,48 @@ def test_batches_go_into_the_lake_without_a_copy_beside_it(spark, tmp_path, monk
         assert same(lake) and lake.read("gold", "fct_orders").count() == 10
     assert lake.read("silver", "silver_orders").where("order_status = 'delivered'").count() == 5
     assert {r.order_status for r in lake.read("silver", "silver_orders").where("order_id = 'o1'").collect()} == {"created"}
+    assert {name.split("-")[0] for name in copied} <= {"repeated"}  # keys that came twice, no rows
+
+
+@pytest.mark.parametrize("few", [0, 2, incremental.FEW_KEYS])
+@pytest.mark.parametrize("least", [0, incremental.FILE_LEAST])
+def test_rows_without_a_twin_go_straight_into_silver(spark, tmp_path, monkeypatch, few, least):
+    """No, few or many keys that come more than once, a missing key among them: always the silver rows of all bronze."""
+    monkeypatch.setattr(incremental, "FEW_KEYS", few)
+    monkeypatch.setattr(incremental, "FILE_LEAST", least)
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=2)
+    runs = [
+        [(f"o{i}", 1, i, B[1]) for i in range(20)],
+        [("o1", 1, 7, B[0]), ("o1", 1, 8, B[0]), ("o2", 1, 9, B[0]), (None, 1, 3, B[0]), (None, 1, 2, B[0])],
+        [("o3", 1, 7, B[2]), ("o3", 1, 6, B[2]), ("o4", 1, 6, B[2]), ("o4", 1, 6, B[2]), ("o5", 1, 6, B[2]), ("o5", 2, 6, B[2]), (None, 1, 1, B[2]), (None, 1, 4, B[2])],
+        [(f"o{i}", 1, 50 + i, B[3]) for i in range(0, 20, 3)],
+    ]
+    for k, rows in enumerate(runs):
+        lake.write_batches("bronze", "bronze_order_items", items(spark, rows))
+        bronze = lake.read("bronze", "bronze_order_items", [rows[0][3]])
+        incremental.upsert_arrived(lake, "order_items", bronze)
+        whole = silver.order_items(lake.read("bronze", "bronze_order_items"))
+        keyed = lambda df: df.where("order_id is not null")
+        d = differences(keyed(lake.read("silver", "silver_order_items").select(whole.columns)), keyed(whole)).head()
+        assert d.only_left == d.only_right == 0 and d.left_rows == d.right_rows, k
+    assert lake.read("silver", "silver_order_items", [B[2]]).where("order_id is null").count() == 1
+
+
+def test_shuffle_files_go_when_a_batch_is_written(spark, lake):
+    before = len(list_shuffles(spark))
+    rows = spark.range(2000).selectExpr("cast(id as string) k", "'x' batch_id").repartition(5, "k")
+    lake.write_batches("bronze", "t", rows)
+    for _ in range(50):
+        if len(list_shuffles(spark)) <= before:
+            break
+        time.sleep(0.2)
+    assert len(list_shuffles(spark)) <= before
+
+
+def list_shuffles(spark):
+    """Shuffle data files that the session has on its disks."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return [f for d in manager.localDirsString() for f in Path(d).rglob("shuffle_*.data")]
 
 
 def test_rows_are_compared_where_their_keys_lie(spark):
